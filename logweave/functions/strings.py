@@ -42,3 +42,14 @@ def to_int64(c: Column) -> Column:
 
 def int_or_zero(c: Column) -> Column:
     return F.coalesce(to_int64(c), F.lit(0).cast("bigint"))
+
+
+def pinned(c: Column) -> Column:
+    """``c`` itself, marked so that the optimizer leaves filters on it in place.
+
+    A filter such as ``error IS NULL`` would otherwise be pushed below every
+    projection of the parser, which repeats all of the parsing inside the
+    filter, several times over. Spark does not move filters past a projection
+    with a non-deterministic column; the partition id is one that costs nothing.
+    """
+    return F.when(F.spark_partition_id() >= 0, c)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .strings import to_int64
+from .strings import INTEGER
 
 # The transform names a mapping may use for event_timestamp.
 NAMED = ("", "rfc3339", "rfc3339nano", "unix", "unix_ms", "aws_suricata", "auto")
@@ -36,15 +36,16 @@ def rfc3339(c: Column) -> Column:
 
 
 def unix_seconds(c: Column) -> Column:
-    n = to_int64(c)
-    return F.when(n.between(_FIRST_SECOND, _LAST_SECOND), F.timestamp_seconds(n))
+    n = c.try_cast("bigint")
+    return F.when(
+        c.rlike(INTEGER), F.when(n.between(_FIRST_SECOND, _LAST_SECOND), F.timestamp_seconds(n))
+    )
 
 
 def unix_millis(c: Column) -> Column:
-    n = to_int64(c)
-    return F.when(
-        n.between(_FIRST_SECOND * 1000, _LAST_SECOND * 1000 + 999), F.timestamp_millis(n)
-    )
+    n = c.try_cast("bigint")
+    fits = n.between(_FIRST_SECOND * 1000, _LAST_SECOND * 1000 + 999)
+    return F.when(c.rlike(INTEGER), F.when(fits, F.timestamp_millis(n)))
 
 
 def micros(n: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import timestamps
-from ..functions.strings import blank_to_null, event_uuid, int_or_zero
+from ..functions.strings import blank_to_null, event_uuid, int_or_zero, pinned
 from ..functions.transforms import FALLIBLE, TRANSFORMS, lookup
 from ..mapping import Field, Mapping
 from ..schemas import NETWORK_COLUMNS, NETWORK_INTEGERS
@@ -93,5 +93,5 @@ def project(frame: DataFrame, mapping: Mapping, find: Lookup, keep: list[str]) -
         *[column(name).alias(name) for name in NETWORK_COLUMNS],
         *keep,
         F.col("raw").alias("raw_line"),
-        F.coalesce("error", *problems).alias("error"),
+        pinned(F.coalesce("error", *problems)).alias("error"),
     )

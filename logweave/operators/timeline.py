@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import timestamps
-from ..functions.strings import INTEGER, event_uuid, to_int64, trim_space
+from ..functions.strings import event_uuid, pinned, to_int64, trim_space
 from ..functions.variants import leaf_text
 
 PLACE = ["source_file", "block", "seq"]
@@ -110,7 +110,7 @@ def normalise(lines: DataFrame, root: str, default_device: str, max_line_bytes:
         F.col("_username").alias("username"),
         F.col("_tag").alias("tag"),
         event_uuid(F.col("raw_line")).alias("event_uuid"),
-        *PLACE, "raw", "raw_line", error.alias("error"),
+        *PLACE, "raw", "raw_line", pinned(error).alias("error"),
     )
 
 

@@ -47,9 +47,9 @@ def walk(name: str, stream: BinaryIO, depth: int = 0) -> Iterator[tuple[str, Bin
         with gzip.GzipFile(fileobj=stream) as plain:
             yield from walk(name[:-3], plain, depth + 1)
     elif lower.endswith(".zip"):
-        if not stream.seekable():
-            # A zip inside a compressed stream needs random access: spool it to
-            # the task's own working space, to be deleted when it is closed.
+        if not isinstance(stream, io.BytesIO):
+            # A nested zip needs random access, which its container's stream does
+            # not give: spool it to the task's own space, gone once it is closed.
             spool = tempfile.TemporaryFile()
             while chunk := stream.read(1 << 20):
                 spool.write(chunk)

@@ -49,6 +49,12 @@ def _each_batch(
     return objects.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
 
 
+def _run_name(batch: DataFrame, number: int, part: str = "") -> str:
+    """Names a batch across restarts: the query's id lives in its checkpoint."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "query"
+    return f"{query}-{number}{part}"
+
+
 def stream_network(
     spark: SparkSession, root: str, table: str, checkpoint: str, allowed: Iterable[str], *,
     mapping_for: Callable[[str], Mapping] | None = None,
@@ -70,14 +76,14 @@ def stream_network(
         routed = route_logs(batch, allowed)
         routed.where(F.col("reject").isNotNull()).select("path", "reject").write.mode(
             "overwrite"
-        ).parquet(f"{table}_rejected/batch={number}")
+        ).parquet(f"{table}_rejected/run={_run_name(batch, number)}")
         taken = routed.where(F.col("reject").isNull()).select("log_type", "path")
         paths: dict[str, list[str]] = {}
         for row in taken.toLocalIterator():   # at most max_files names
             paths.setdefault(row.log_type, []).append(row.path)
         for log_type, files in sorted(paths.items()):
             parsed = ingest_network(spark, files, mapping_for(log_type), options=options)
-            write_parsed(parsed, table, run=f"{number}-{log_type}")
+            write_parsed(parsed, table, run=_run_name(batch, number, f"-{log_type}"))
 
     return _each_batch(new_objects(spark, root, max_files), checkpoint, handle)
 
@@ -93,6 +99,7 @@ def stream_timeline(
         routed = route_timelines(batch).where(F.col("reject").isNull())
         files = [row.path for row in routed.select("path").toLocalIterator()]
         if files:
-            write_parsed(ingest_timeline(spark, files, root, default_device), table, run=str(number))
+            parsed = ingest_timeline(spark, files, root, default_device)
+            write_parsed(parsed, table, run=_run_name(batch, number))
 
     return _each_batch(new_objects(spark, folder, max_files), checkpoint, handle)
