@@ -20,12 +20,9 @@ from .strings import WHITE_SPACE, strip_quotes, trim_space
 _COMMA_FIELD = r',("[^"]*+(?:(?:""|"(?!,|\z))[^"]*+)*+"?|[^,]*+)'
 
 _WS = "[" + WHITE_SPACE + "]"
-# A field that does not start with a quote, taken apart in one match: key,
-# value without surrounding blanks and then without surrounding quotes. A field
-# without "=" gives the key "", which no mapping can ask for.
-_PLAIN_FIELD = (
-    rf",(?:{_WS}*+([^=,]*?){_WS}*+={_WS}*+\"*+([^,]*?)\"*+{_WS}*+(?=,|\z)|[^,]*+)"
-)
+# Lines that need the careful way: a field that starts with a quote or has no
+# "=", or blanks around a separator. Rare in real logs.
+_UNEVEN = rf',"|\A"|[,=]{_WS}|{_WS}[,=]|(?:\A|,)[^=,]*+(?:,|\z)'
 
 _SPACE_TOKEN = r'((?:[^ "]++|"[^"]*+(?:"|\z))++)'
 # The key ends at the first "=" outside quotes.
@@ -37,33 +34,33 @@ def _after(text: Column, prefix: Column) -> Column:
     return F.substr(text, F.length(prefix) + 2)
 
 
+def _unquote(field: Column) -> Column:
+    bare = F.replace(F.regexp_replace(field, r'\A"|"\z', ""), F.lit('""'), F.lit('"'))
+    return F.when(field.startswith('"'), bare).otherwise(field)
+
+
 def _cut_comma_field(field: Column) -> Column:
-    text = F.when(
-        field.startswith('"'),
-        F.replace(F.regexp_replace(field, r'\A"|"\z', ""), F.lit('""'), F.lit('"')),
-    ).otherwise(field)
-    key = F.substring_index(text, "=", 1)
+    key = F.substring_index(field, "=", 1)
+    # A field without "=" gets the key "", which no mapping can ask for.
     return F.struct(
-        F.when(F.contains(text, F.lit("=")), trim_space(key)).otherwise("").alias("key"),
-        strip_quotes(trim_space(_after(text, key))).alias("value"),
+        F.when(F.contains(field, F.lit("=")), trim_space(key)).otherwise("").alias("key"),
+        trim_space(_after(field, key)).alias("value"),
     )
 
 
 def comma_kv(line: Column) -> Column:
     """``key=value,key2="value2"``. Fields without ``=`` are dropped.
 
+    Values keep the quotes around them; ``strip_quotes`` takes them off the few
+    that are looked up.
+
     Commas are protected only in a field that *starts* with a quote, so
     ``name="a,b"`` ends at the comma.
     """
-    led = F.concat(F.lit(","), line)
-    plain = F.map_from_arrays(
-        F.regexp_extract_all(led, F.lit(_PLAIN_FIELD), F.lit(1)),
-        F.regexp_extract_all(led, F.lit(_PLAIN_FIELD), F.lit(2)),
-    )
-    quoted = F.map_from_entries(
-        F.transform(F.regexp_extract_all(led, F.lit(_COMMA_FIELD), F.lit(1)), _cut_comma_field)
-    )
-    return F.when(F.contains(led, F.lit(',"')), quoted).otherwise(plain)
+    fields = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_COMMA_FIELD), F.lit(1))
+    careful = F.map_from_entries(F.transform(F.transform(fields, _unquote), _cut_comma_field))
+    even = F.str_to_map(line, F.lit(","), F.lit("="))
+    return F.when(line.rlike(_UNEVEN), careful).otherwise(even)
 
 
 def _cut_space_token(token: Column) -> Column:

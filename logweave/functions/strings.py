@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,6 +46,11 @@ def int_or_zero(c: Column) -> Column:
     return F.coalesce(to_int64(c), F.lit(0).cast("bigint"))
 
 
+def once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(c)``, with ``c`` worked out once however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def pinned(c: Column) -> Column:
     """``c`` itself, marked so that the optimizer leaves filters on it in place.
 

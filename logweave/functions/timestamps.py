@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .strings import INTEGER
+from .strings import INTEGER, once
 
 # The transform names a mapping may use for event_timestamp.
 NAMED = ("", "rfc3339", "rfc3339nano", "unix", "unix_ms", "aws_suricata", "auto")
@@ -26,8 +26,9 @@ _SURICATA = rf"\A{_CLOCK}[+-][0-9]{{4}}\z"
 
 def _cast(iso: Column) -> Column:
     ts = F.replace(iso, F.lit(","), F.lit(".")).try_cast("timestamp")
-    return F.when(ts.between(F.lit("0001-01-01T00:00:00Z").cast("timestamp"),
-                             F.lit("9999-12-31T23:59:59.999999Z").cast("timestamp")), ts)
+    first = F.lit("0001-01-01T00:00:00Z").cast("timestamp")
+    last = F.lit("9999-12-31T23:59:59.999999Z").cast("timestamp")
+    return once(ts, lambda t: F.when(t.between(first, last), t))
 
 
 def rfc3339(c: Column) -> Column:
@@ -163,64 +164,69 @@ def compile_layout(layout: str) -> Layout:
     return Layout(r"\A" + "".join(out) + r"\z", tuple(parts))
 
 
+_SEPARATOR = "\x01"
+
+
 def from_layout(c: Column, layout: str) -> Column:
-    """Parse by a reference-time layout; no offset in the layout means UTC."""
+    """Parse by a reference-time layout; no offset in the layout means UTC.
+
+    One match rewrites the text to its parts, joined by a separator.
+    """
     spec = compile_layout(layout)
+    groups = "".join(f"{_SEPARATOR}${n}" for n in range(1, len(spec.parts) + 1))
+    rewritten = F.regexp_replace(c, spec.pattern, groups or _SEPARATOR)
+    fits = ~F.contains(c, F.lit(_SEPARATOR))
+    return F.when(fits, once(
+        F.split(rewritten, _SEPARATOR, -1),
+        lambda parts: F.when(F.get(parts, F.lit(0)) == "", _assemble(parts, spec.parts)),
+    ))
 
-    def part(name: str) -> Column | None:
-        if name not in spec.parts:
-            return None
-        # The last element that sets a part wins.
-        group = len(spec.parts) - spec.parts[::-1].index(name)
-        return F.trim(F.regexp_extract(c, spec.pattern, group))
 
-    def number(name: str) -> Column | None:
-        text = part(name)
-        return None if text is None else text.try_cast("int")
+def _assemble(texts: Column, names: tuple[str, ...]) -> Column:
+    """Timestamp from the parts of one match; ``texts`` starts with an empty one."""
 
-    year = part("year")
-    if year is None and "short_year" in spec.parts:
-        short = number("short_year")
+    def part(name: str, absent: str) -> Column:
+        if name not in names:
+            return F.lit(absent)
+        # The last element that sets a part wins.
+        at = len(names) - names[::-1].index(name)
+        return F.trim(F.get(texts, F.lit(at)))
+
+    year = part("year", "0000")
+    if "year" not in names and "short_year" in names:
+        short = part("short_year", "").try_cast("int")
         year = F.when(short >= 69, short + 1900).otherwise(short + 2000).cast("string")
-    month = part("month")
-    if month is None and "month_name" in spec.parts:
-        name = F.lower(F.substr(part("month_name"), F.lit(1), F.lit(3)))
+    month = part("month", "1")
+    if "month" not in names and "month_name" in names:
+        name = F.lower(F.substr(part("month_name", ""), F.lit(1), F.lit(3)))
         month = F.floor((F.instr(F.lit(_MONTHS), name) + 2) / 3).cast("string")
-    hour = part("hour")
-    half = part("half")
-    if "hour12" in spec.parts:
-        hour = F.when(number("hour12") <= 12, part("hour12"))
-    if half is not None and hour is not None:
-        h = hour.try_cast("int")
+    hour = part("hour", "0")
+    if "hour12" in names:
+        hour = F.when(part("hour12", "").try_cast("int") <= 12, part("hour12", ""))
+    if "half" in names:
+        half, h = F.upper(part("half", "")), hour.try_cast("int")
         hour = (
-            F.when((F.upper(half) == "PM") & (h < 12), h + 12)
-            .when((F.upper(half) == "AM") & (h == 12), F.lit(0))
-            .otherwise(h)
+            F.when((half == "PM") & (h < 12), h + 12).when((half == "AM") & (h == 12), F.lit(0)).otherwise(h)
         ).cast("string")
-    offset = part("offset")
-    if offset is not None:
+    offset = part("offset", "Z")
+    if "offset" in names:
         offset = F.regexp_replace(offset, r"\A([+-][0-9]{2}):?([0-9]{2})?\z", "$1:$2")
         offset = F.when(offset.endswith(":"), F.concat(offset, F.lit("00"))).otherwise(offset)
-
-    day = part("day")
-    year_day = number("year_day")
-    if year_day is not None:
-        month, day = F.lit("1"), F.lit("1")
+    by_year_day = "year_day" in names
     iso = F.concat(
-        year if year is not None else F.lit("0000"), F.lit("-"),
-        month if month is not None else F.lit("1"), F.lit("-"),
-        day if day is not None else F.lit("1"), F.lit("T"),
-        hour if hour is not None else F.lit("0"), F.lit(":"),
-        part("minute") if "minute" in spec.parts else F.lit("0"), F.lit(":"),
-        part("second") if "second" in spec.parts else F.lit("0"),
-        part("fraction") if "fraction" in spec.parts else F.lit(""),
-        offset if offset is not None else F.lit("Z"),
+        year, F.lit("-"), F.lit("1") if by_year_day else month, F.lit("-"),
+        F.lit("1") if by_year_day else part("day", "1"), F.lit("T"),
+        hour, F.lit(":"), part("minute", "0"), F.lit(":"), part("second", "0"), part("fraction", ""), offset,
     )
-    ts = _cast(iso)
-    if year_day is not None:
-        moved = ts + F.make_dt_interval(days=year_day - 1)
-        ts = F.when((year_day >= 1) & (F.year(moved) == F.year(ts)), moved)
-    return F.when(c.rlike(spec.pattern), ts)
+    if not by_year_day:
+        return _cast(iso)
+    day = part("year_day", "").try_cast("int")
+
+    def moved(ts: Column) -> Column:
+        later = ts + F.make_dt_interval(days=day - 1)
+        return F.when((day >= 1) & (F.year(later) == F.year(ts)), later)
+
+    return once(_cast(iso), moved)
 
 
 def is_timestamp_transform(name: str) -> bool:

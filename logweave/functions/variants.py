@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Texts the plain cast may have got wrong: objects and arrays (not leaves),
-# fractions and exponents (to be written the short way), and integers that do
-# not fit a double exactly.
-_DOUBTFUL = r"\A(?:[\[{]|-?[0-9]+\.[0-9]+(?:E-?[0-9]+)?\z|-?[0-9]{16,}\z)"
+from .strings import once
+
+# Numbers the plain cast may have got wrong: fractions and exponents (to be
+# written the short way), and integers that do not fit a double exactly.
+_DOUBTFUL = r"\A-?(?:[0-9]+\.[0-9]+(?:E-?[0-9]+)?|[0-9]{16,})\z"
 _EXPONENT = r"\A(-?)([0-9])\.([0-9]+)E(-?[0-9]+)\z"
 
 
@@ -56,14 +57,21 @@ def _exact_text(v: Column) -> Column:
     )
 
 
-def leaf_text(v: Column, dotted: str) -> Column:
+def plain_leaf(v: Column, dotted: str) -> Column:
+    """Text of the leaf at ``dotted`` as the plain cast gives it."""
+    return F.try_variant_get(v, path_of(dotted), "string")
+
+
+def leaf_text(v: Column, dotted: str, plain: Column) -> Column:
     """Text of the leaf at ``dotted``; NULL if missing, null, object or array.
 
-    Numbers go through a double as in the table contract. The exact rule sits
-    in a lambda over a one-element array: it runs for doubtful values only and
-    adds one call, not its whole body, to the generated code of each field.
+    ``plain`` is ``plain_leaf`` of the same path, as a column of its own so that
+    it is read once. Numbers go through a double, as the table contract has it.
+    That rule sits in a lambda over a one-element array: it runs for doubtful
+    values only and adds one call, not its whole body, to the generated code.
     """
-    path = path_of(dotted)
-    text = F.try_variant_get(v, path, "string")
-    exact = F.transform(F.array(F.try_variant_get(v, path, "variant")), _exact_text)
-    return F.when(text.rlike(_DOUBTFUL), F.get(exact, F.lit(0))).otherwise(text)
+    first = F.ascii(plain)
+    nested = first.isin(ord("["), ord("{"))
+    numeric = first.between(ord("-"), ord("9")) & plain.rlike(_DOUBTFUL)
+    exact = once(F.try_variant_get(v, path_of(dotted), "variant"), _exact_text)
+    return F.when(nested | numeric, exact).otherwise(plain)

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions import csvtext, kv, regexes
 from ..functions.jsontext import split_records
-from ..functions.strings import blank_to_null, trim_space
-from ..functions.variants import leaf_text
+from ..functions.strings import strip_quotes, trim_space
+from ..functions.variants import leaf_text, plain_leaf
 from ..mapping import Mapping
 from ..sources import multiline
 from .projection import Lookup
@@ -64,7 +64,7 @@ def _trimmed_lines(lines: DataFrame) -> DataFrame:
 def read_kv(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[DataFrame, Lookup]:
     tokenise = kv.space_kv if mapping.delimiter == "space" else kv.comma_kv
     frame = _trimmed_lines(lines).withColumn("pairs", tokenise(F.col("text"))).drop("text")
-    return frame, lambda key: blank_to_null(F.col("pairs")[key])
+    return frame, lambda key: strip_quotes(F.col("pairs")[key])
 
 
 def read_regex(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[DataFrame, Lookup]:
@@ -88,7 +88,7 @@ def read_regex(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[Da
         values = [F.lit(None).cast("string")]
         for column, pattern in zip(matched, mapping.patterns):
             if name in pattern.java.names:   # a capture wins over a constant
-                values.append(blank_to_null(F.get(F.col(column), F.lit(pattern.java.names[name] - 1))))
+                values.append(F.get(F.col(column), F.lit(pattern.java.names[name] - 1)))
             elif pattern.consts.get(name):
                 values.append(F.when(F.col(column).isNotNull(), F.lit(pattern.consts[name])))
         return F.coalesce(*values)
@@ -167,30 +167,14 @@ def read_json(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[Dat
         ).where(F.col("raw") != "")
         values = joined if options.multiline is True else values.unionByName(joined)
     frame = json_records(values, mapping.record_path, one_per_row)
-    return frame, lambda path: blank_to_null(leaf_text(F.col("doc"), path))
+    leaves = {p: f"leaf{i}" for i, p in enumerate(mapping.paths)}
+    frame = frame.select("*", *[plain_leaf(F.col("doc"), p).alias(c) for p, c in leaves.items()])
+    return frame, lambda path: leaf_text(F.col("doc"), path, F.col(leaves[path]))
 
 
 # --- CSV ---------------------------------------------------------------------
 
 
-def _csv_records(lines: DataFrame, delimiter: str, options: Options) -> DataFrame:
-    """Line frame -> rows of ``PLACE, raw`` with one record's text each."""
-    lines = lines.withColumn("value", F.regexp_replace("value", r"\r\z", ""))
-    plain = lines.select(*PLACE, F.col("value").alias("raw")).where(F.col("raw") != "")
-    if options.multiline is False:
-        return plain
-    if options.multiline == "auto":
-        open_ended = multiline.files_with(lines, csvtext.ends_open(F.col("value"), delimiter))
-        if open_ended is None:
-            return plain
-        plain = plain.join(open_ended, "source_file", "left_anti")
-        lines = lines.join(open_ended, "source_file", "left_semi")
-    joined = multiline.join_records(multiline.csv_starts(lines, delimiter)).select(
-        *PLACE, F.array_join("parts", "\n").alias("raw")
-    )
-    return joined if options.multiline is True else plain.unionByName(joined)
-
-
 def _header_name(name: str) -> str:
     return name.strip().lower()
 
@@ -203,35 +187,71 @@ def _position(path: str) -> int | None:
     return max(int(digits), 0) if re.fullmatch(r"[+-]?[0-9]+", digits) else 0
 
 
-def _bind_headers(records: DataFrame, delimiter: str, names: list[str]) -> DataFrame:
-    """Bind each file's own header: adds ``at``, the 0-based position of every
-    wanted name in the file (NULL if absent), and drops the header rows.
-
-    The first record of a file is found in its first block; the result has one
-    row per file, is kept, and is broadcast only after its rows were counted.
-    """
-    first = (
-        records.groupBy("source_file")
-        .agg(F.min_by(F.struct("block", "seq", "raw"), F.struct("block", "seq")).alias("first"))
-    )
+def _headers(firsts: DataFrame, delimiter: str, names: list[str]) -> DataFrame:
+    """Each file's own header: where it is and ``at``, the 0-based position of
+    every wanted name in it (NULL if absent; the last of equal names counts)."""
     cells = F.transform(
         csvtext.fields(F.col("first.raw"), delimiter), lambda c: F.lower(trim_space(c))
     )
-    # The last of several equal names counts.
     last_of = [
         F.array_max(F.filter(
             F.transform(F.col("cells"), lambda c, i: F.when(c == name, i)), lambda i: i.isNotNull()
         ))
         for name in names
     ]
-    headers = first.select(
+    return firsts.select(
         "source_file",
         F.col("first.block").alias("header_block"), F.col("first.seq").alias("header_seq"),
         cells.alias("cells"), csvtext.is_valid(F.col("first.raw"), delimiter).alias("header_ok"),
     ).select(
         "source_file", "header_block", "header_seq", "header_ok",
         (F.array(*last_of) if names else F.array().cast("array<int>")).alias("at"),
-    ).persist()
+    )
+
+
+def _csv_records(
+    lines: DataFrame, delimiter: str, options: Options, names: list[str] | None
+) -> DataFrame:
+    """Line frame -> rows of ``PLACE, raw`` with one record's text each.
+
+    With ``names``, the names to look for in each file's header, also ``at`` and
+    ``header_ok``, and without the header rows. All that must be known about a
+    file beforehand (does a record span lines, what is its first record) comes
+    from one look at the input; its result has one row per file, is kept, and is
+    broadcast only after its rows were counted.
+    """
+    first = F.min_by(F.struct("block", "seq", "raw"), F.struct("block", "seq")).alias("first")
+    plain = lines.select(
+        *PLACE, F.regexp_replace("value", r"\r\z", "").alias("raw")
+    )
+    look = options.multiline == "auto"
+    surveyed, open_files = None, None
+    if look or (names is not None and options.multiline is False):
+        opens = csvtext.ends_open(F.col("raw"), delimiter) if look else F.lit(False)
+        surveyed = plain.where(F.col("raw") != "").groupBy("source_file").agg(
+            F.bool_or(opens).alias("open"), *([first] if names is not None else [])
+        ).persist()
+        few = surveyed.count() <= multiline.MAX_BROADCAST_FILES
+        if look and not surveyed.where("open").isEmpty():
+            open_files = surveyed.where("open").select("source_file")
+            open_files = F.broadcast(open_files) if few else open_files
+    records = plain.where(F.col("raw") != "")
+    firsts = None if surveyed is None or names is None else surveyed.select("source_file", "first")
+    if options.multiline is True or open_files is not None:
+        whole = plain if open_files is None else plain.join(open_files, "source_file", "left_semi")
+        joined = multiline.join_records(
+            multiline.csv_starts(whole.withColumnRenamed("raw", "value"), delimiter)
+        ).select(*PLACE, F.array_join("parts", "\n").alias("raw"))
+        own = joined.groupBy("source_file").agg(first) if names is not None else None
+        if open_files is None:
+            records, firsts = joined, own
+        else:
+            records = records.join(open_files, "source_file", "left_anti").unionByName(joined)
+            if names is not None:
+                firsts = surveyed.where("NOT open").select("source_file", "first").unionByName(own)
+    if names is None:
+        return records
+    headers = _headers(firsts, delimiter, names).persist()
     few = headers.count() <= multiline.MAX_BROADCAST_FILES
     bound = records.join(F.broadcast(headers) if few else headers, "source_file")
     is_header = (F.col("block") == F.col("header_block")) & (F.col("seq") == F.col("header_seq"))
@@ -240,9 +260,9 @@ def _bind_headers(records: DataFrame, delimiter: str, names: list[str]) -> DataF
 
 def read_csv(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[DataFrame, Lookup]:
     d = csvtext.DELIMITERS[mapping.delimiter]
-    records = _csv_records(lines, d, options)
-    names = [_header_name(p) for p in mapping.paths if _position(p) is None]
-    names = list(dict.fromkeys(names))
+    names = list(dict.fromkeys(_header_name(p) for p in mapping.paths if _position(p) is None))
+    own_header = mapping.has_header and options.header is None
+    records = _csv_records(lines, d, options, names if own_header else None)
     ok = csvtext.is_valid(F.col("raw"), d)
     problem = F.when(~ok, F.lit("csv: stray or unclosed quote"))
     index: dict[str, Column] = {}
@@ -254,7 +274,6 @@ def read_csv(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[Data
         ) == F.array(*[F.lit(_header_name(n)) for n in options.header])
         records = records.where(~F.coalesce(heading, F.lit(False)))
     elif mapping.has_header:
-        records = _bind_headers(records, d, names)
         problem = F.when(~F.col("header_ok"), F.lit("csv: unreadable header row")).otherwise(problem)
         index = {n: F.get(F.col("at"), F.lit(i)) for i, n in enumerate(names)}
     frame = records.select(
@@ -269,10 +288,10 @@ def read_csv(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[Data
         position = _position(path)
         if position is None:
             at = index.get(_header_name(path))
-            return F.lit(None).cast("string") if at is None else blank_to_null(F.get("fields", at))
+            return F.lit(None).cast("string") if at is None else F.get("fields", at)
         if position == 0:
             return F.lit(None).cast("string")
-        return blank_to_null(F.get("fields", F.lit(position - 1)))
+        return F.get("fields", F.lit(position - 1))
 
     return frame, find
 

@@ -13,14 +13,14 @@ from ..functions.transforms import FALLIBLE, TRANSFORMS, lookup
 from ..mapping import Field, Mapping
 from ..schemas import NETWORK_COLUMNS, NETWORK_INTEGERS
 
-# Source path -> value column; NULL where the record has no value or an empty one.
+# Source path -> value column; NULL (or '') where the record has no value.
 Lookup = Callable[[str], Column]
 
 
 def resolve(field: Field, find: Lookup) -> Column:
     """The first non-empty source, or the non-empty join parts put together."""
     if field.join:
-        return blank_to_null(F.concat_ws(field.separator, *[find(p) for p in field.join]))
+        return blank_to_null(F.concat_ws(field.separator, *[find(p) for p in field.join if p]))
     found = [find(p) for p in field.source if p]
     return F.coalesce(*found) if found else F.lit(None).cast("string")
 
@@ -48,9 +48,12 @@ def project(frame: DataFrame, mapping: Mapping, find: Lookup, keep: list[str]) -
     slots = [f"_f{i}" for i in range(len(mapping.fields))]
     stamps = [f"{s}_at" for s in slots]
 
-    resolved = frame.select(
-        *carried, *[resolve(f, find).alias(s) for f, s in zip(mapping.fields, slots)]
-    )
+    looked_up = {p: f"_p{i}" for i, p in enumerate(mapping.paths)}
+    found = frame.select(*carried, *[find(p).alias(c) for p, c in looked_up.items()])
+    resolved = found.select(*carried, *[
+        resolve(f, lambda p: blank_to_null(F.col(looked_up[p]))).alias(s)
+        for f, s in zip(mapping.fields, slots)
+    ])
     settled = resolved.select(
         *carried, *[substitute(f, F.col(s)).alias(s) for f, s in zip(mapping.fields, slots)]
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timestamps
 from ..functions.strings import event_uuid, pinned, to_int64, trim_space
-from ..functions.variants import leaf_text
+from ..functions.variants import leaf_text, plain_leaf
 
 PLACE = ["source_file", "block", "seq"]
 
@@ -58,9 +58,11 @@ def normalise(lines: DataFrame, root: str, default_device: str, max_line_bytes:
     leaves = (*_TEXTS, "timestamp", "event_timestamp", "display_name", "event_identifier")
     rows = rows.select(
         "*", F.schema_of_variant(doc).startswith("OBJECT").alias("is_object"), *kinds.values(),
-        *[leaf_text(doc, k).alias(f"_{k}") for k in leaves],
+        *[plain_leaf(doc, k).alias(f"{k}_plain") for k in leaves],
         F.try_variant_get(doc, "$['tag']", "array<string>").alias("_tag"),
-        *[_kind(doc, k).rlike("^(?:OBJECT|ARRAY)").alias(f"{k}_nested") for k in _TEXTS],
+    )
+    rows = rows.select(
+        "*", *[leaf_text(doc, k, F.col(f"{k}_plain")).alias(f"_{k}") for k in leaves]
     )
 
     # Epoch microseconds, as a number (cut to an integer) or as a numeric text.
@@ -86,14 +88,17 @@ def normalise(lines: DataFrame, root: str, default_device: str, max_line_bytes:
         device, path = F.lit(None).cast("string"), F.lit(None).cast("string")
     rows = rows.select("*", device.alias("_device"), path.alias("_path"))
 
-    nested = [F.when(F.coalesce(f"{k}_nested", F.lit(False)), F.lit(f"{k}: not a scalar")) for k in _TEXTS]
+    # The plain cast writes out objects and arrays, which are no leaves.
+    nested = [
+        F.when(F.col(f"{k}_plain").isNotNull() & F.col(f"_{k}").isNull(), F.lit(f"{k}: not a scalar"))
+        for k in (*_TEXTS, "display_name")
+    ]
     tag_wrong = ~F.coalesce(F.col("tag_kind"), F.lit("VOID")).rlike(r"^(?:VOID|ARRAY<(?!OBJECT|ARRAY))")
     error = F.coalesce(
         F.col("error"),
         F.when(doc.isNull(), F.lit("invalid JSON")),
         F.when(~F.col("is_object"), F.lit("not a JSON object")),
         *nested,
-        F.when(F.col("display_name_kind").rlike("^(?:OBJECT|ARRAY)"), F.lit("display_name: not a scalar")),
         F.when(identifier_wrong, F.lit("event_identifier: not an integer")),
         F.when(tag_wrong, F.lit("tag: not a list of strings")),
         F.when(F.coalesce("_device", F.lit(default_device)) == "", F.lit("device_name: missing")),

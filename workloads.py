@@ -54,7 +54,15 @@ def query(sql: str | None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table, on at least as many tasks as there are cores.
+
+    The tables are small files of a few splits, while the log lines rendered
+    from them take much work to parse. A scan of real size has tasks enough and
+    is left as it is.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
