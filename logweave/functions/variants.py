@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from functools import reduce
 
-from .strings import once
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # Numbers the plain cast may have got wrong: fractions and exponents (to be
 # written the short way), and integers that do not fit a double exactly.
@@ -57,21 +57,31 @@ def _exact_text(v: Column) -> Column:
     )
 
 
-def plain_leaf(v: Column, dotted: str) -> Column:
-    """Text of the leaf at ``dotted`` as the plain cast gives it."""
-    return F.try_variant_get(v, path_of(dotted), "string")
+def _doubtful(plain: Column) -> Column:
+    first = F.ascii(plain)
+    nested = first.isin(ord("["), ord("{"))
+    return nested | (first.between(ord("-"), ord("9")) & plain.rlike(_DOUBTFUL))
 
 
-def leaf_text(v: Column, dotted: str, plain: Column) -> Column:
-    """Text of the leaf at ``dotted``; NULL if missing, null, object or array.
+def with_leaves(frame: DataFrame, doc: str, leaves: dict[str, str]) -> DataFrame:
+    """Add the leaves of the VARIANT column ``doc``: column name -> dotted path.
 
-    ``plain`` is ``plain_leaf`` of the same path, as a column of its own so that
-    it is read once. Numbers go through a double, as the table contract has it.
-    That rule sits in a lambda over a one-element array: it runs for doubtful
-    values only and adds one call, not its whole body, to the generated code.
+    A leaf is NULL if missing, null, an object or an array; numbers go through a
+    double, as the table contract has it. The cast is right for nearly all
+    leaves. Rows with a doubtful one have all their leaves read by the exact
+    rule, in a lambda, which keeps that rule's code out of each field.
     """
-    first = F.ascii(plain)
-    nested = first.isin(ord("["), ord("{"))
-    numeric = first.between(ord("-"), ord("9")) & plain.rlike(_DOUBTFUL)
-    exact = once(F.try_variant_get(v, path_of(dotted), "variant"), _exact_text)
-    return F.when(nested | numeric, exact).otherwise(plain)
+    variants = [F.try_variant_get(doc, path_of(p), "variant") for p in leaves.values()]
+    plain = frame.select(
+        "*", *[F.try_variant_get(doc, path_of(p), "string").alias(f"{c}_cast") for c, p in leaves.items()]
+    )
+    doubts = [_doubtful(F.col(f"{c}_cast")).alias(f"{c}_doubt") for c in leaves]
+    marked = plain.select("*", *doubts)
+    any_doubt = reduce(lambda a, b: a | b, [F.coalesce(f"{c}_doubt", F.lit(False)) for c in leaves])
+    exact = marked.withColumn(
+        "exact", F.when(any_doubt, F.transform(F.array(*variants), _exact_text))
+    )
+    return exact.select(*frame.columns, *[
+        F.when(F.col(f"{c}_doubt"), F.get("exact", F.lit(i))).otherwise(F.col(f"{c}_cast")).alias(c)
+        for i, c in enumerate(leaves)
+    ], *[F.col(f"{c}_doubt") for c in leaves])

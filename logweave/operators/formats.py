@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import csvtext, kv, regexes
 from ..functions.jsontext import split_records
 from ..functions.strings import strip_quotes, trim_space
-from ..functions.variants import leaf_text, plain_leaf
+from ..functions.variants import with_leaves
 from ..mapping import Mapping
 from ..sources import multiline
 from .projection import Lookup
@@ -167,9 +167,10 @@ def read_json(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[Dat
         ).where(F.col("raw") != "")
         values = joined if options.multiline is True else values.unionByName(joined)
     frame = json_records(values, mapping.record_path, one_per_row)
-    leaves = {p: f"leaf{i}" for i, p in enumerate(mapping.paths)}
-    frame = frame.select("*", *[plain_leaf(F.col("doc"), p).alias(c) for p, c in leaves.items()])
-    return frame, lambda path: leaf_text(F.col("doc"), path, F.col(leaves[path]))
+    leaves = {f"leaf{i}": p for i, p in enumerate(mapping.paths)}
+    columns = {p: c for c, p in leaves.items()}
+    frame = with_leaves(frame, "doc", leaves) if leaves else frame
+    return frame, lambda path: F.col(columns[path])
 
 
 # --- CSV ---------------------------------------------------------------------

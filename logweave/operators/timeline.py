@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timestamps
 from ..functions.strings import event_uuid, pinned, to_int64, trim_space
-from ..functions.variants import leaf_text, plain_leaf
+from ..functions.variants import with_leaves
 
 PLACE = ["source_file", "block", "seq"]
 
@@ -58,12 +58,9 @@ def normalise(lines: DataFrame, root: str, default_device: str, max_line_bytes:
     leaves = (*_TEXTS, "timestamp", "event_timestamp", "display_name", "event_identifier")
     rows = rows.select(
         "*", F.schema_of_variant(doc).startswith("OBJECT").alias("is_object"), *kinds.values(),
-        *[plain_leaf(doc, k).alias(f"{k}_plain") for k in leaves],
         F.try_variant_get(doc, "$['tag']", "array<string>").alias("_tag"),
     )
-    rows = rows.select(
-        "*", *[leaf_text(doc, k, F.col(f"{k}_plain")).alias(f"_{k}") for k in leaves]
-    )
+    rows = with_leaves(rows, "raw", {f"_{k}": k for k in leaves})
 
     # Epoch microseconds, as a number (cut to an integer) or as a numeric text.
     stamp = F.col("_timestamp")
@@ -88,9 +85,8 @@ def normalise(lines: DataFrame, root: str, default_device: str, max_line_bytes:
         device, path = F.lit(None).cast("string"), F.lit(None).cast("string")
     rows = rows.select("*", device.alias("_device"), path.alias("_path"))
 
-    # The plain cast writes out objects and arrays, which are no leaves.
     nested = [
-        F.when(F.col(f"{k}_plain").isNotNull() & F.col(f"_{k}").isNull(), F.lit(f"{k}: not a scalar"))
+        F.when(F.col(f"_{k}_doubt") & F.col(f"_{k}").isNull(), F.lit(f"{k}: not a scalar"))
         for k in (*_TEXTS, "display_name")
     ]
     tag_wrong = ~F.coalesce(F.col("tag_kind"), F.lit("VOID")).rlike(r"^(?:VOID|ARRAY<(?!OBJECT|ARRAY))")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import csvtext
 from ..functions.strings import trim_space
+from ..session import scratch_dir
 
 # A record that would grow past this is not put together: its lines go on one
 # by one. Only an unclosed quote or bracket makes records of this size.
@@ -113,6 +114,13 @@ def csv_starts(lines: DataFrame, delimiter: str) -> DataFrame:
     )
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """``df`` written out and read back, so that what follows does not repeat it."""
+    path = scratch_dir(df.sparkSession, "records")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def join_records(lines: DataFrame) -> DataFrame:
     """Group the lines from each start to the next.
 
@@ -124,31 +132,37 @@ def join_records(lines: DataFrame) -> DataFrame:
         Window.unboundedPreceding, Window.currentRow
     )
     place = F.when(F.col("starts"), F.struct("block", "seq"))
-    lines = lines.withColumn("own_start", F.last(place, ignorenulls=True).over(here))
-    blocks = lines.groupBy(*_BLOCK).agg(F.max("own_start").alias("block_start"))
+    # The part of each record inside one block. The rows lie by block already,
+    # so this groups without a shuffle; a part is never larger than its block.
+    parts = _stored(
+        lines.withColumn("own_start", F.last(place, ignorenulls=True).over(here))
+        .groupBy(*_BLOCK, "own_start")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("seq", "value"))).alias("rows"),
+            F.sum(F.octet_length("value") + 1).alias("size"),
+        )
+    )
     earlier = Window.partitionBy("source_file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    blocks = blocks.select(
+    # Lines before the first start of a block go on with the last record before.
+    blocks = parts.groupBy(*_BLOCK).agg(F.max("own_start").alias("block_start")).select(
         *_BLOCK, F.last("block_start", ignorenulls=True).over(earlier).alias("carried")
     )
-    lines = (
-        lines.join(blocks, _BLOCK)
+    parts = (
+        parts.join(blocks, _BLOCK)
         .withColumn("start", F.coalesce("own_start", "carried"))
         .where(F.col("start").isNotNull())
     )
-    # Sizes first, from partial sums, so that no oversized group is collected.
-    sizes = lines.groupBy("source_file", "start").agg(
-        F.sum(F.octet_length("value") + 1).alias("size")
-    )
-    large = sizes.where(F.col("size") > MAX_RECORD_BYTES).select("source_file", "start")
-    whole = lines.join(large, ["source_file", "start"], "left_anti")
-    loose = lines.join(large, ["source_file", "start"], "left_semi")
-    grouped = whole.groupBy("source_file", "start").agg(
-        F.sort_array(F.collect_list(F.struct("block", "seq", "value"))).alias("rows")
-    )
-    return grouped.select(
-        "source_file", "start.block", "start.seq", F.col("rows.value").alias("parts")
-    ).unionByName(
-        loose.select("source_file", "block", "seq", F.array("value").alias("parts"))
+    record = ["source_file", "start"]
+    total = F.sum("size").over(Window.partitionBy(*record))
+    parts = parts.withColumn("loose", total > MAX_RECORD_BYTES)
+    # An oversized record stays apart by block and is never collected.
+    records = parts.groupBy(*record, "loose", F.when(F.col("loose"), F.col("block")).alias("apart")).agg(
+        F.sort_array(F.collect_list(F.struct("block", F.col("rows.value").alias("values")))).alias("pieces")
+    ).select("source_file", "start", "loose", F.flatten("pieces.values").alias("parts"))
+    single = F.transform("parts", lambda value: F.array(value))
+    return records.select(
+        "source_file", "start.block", "start.seq",
+        F.explode(F.when(F.col("loose"), single).otherwise(F.array("parts"))).alias("parts"),
     )
