@@ -2,26 +2,49 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .strings import once
+
 # Numbers the plain cast may have got wrong: fractions and exponents (to be
 # written the short way), and integers that do not fit a double exactly.
 _DOUBTFUL = r"\A-?(?:[0-9]+\.[0-9]+(?:E-?[0-9]+)?|[0-9]{16,})\z"
 _EXPONENT = r"\A(-?)([0-9])\.([0-9]+)E(-?[0-9]+)\z"
 
 
+# Marks the end of a text that was parsed; new in each process, so that no log
+# line can hold it.
+_END = uuid.uuid4().hex
+
+# Where ``parse_one`` puts the value.
+ROOT = "$[0]"
+
+
+def parse_one(text: Column) -> Column:
+    """VARIANT with the text's only JSON value at ``ROOT``; NULL if the text is
+    anything else than exactly one value.
+
+    Spark's parser stops after the first value and accepts whatever follows.
+    Hence the value is parsed as the first of two elements of a list, which
+    holds only if the value ends where the text does.
+    """
+    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    return once(pair, lambda v: F.when(F.try_variant_get(v, "$[1]", "string") == _END, v))
+
+
 def path_of(dotted: str) -> str:
-    """``a.b`` -> ``$['a']['b']``: object keys only, never array positions."""
+    """``a.b`` -> ``$[0]['a']['b']``: object keys only, never array positions."""
     steps = []
     for key in dotted.split("."):
         quote = "'" if "'" not in key else '"'
         if quote in key:
             raise ValueError(f"JSON key cannot hold both kinds of quotes: {key!r}")
         steps.append(f"[{quote}{key}{quote}]")
-    return "$" + "".join(steps)
+    return ROOT + "".join(steps)
 
 
 def double_text(d: Column) -> Column:
@@ -64,7 +87,7 @@ def _doubtful(plain: Column) -> Column:
 
 
 def with_leaves(frame: DataFrame, doc: str, leaves: dict[str, str]) -> DataFrame:
-    """Add the leaves of the VARIANT column ``doc``: column name -> dotted path.
+    """Add leaves of ``doc``, a ``parse_one`` column: column name -> dotted path.
 
     A leaf is NULL if missing, null, an object or an array; numbers go through a
     double, as the table contract has it. The cast is right for nearly all

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import csvtext, kv, regexes
 from ..functions.jsontext import split_records
 from ..functions.strings import strip_quotes, trim_space
-from ..functions.variants import with_leaves
+from ..functions.variants import parse_one, with_leaves
 from ..mapping import Mapping
 from ..sources import multiline
 from .projection import Lookup
@@ -121,11 +121,6 @@ def _cutter(record_path: str):
     return cut
 
 
-def _is_one_record(raw: Column, record_path: str) -> Column:
-    one = F.try_parse_json(raw).isNotNull() & ~raw.startswith("[")
-    return one & ~raw.startswith("{") if record_path else one
-
-
 def json_records(values: DataFrame, record_path: str, one_per_row: bool = False) -> DataFrame:
     """Rows of ``PLACE, raw`` with complete top-level values -> a row per record.
 
@@ -134,20 +129,24 @@ def json_records(values: DataFrame, record_path: str, one_per_row: bool = False)
     an element out of an envelope byte for byte. ``one_per_row`` promises that
     there are no others.
     """
+    records = values.withColumn("doc", parse_one(F.col("raw")))
     if one_per_row:
-        records = values.select(*PLACE, "raw", F.lit(None).cast("string").alias("error"))
+        records = records.withColumn("error", F.lit(None).cast("string"))
     else:
-        one = values.withColumn("one", _is_one_record(F.col("raw"), record_path))
-        itself = F.array(F.struct("raw", F.lit(None).cast("string").alias("error")))
-        pieces = one.select(
-            *PLACE, "raw", "one", _cutter(record_path)(F.when(~F.col("one"), F.col("raw"))).alias("pieces")
+        starts = F.lit("[{" if record_path else "[")
+        records = records.withColumn(
+            "one", F.col("doc").isNotNull() & ~F.contains(starts, F.left("raw", F.lit(1)))
         )
-        records = pieces.select(
-            *PLACE, F.explode(F.when(F.col("one"), itself).otherwise(F.col("pieces"))).alias("r")
-        ).select(*PLACE, "r.raw", "r.error")
+        text = F.when(~F.col("one"), F.col("raw"))
+        records = records.withColumn("pieces", _cutter(record_path)(text))
+        itself = F.array(F.struct("raw", F.lit(None).cast("string").alias("error")))
+        records = records.select(
+            *PLACE, "doc", "one", F.explode(F.when(F.col("one"), itself).otherwise(F.col("pieces"))).alias("r")
+        ).select(*PLACE, "r.raw", "r.error", F.when(F.col("one"), F.col("doc")).when(
+            F.col("r.error").isNull(), parse_one(F.col("r.raw"))).alias("doc"))
     return records.withColumn(
-        "doc", F.when(F.col("error").isNull(), F.try_parse_json("raw"))
-    ).withColumn("error", F.coalesce("error", F.when(F.col("doc").isNull(), F.lit("invalid JSON"))))
+        "error", F.coalesce("error", F.when(F.col("doc").isNull(), F.lit("invalid JSON")))
+    )
 
 
 def read_json(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[DataFrame, Lookup]:

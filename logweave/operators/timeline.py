@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timestamps
 from ..functions.strings import event_uuid, pinned, to_int64, trim_space
-from ..functions.variants import with_leaves
+from ..functions.variants import ROOT, parse_one, path_of, with_leaves
 
 PLACE = ["source_file", "block", "seq"]
 
@@ -19,7 +19,7 @@ _NUMBERS = ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL")
 
 
 def _kind(doc: Column, key: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(doc, f"$['{key}']", "variant"))
+    return F.schema_of_variant(F.try_variant_get(doc, path_of(key), "variant"))
 
 
 def _is_number(kind: Column) -> Column:
@@ -51,16 +51,16 @@ def normalise(lines: DataFrame, root: str, default_device: str, max_line_bytes:
             F.when(too_long, F.lit(f"line exceeds {max_line_bytes} byte limit")).alias("error"),
         )
         .where(trim_space(F.col("raw_line")) != "")
-        .withColumn("raw", F.when(F.col("error").isNull(), F.try_parse_json("raw_line")))
+        .withColumn("doc", F.when(F.col("error").isNull(), parse_one(F.col("raw_line"))))
     )
-    doc = F.col("raw")
+    doc = F.col("doc")
     kinds = {k: _kind(doc, k).alias(f"{k}_kind") for k in ("timestamp", "event_identifier", "display_name", "tag")}
     leaves = (*_TEXTS, "timestamp", "event_timestamp", "display_name", "event_identifier")
     rows = rows.select(
-        "*", F.schema_of_variant(doc).startswith("OBJECT").alias("is_object"), *kinds.values(),
-        F.try_variant_get(doc, "$['tag']", "array<string>").alias("_tag"),
+        "*", *kinds.values(), F.try_variant_get(doc, ROOT, "variant").alias("raw"),
+        F.try_variant_get(doc, path_of("tag"), "array<string>").alias("_tag"),
     )
-    rows = with_leaves(rows, "raw", {f"_{k}": k for k in leaves})
+    rows = with_leaves(rows, "doc", {f"_{k}": k for k in leaves})
 
     # Epoch microseconds, as a number (cut to an integer) or as a numeric text.
     stamp = F.col("_timestamp")
@@ -93,7 +93,7 @@ def normalise(lines: DataFrame, root: str, default_device: str, max_line_bytes:
     error = F.coalesce(
         F.col("error"),
         F.when(doc.isNull(), F.lit("invalid JSON")),
-        F.when(~F.col("is_object"), F.lit("not a JSON object")),
+        F.when(~F.schema_of_variant("raw").startswith("OBJECT"), F.lit("not a JSON object")),
         *nested,
         F.when(identifier_wrong, F.lit("event_identifier: not an integer")),
         F.when(tag_wrong, F.lit("tag: not a list of strings")),

@@ -18,10 +18,6 @@ from ..sources.listing import list_files
 from ..sources.lines import is_archive, number_lines, read_lines
 
 
-class IngestError(RuntimeError):
-    """Raised in failfast mode when input cannot be read as the reference form asks."""
-
-
 @dataclass(frozen=True)
 class Parsed:
     """One pass over the input: every row either an event or an error.
@@ -76,19 +72,8 @@ def ingest_network(
     """Read all files below ``paths``, archives included, as logs of one type."""
     configure(spark)
     check_patterns(spark, mapping)
-    files = list_files(spark, paths)
     lines = read_lines(spark, paths)
-    if archives and not files.where(is_archive(F.col("path"))).isEmpty():
+    if archives and not list_files(spark, paths).where(is_archive(F.col("path"))).isEmpty():
         unpacked = archive_lines(spark, paths)
         lines = lines.withColumn("error", F.lit(None).cast("string")).unionByName(unpacked)
-    parsed = parse_network(lines, mapping, options)
-    if mapping.format == "csv" and mapping.has_header:
-        empty = files.where(F.col("length") == 0).select(
-            F.col("path").alias("source_file"), F.lit(0).cast("bigint").alias("block"),
-            F.lit(0).cast("bigint").alias("seq"), F.lit("").alias("raw_line"),
-            F.lit("csv: empty file, no header row").alias("error"),
-        )
-        parsed = Parsed(
-            parsed.rows.unionByName(empty, allowMissingColumns=True), parsed.columns, parsed.lines
-        )
-    return parsed
+    return parse_network(lines, mapping, options)

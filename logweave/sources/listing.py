@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """``path, modificationTime, length`` of all files, sub-folders included.
 
-    The content column is pruned, so no file is opened.
+    The content column is pruned, so no file is opened. Spark's scans leave out
+    empty files; they hold no line.
     """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(
         [paths] if isinstance(paths, str) else list(paths)
