@@ -8,10 +8,12 @@ Both need ``spark.sql.mapKeyDedupPolicy=LAST_WIN`` (see ``session.configure``).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .strings import WHITE_SPACE, strip_quotes, trim_space
+from .strings import strip_quotes, trim_space
 
 # A comma-separated field. One that starts with a quote runs to a quote that is
 # followed by a comma or the line end; "" inside is one quote, and any other
@@ -19,10 +21,8 @@ from .strings import WHITE_SPACE, strip_quotes, trim_space
 # empty first field is a field too.
 _COMMA_FIELD = r',("[^"]*+(?:(?:""|"(?!,|\z))[^"]*+)*+"?|[^,]*+)'
 
-_WS = "[" + WHITE_SPACE + "]"
-# Lines that need the careful way: a field that starts with a quote or has no
-# "=", or blanks around a separator. Rare in real logs.
-_UNEVEN = rf',"|\A"|[,=]{_WS}|{_WS}[,=]|(?:\A|,)[^=,]*+(?:,|\z)'
+_UNPRINTABLE = "[^ -~]"
+_NO_EQUALS = r",[^=,]*+(?:,|\z)"
 
 _SPACE_TOKEN = r'((?:[^ "]++|"[^"]*+(?:"|\z))++)'
 # The key ends at the first "=" outside quotes.
@@ -43,11 +43,24 @@ def _cut_comma_field(field: Column) -> Column:
     key = F.substring_index(field, "=", 1)
     # A field without "=" gets the key "", which no mapping can ask for.
     return F.struct(
-        F.when(F.contains(field, F.lit("=")), trim_space(key)).otherwise("").alias("key"),
-        trim_space(_after(field, key)).alias("value"),
+        F.when(F.contains(field, F.lit("=")), key).otherwise("").alias("key"),
+        _after(field, key).alias("value"),
     )
 
 
+def _trim_pair(pair: Column) -> Column:
+    return F.struct(trim_space(pair["key"]).alias("key"), trim_space(pair["value"]).alias("value"))
+
+
+def _is_uneven(led: Column) -> Column:
+    """Lines that need the careful way: a field that starts with a quote or has
+    no "=", blanks around a separator, anything but printable ASCII. Plain
+    searches, and patterns of one simple class, keep the test itself cheap."""
+    apart = [',"', " ,", ", ", " =", "= "]
+    found = [F.contains(led, F.lit(a)) for a in apart]
+    return reduce(lambda a, b: a | b, found) | led.rlike(_UNPRINTABLE) | led.rlike(_NO_EQUALS)
+
+
 def comma_kv(line: Column) -> Column:
     """``key=value,key2="value2"``. Fields without ``=`` are dropped.
 
@@ -57,10 +70,12 @@ def comma_kv(line: Column) -> Column:
     Commas are protected only in a field that *starts* with a quote, so
     ``name="a,b"`` ends at the comma.
     """
-    fields = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_COMMA_FIELD), F.lit(1))
-    careful = F.map_from_entries(F.transform(F.transform(fields, _unquote), _cut_comma_field))
+    led = F.concat(F.lit(","), line)
+    fields = F.regexp_extract_all(led, F.lit(_COMMA_FIELD), F.lit(1))
+    pairs = F.transform(F.transform(fields, _unquote), _cut_comma_field)
+    careful = F.map_from_entries(F.transform(pairs, _trim_pair))
     even = F.str_to_map(line, F.lit(","), F.lit("="))
-    return F.when(line.rlike(_UNEVEN), careful).otherwise(even)
+    return F.when(_is_uneven(led), careful).otherwise(even)
 
 
 def _cut_space_token(token: Column) -> Column:

@@ -16,9 +16,18 @@ WHITE_SPACE = (
 INTEGER = r"\A[+-]?[0-9]+\z"
 
 
+def _is_printable(char: Column) -> Column:
+    return F.ascii(char).between(ord("!"), ord("~"))
+
+
 def trim_space(c: Column) -> Column:
-    """Strip Unicode white space from both ends (``F.trim`` strips U+0020 only)."""
-    return F.btrim(c, F.lit(WHITE_SPACE))
+    """Strip Unicode white space from both ends (``F.trim`` strips U+0020 only).
+
+    Most texts start and end with a printable ASCII character; looking at those
+    two first is far cheaper than a search in the trim set.
+    """
+    clean = _is_printable(c) & _is_printable(F.substring(c, -1, 1))
+    return F.when(clean, c).otherwise(F.btrim(c, F.lit(WHITE_SPACE)))
 
 
 def strip_quotes(c: Column) -> Column:
