@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.strings import pinned
 from ..mapping import Mapping, check_patterns, warn_if_template
 from ..operators.formats import PLACE, Options, reader_for
 from ..operators.projection import project
@@ -18,6 +19,9 @@ from ..sources.listing import list_files
 from ..sources.lines import is_archive, number_lines, read_lines
 
 
+_FATAL = r"\A(?:invalid JSON|not a JSON object|archive:|csv: unreadable header)"
+
+
 @dataclass(frozen=True)
 class Parsed:
     """One pass over the input: every row either an event or an error.
@@ -31,6 +35,19 @@ class Parsed:
     columns: tuple[str, ...]
     lines: DataFrame | None = None
 
+    def failfast(self) -> Parsed:
+        """The strict form: input that makes a whole file unreadable ends the job.
+
+        That is broken JSON, an over-long log line, a container that cannot be
+        opened and an unreadable header row. Errors of single rows stay rows.
+        """
+        error = F.col("error")
+        fatal = error.rlike(_FATAL)
+        if self.columns == NETWORK_COLUMNS:
+            fatal = fatal | error.startswith("line exceeds")
+        ended = F.when(fatal, F.raise_error(error).cast("string")).otherwise(error)
+        return replace(self, rows=self.rows.withColumn("error", pinned(ended)))
+
     @property
     def events(self) -> DataFrame:
         return self.rows.where(F.col("error").isNull()).select(*self.columns)

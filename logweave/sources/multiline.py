@@ -27,8 +27,12 @@ _BLOCK = ["source_file", "block"]
 
 
 def files_with(lines: DataFrame, broken: Column) -> DataFrame | None:
-    """Files having a line for which ``broken`` holds; None if there are none."""
-    files = lines.where(broken).select("source_file").distinct()
+    """Files having a line for which ``broken`` holds; None if there are none.
+
+    The list is kept, as two joins use it and the look at all lines is not to be
+    repeated for each.
+    """
+    files = lines.where(broken).select("source_file").distinct().persist()
     found = files.limit(MAX_BROADCAST_FILES + 1).count()
     if found == 0:
         return None

@@ -114,6 +114,15 @@ def test_broken_json_keeps_good_lines(parse):
     assert [r["error"] is None for r in rows].count(True) == 3
 
 
+def test_failfast(lines):
+    good, row_error, broken = '{"timestamp":"2025-01-02T03:04:05Z"}', '{"timestamp":"x"}', '{"timestamp":'
+    google = lw.vendor_mapping("google")
+    parsed = lw.parse_network(lines(good, row_error), google, lw.Options(multiline=False)).failfast()
+    assert (parsed.events.count(), parsed.quarantine().count()) == (1, 1)
+    with pytest.raises(Exception, match="invalid JSON"):
+        lw.parse_network(lines(good, broken), google, lw.Options(multiline=False)).failfast().events.collect()
+
+
 def test_one_json_record_per_line(parse):
     rows = parse("google", '{"timestamp":"2025-01-02T03:04:05Z"}', '{"a":', one_per_line=True)
     assert [r["error"] for r in rows] == [None, "invalid JSON"]
