@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,3 +25,8 @@ def require_files(listing: DataFrame) -> DataFrame:
     if listing.isEmpty():
         raise FileNotFoundError("no files below the given prefix")
     return listing
+
+
+def literal_path(path: str) -> str:
+    """A listed path as reader input: readers take ``[``, ``*`` and the like as patterns."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)

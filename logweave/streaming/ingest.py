@@ -21,6 +21,7 @@ from ..plans.network import ingest_network
 from ..plans.sinks import write_parsed
 from ..plans.timeline import ingest_timeline
 from ..session import configure
+from ..sources.listing import literal_path
 
 # The names of a micro-batch's files pass through the driver, so their number
 # is bounded here.
@@ -80,7 +81,7 @@ def stream_network(
         taken = routed.where(F.col("reject").isNull()).select("log_type", "path")
         paths: dict[str, list[str]] = {}
         for row in taken.toLocalIterator():   # at most max_files names
-            paths.setdefault(row.log_type, []).append(row.path)
+            paths.setdefault(row.log_type, []).append(literal_path(row.path))
         for log_type, files in sorted(paths.items()):
             parsed = ingest_network(spark, files, mapping_for(log_type), options=options)
             write_parsed(parsed, table, run=_run_name(batch, number, f"-{log_type}"))
@@ -97,7 +98,7 @@ def stream_timeline(
 
     def handle(batch: DataFrame, number: int) -> None:
         routed = route_timelines(batch).where(F.col("reject").isNull())
-        files = [row.path for row in routed.select("path").toLocalIterator()]
+        files = [literal_path(row.path) for row in routed.select("path").toLocalIterator()]
         if files:
             parsed = ingest_timeline(spark, files, root, default_device)
             write_parsed(parsed, table, run=_run_name(batch, number))

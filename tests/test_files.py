@@ -163,7 +163,7 @@ def test_stream_network(spark, tmp_path):
             availableNow=True).start().awaitTermination()
         return sorted(r.rule_id for r in sinks.scan_network(spark, table).collect())
 
-    (logs / "a.log").write_bytes(line(1))
+    (logs / "a[1] {x}.log").write_bytes(line(1))
     (logs / "b.zip").write_bytes(zipped(x__log=line(2)))
     assert run() == ["1", "2"]
     assert run() == ["1", "2"]
