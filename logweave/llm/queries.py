@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from logweave.llm import decontaminate, substring_dedup
+from logweave.llm import decontaminate, language, substring_dedup
 
-_MODULES = (decontaminate, substring_dedup,)
+_MODULES = (decontaminate, language, substring_dedup,)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
