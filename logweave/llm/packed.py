@@ -13,7 +13,7 @@ from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm import tables
@@ -29,14 +29,18 @@ def bucket_bits(hashes: int) -> int:
     return max(6, ceil(log2(max(hashes, 1) / BUCKET_HASHES)))
 
 
+def batch_of(size: int) -> Column:
+    """The batch of a uid in a corpus of so many bytes."""
+    return F.pmod("uid", F.lit(max(1, ceil(size / tables.BATCH_BYTES)))).cast("int")
+
+
 def batched(docs: DataFrame, size: int, *keep: str) -> DataFrame:
     """Columns `keep`, uid, body (UTF-8 bytes of text) and batch; partitioned by batch."""
     spark = docs.sparkSession
-    n = max(1, ceil(size / tables.BATCH_BYTES))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return (
         docs.select(*keep, text.cast("binary").alias("body"), F.xxhash64("doc_id", text).alias("uid"))
-        .withColumn("batch", F.pmod("uid", F.lit(n)).cast("int"))
+        .withColumn("batch", batch_of(size))
         .repartition(tables.partitions(spark, size), "batch")
     )
 
