@@ -5,8 +5,8 @@ global order of tokens. Several orders are used, all rarest first by a sketch of
 tokens occur in the whole corpus (2**18 counters, so what is broadcast is 256 KB at any
 size), each with ties broken by another hash. Tokens that two sets share in the prefix of
 the first order make candidates; candidates must also share a prefix token under the second
-and the third order and fit in length; only pairs in the intersection are verified, on
-whole sets.
+and the third order, as many as their lengths ask for, and fit in length; only pairs in the
+intersection are verified, on the sets of the whole texts.
 
 Equal sets are one class from the start, so copies are never paired. Candidates of a token
 are not all paired at once either: some members, the pivots, are compared with all others
@@ -121,79 +121,113 @@ def prefix(tokens: np.ndarray, levels: np.ndarray, seed: int) -> np.ndarray:
     return tokens[np.argpartition(rank, size - 1)[:size]] if size < len(tokens) else tokens
 
 
-def _first_prefixes(levels: np.ndarray, bits: int):
-    def work(table: pa.Table, side: pa.Table) -> pa.Table:
-        out = [np.empty(0, np.uint64)]
-        out += [prefix(tokens, levels, ORDERS[0]) for _, _, tokens in _heads(table, side)]
-        return packed.send(table["batch"][0].as_py() if table.num_rows else 0, np.concatenate(out), bits, False)
+def _top(tokens: np.ndarray, size: int) -> bytes:
+    """The top bytes of each token, in order."""
+    return np.sort(tokens).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+
+
+def _from_top(body: bytes, size: int) -> np.ndarray:
+    out = np.zeros((len(body) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(body, np.uint8).reshape(-1, size)
+    return out.view(">u8").ravel().astype(np.uint64)
+
+
+#: Bytes of a token that travel: to find candidates, and to filter them. Chance agreement only adds candidates.
+_FIND, _FILTER = 6, 3
+OUTLINE = "uid bigint, n bigint, first binary, filters array<binary>"
+
+
+def _outline(levels: np.ndarray):
+    """The prefixes of each set under all orders."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, first, filters = [], [], []
+            for _, tokens in _sets(batch):
+                n.append(len(tokens))
+                first.append(_top(prefix(tokens, levels, ORDERS[0]), _FIND) if len(tokens) else b"")
+                filters.append([_top(prefix(tokens, levels, seed), _FILTER) for seed in ORDERS[1:]] if len(tokens) else [])
+            yield pa.RecordBatch.from_pydict({"uid": batch["uid"], "n": pa.array(n, pa.int64()), "first": pa.array(first, pa.binary()), "filters": pa.array(filters, pa.list_(pa.binary()))})
 
     return work
 
 
-def _heads(table: pa.Table, side: pa.Table) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Of the batch's documents those that stand for their class."""
-    left = {u: n for u, n in zip(side["uid"].to_pylist(), side["node"].to_pylist(), strict=True) if u is not None}
-    mine = np.array([i for i, u in enumerate(table["uid"].to_pylist()) if u in left], np.int64)
-    if not len(mine):
-        return
-    own = table.take(pa.array(mine))
-    uids = own["uid"].to_pylist()
-    for i, tokens in _sets(own):
-        node = left.pop(uids[i], None)
-        if node is not None:
-            yield i, node, tokens
+def _heads(table: pa.Table, side: pa.Table) -> list[int]:
+    """Of the batch's rows those that stand for their class, each once."""
+    left = set(side["uid"].to_pylist())
+    out = []
+    for i, uid in enumerate(table["uid"].to_pylist()):
+        if uid in left:
+            left.remove(uid)
+            out.append(i)
+    return out
+
+
+def _send(bits: int):
+    def work(table: pa.Table, side: pa.Table) -> pa.Table:
+        body = table["first"]
+        own = [_from_top(body[i].as_py(), _FIND) for i in _heads(table, side)]
+        return packed.send(table["batch"][0].as_py() if table.num_rows else 0, np.concatenate([np.empty(0, np.uint64), *own]), bits, False)
+
+    return work
 
 
-NODES = "node bigint, n bigint, tokens array<bigint>, filters array<binary>, body binary"
+NODES = "node bigint, n bigint, tokens array<bigint>, filters array<binary>"
 
 
-def _nodes(levels: np.ndarray, bits: int):
-    """Sets with a token that others have in their prefix too."""
+def _nodes(bits: int):
+    """Outlines with a token that others have in their prefix too, and those tokens."""
 
     def work(table: pa.Table, side: pa.Table) -> pa.Table:
         shared = packed.found_keys(side.filter(pa.compute.is_valid(side["found"])))
-        out: dict[str, list] = {"node": [], "n": [], "tokens": [], "filters": [], "body": []}
-        for _, node, tokens in _heads(table, side) if len(shared) else ():
-            first = prefix(tokens, levels, ORDERS[0])
+        pick, tokens = [], []
+        for i in _heads(table, side) if len(shared) else ():
+            first = _from_top(table["first"][i].as_py(), _FIND)
             first = first[member(packed.key(first, bits, False), shared)]
             if len(first):
-                out["node"].append(node)
-                out["n"].append(len(tokens))
-                out["tokens"].append(first.view(np.int64))
-                out["filters"].append([np.sort(prefix(tokens, levels, seed) >> np.uint64(32)).astype(np.uint32).tobytes() for seed in ORDERS[1:]])
-                out["body"].append(_six(tokens))
-        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.binary())
-        return pa.table({name: pa.array(values, kind) for (name, values), kind in zip(out.items(), kinds, strict=True)})
+                pick.append(i)
+                tokens.append(first.view(np.int64))
+        own = table.take(pa.array(pick, pa.int64()))
+        return pa.table({"node": own["uid"], "n": own["n"], "tokens": pa.array(tokens, pa.list_(pa.int64())), "filters": own["filters"]})
 
     return work
 
 
-def _six(tokens: np.ndarray) -> bytes:
-    """The top six bytes of each token: enough to tell the tokens of two sets apart."""
-    return tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    short, long = (a, b) if len(a) <= len(b) else (b, a)
+    return int(member(short, long).sum())
 
 
-def _from_six(body: bytes) -> np.ndarray:
-    out = np.zeros((len(body) // 6, 8), np.uint8)
-    out[:, 2:] = np.frombuffer(body, np.uint8).reshape(-1, 6)
-    return out.view(">u8").ravel().astype(np.uint64)
+def least_common(n: int, m: int) -> int:
+    """How many tokens prefixes must have in common under any order if the sets are similar enough.
 
+    What two sets share lies in both prefixes or in the rest of the one whose prefix ends earlier.
+    """
+    need = -(-PERCENT * (n + m) // (100 + PERCENT))
+    return max(1, need - max(n - prefix_size(n), m - prefix_size(m)))
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    short, long = (a, b) if len(a) <= len(b) else (b, a)
-    return int(member(short, long).sum())
+
+def _filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = []
+        for n, m, x, y in zip(*(batch[c].to_pylist() for c in ("n", "m", "x", "y")), strict=True):
+            least = least_common(n, m)
+            keep.append(all(_common(_from_top(p, _FILTER), _from_top(q, _FILTER)) >= least for p, q in zip(x, y, strict=True)))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    both = _common(x, y)
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        links = []
-        for a, b, fa, fb, x, y in zip(*(batch[c].to_pylist() for c in ("a", "b", "fa", "fb", "xa", "xb")), strict=True):
-            if all(_common(np.frombuffer(p, np.uint32), np.frombuffer(q, np.uint32)) for p, q in zip(fa, fb, strict=True)):
-                x, y = _from_six(x), _from_six(y)
-                both = _common(x, y)
-                if 100 * both >= PERCENT * (len(x) + len(y) - both):
-                    links.append((a, b))
-        yield pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in links], pa.int64()), "b": pa.array([p[1] for p in links], pa.int64())})
+        sets = []
+        for side in ("x", "y"):
+            sets.append([tokens for _, tokens in _sets(pa.table({"body": batch[side]}))])
+        keep = [similar(x, y) for x, y in zip(*sets, strict=True)]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -205,71 +239,78 @@ def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def _linked(nodes: DataFrame) -> DataFrame:
-    """(node, component) of the nodes that have links."""
-    sets = nodes.select("node", "filters", "body")
-    spark = nodes.sparkSession
-    labels = spark.createDataFrame([], "node bigint, component bigint")
-    tested = spark.createDataFrame([], "a bigint, b bigint")
+def _linked(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, component) of the nodes that have links; docs: uid and body."""
+    outlines = nodes.select("node", "n", "filters")
+    labels = tested = None
     for turn in range(ROUNDS + 1):
-        named = nodes.select("node", "n", "tokens").join(labels, "node", "left").select("node", "n", "tokens", F.coalesce("component", "node").alias("component"))
+        named = nodes.select("node", "n", "tokens").withColumn("component", F.col("node"))
+        if labels is not None:
+            named = named.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         rows = named.select("node", "n", "component", F.explode("tokens").alias("token"))
         picks = [F.min_by(F.struct("node", "n", "component"), F.xxhash64("node", F.lit(1000 * turn + k))).alias(f"p{k}") for k in range(PIVOTS)]
         groups = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), *picks).where("low <> high")
-        groups = tables.checkpointed(groups)
+        groups = tables.checkpointed(groups.select("token", "size", F.array(*[f"p{k}" for k in range(PIVOTS)]).alias("pivots")))
         total = groups.agg(F.sum("size"), F.sum(F.col("size") * (F.col("size") - 1))).first()
         if not total[0]:
             break
         rest = turn == ROUNDS or total[1] <= 2 * REST * total[0]
-        open_rows = rows.join(groups.select("token"), "token", "left_semi")
-        if rest:
-            others = open_rows.select("token", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_component"))
-            pairs = _pairs(open_rows, others.where("true"))
-        else:
-            pivots = groups.select("token", F.explode(F.array(*[f"p{k}" for k in range(PIVOTS)])).alias("p"))
-            pivots = pivots.select("token", F.col("p.node").alias("other"), F.col("p.n").alias("other_n"), F.col("p.component").alias("other_component")).distinct()
-            pairs = _pairs(open_rows, pivots)
-        pairs = tables.checkpointed(pairs.join(tested, ["a", "b"], "left_anti"))
-        tested = tested.unionAll(pairs)
-        joined = (
-            pairs.join(sets.select(F.col("node").alias("a"), F.col("filters").alias("fa"), F.col("body").alias("xa")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("filters").alias("fb"), F.col("body").alias("xb")), "b")
+        own = rows.join(groups.select("token"), "token", "left_semi") if rest else rows
+        others = own if rest else groups.select("token", F.explode(F.array_distinct("pivots")).alias("p")).select("token", "p.*")
+        others = others.select("token", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_component"))
+        pairs = _pairs(own, others)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = tables.checkpointed(pairs)
+        tested = pairs if tested is None else tested.unionAll(pairs)
+        near = (
+            pairs.join(outlines.select(F.col("node").alias("a"), "n", F.col("filters").alias("x")), "a")
+            .join(outlines.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("filters").alias("y")), "b")
+            .select("a", "b", "n", "m", "x", "y").mapInArrow(_filter, "a bigint, b bigint")
+        )
+        near = tables.checkpointed(near)
+        tables.release(near)
+        whole = (
+            near.join(docs.select(F.col("uid").alias("a"), F.col("body").alias("x")), "a")
+            .join(docs.select(F.col("uid").alias("b"), F.col("body").alias("y")), "b")
+            .select("a", "b", "x", "y").mapInArrow(_verify, "a bigint, b bigint")
         )
-        links = tables.checkpointed(joined.select("a", "b", "fa", "fb", "xa", "xb").mapInArrow(_verify, "a bigint, b bigint"))
+        links = tables.checkpointed(whole)
+        tables.release(links)
+        edges = links if labels is None else links.unionAll(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
         if not links.isEmpty():
-            old = labels.unionAll(labels.select("component", "component"))
-            edges = links.unionAll(old.select(F.col("node").alias("a"), F.col("component").alias("b")))
             labels = components(edges)
         if rest:
             break
-    return labels
+    return labels if labels is not None else nodes.select("node", F.col("node").alias("component")).limit(0)
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, uid, n_shingles and component_id for each row; uid names its id and text."""
+    """doc_id, uid, n_shingles, component_id and component for each row; uid names its id and text."""
     size = tables.text_bytes(docs)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     kind = dict(docs.dtypes)["doc_id"]
-    signed = docs.select("doc_id", F.xxhash64("doc_id", text).alias("uid"), text.cast("binary").alias("body")).mapInArrow(
-        _sign, f"doc_id {kind}, uid bigint, n bigint, node bigint, slot int, counts binary")
-    signed = tables.checkpointed(signed)
+    bodies = docs.select("doc_id", F.xxhash64("doc_id", text).alias("uid"), text.cast("binary").alias("body"))
+    signed = tables.checkpointed(bodies.mapInArrow(_sign, f"doc_id {kind}, uid bigint, n bigint, node bigint, slot int, counts binary"))
     levels = _levels(signed)
-    rows = signed.where("slot IS NULL").select("doc_id", "uid", "n", "node")
-    heads = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("uid").alias("uid"), F.min("doc_id").alias("head"))
+    rows = signed.where("slot IS NULL").select("doc_id", "uid", "n", F.col("node").alias("class"))
+    heads = tables.checkpointed(rows.where("class IS NOT NULL").groupBy("class").agg(F.min("uid").alias("uid"), F.min("doc_id").alias("head")))
 
-    batches = packed.batched(docs, size)
-    side = heads.select(packed.batch_of(size).alias("batch"), "uid", "node")
     bits = packed.bucket_bits(size // 25)
-    shared = packed.repeated(packed.with_answer(batches, side, _first_prefixes(levels, bits), packed.SENT), bits, False)
+    batch = packed.batch_of(size // 2).alias("batch")
+    outlines = bodies.select("uid", "body").mapInArrow(_outline(levels), OUTLINE).select("*", batch).repartition(tables.partitions(docs.sparkSession, size // 2), "batch")
+    side = heads.select(batch, "uid")
+    shared = packed.repeated(packed.with_answer(outlines, side, _send(bits), packed.SENT), bits, False)
     answer = side.withColumn("found", F.lit(None).cast("binary")).unionByName(shared, allowMissingColumns=True)
-    nodes = tables.checkpointed(packed.with_answer(batches, answer, _nodes(levels, bits), NODES))
+    nodes = tables.checkpointed(packed.with_answer(outlines, answer, _nodes(bits), NODES))
+    tables.release(nodes)
 
-    labels = _linked(nodes)
-    named = heads.join(labels, "node", "left").select("node", "head", F.coalesce("component", "node").alias("component"))
+    labels = _linked(nodes, bodies.select("uid", "body"))
+    named = heads.join(labels.withColumnRenamed("node", "uid"), "uid", "left").select("class", "head", F.coalesce("component", "uid").alias("component"))
     least = named.groupBy("component").agg(F.min("head").alias("component_id"))
-    named = named.join(least, "component").select("node", "component", "component_id")
-    return rows.join(named, "node", "left").select(
-        "doc_id", "uid", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "component")
+    named = named.join(least, "component").select("class", "component", "component_id")
+    return rows.join(named, "class", "left").select(
+        "doc_id", "uid", F.col("n").alias("n_shingles"), F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "component")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text in one batch of documents. A batch is what one Python call holds.
@@ -37,6 +38,12 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def release(frame: DataFrame) -> None:
+    """Let Spark drop the shuffle files of what is done: it does so once its handles are collected as garbage."""
+    gc.collect()
+    frame.sparkSession.sparkContext._jvm.System.gc()
+
+
 def text_bytes(frame: DataFrame, column: str = "text") -> int:
     """Bytes of all texts: sizes batches and buckets, never which rows count."""
     return frame.agg(F.sum(F.octet_length(column))).first()[0] or 0
@@ -44,8 +51,3 @@ def text_bytes(frame: DataFrame, column: str = "text") -> int:
 
 def partitions(spark: SparkSession, size: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(size / PART_BYTES))
-
-
-def identity(*columns: str) -> Column:
-    """A hash of a row's id and text: rows that agree in both are one document twice."""
-    return F.xxhash64(*columns)
