@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from logweave.llm import decontaminate, jaccard_join, language, licenses, line_dedup, quality_rules, substring_dedup
+from logweave.llm import decontaminate, jaccard_join, language, licenses, line_dedup, quality_rules, secrets, substring_dedup
 
-_MODULES = (decontaminate, jaccard_join, language, licenses, line_dedup, quality_rules, substring_dedup,)
+_MODULES = (decontaminate, jaccard_join, language, licenses, line_dedup, quality_rules, secrets, substring_dedup)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
