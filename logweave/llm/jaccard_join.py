@@ -249,9 +249,11 @@ def _linked(nodes: DataFrame, docs: DataFrame) -> DataFrame:
             named = named.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         rows = named.select("node", "n", "component", F.explode("tokens").alias("token"))
         picks = [F.min_by(F.struct("node", "n", "component"), F.xxhash64("node", F.lit(1000 * turn + k))).alias(f"p{k}") for k in range(PIVOTS)]
-        groups = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), *picks).where("low <> high")
-        groups = tables.checkpointed(groups.select("token", "size", F.array(*[f"p{k}" for k in range(PIVOTS)]).alias("pivots")))
-        total = groups.agg(F.sum("size"), F.sum(F.col("size") * (F.col("size") - 1))).first()
+        inner = rows.groupBy("token", "component").agg(F.count("*").alias("size"), *picks)
+        picks = [F.min_by(f"p{k}", F.xxhash64(f"p{k}.node", F.lit(1000 * turn + k))).alias(f"p{k}") for k in range(PIVOTS)]
+        groups = inner.groupBy("token").agg(F.sum("size").alias("size"), F.sum(F.col("size") * F.col("size")).alias("inside"), F.count("*").alias("components"), *picks).where("components > 1")
+        groups = tables.checkpointed(groups.select("token", "size", (F.col("size") * F.col("size") - F.col("inside")).alias("across"), F.array(*[f"p{k}" for k in range(PIVOTS)]).alias("pivots")))
+        total = groups.agg(F.sum("size"), F.sum("across")).first()
         if not total[0]:
             break
         rest = turn == ROUNDS or total[1] <= 2 * REST * total[0]
