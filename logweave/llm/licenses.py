@@ -69,7 +69,8 @@ def terms(text: Column) -> Column:
 
 def template_terms(spark: SparkSession) -> DataFrame:
     """template, license, term, weight (tf x idf) and norm: some hundred rows."""
-    table = spark.createDataFrame(TEMPLATES, "template int, license string, text string")
+    rows = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), F.lit(text).alias("text")) for i, name, text in TEMPLATES])
+    table = spark.range(1).select(F.explode(rows).alias("x")).select("x.*")
     counts = table.select("template", "license", F.explode(terms(F.col("text"))).alias("term")).groupBy("template", "license", "term").agg(F.count("*").alias("tf"))
     idf = counts.groupBy("term").agg((F.log((1 + F.lit(len(TEMPLATES))) / (1 + F.count("*"))) + 1).alias("idf"))
     weighted = counts.join(idf, "term").withColumn("weight", F.col("tf") * F.col("idf"))

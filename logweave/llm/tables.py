@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import uuid
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def checkpointed(frame: DataFrame) -> DataFrame:
-    """The frame, computed once, with its lineage cut, in the shared folder of the session.
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in spark.checkpoint.dir.
 
-    The folder is the one the cluster names in spark.checkpoint.dir. A folder of this
-    machine is set only where that is unset, and only if Spark runs in this machine.
+    A folder of this machine is set only where that is unset, and only if Spark runs in this machine.
     """
-    spark = frame.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -35,9 +34,22 @@ def checkpointed(frame: DataFrame) -> DataFrame:
 
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """The frame, computed once, with its lineage cut, in the shared folder of the session."""
+    _shared_folder(frame.sparkSession)
     return frame.checkpoint(eager=True)
 
 
+def stored(frame: DataFrame) -> DataFrame:
+    """The frame written as Parquet in the shared folder and read again."""
+    path = f"{_shared_folder(frame.sparkSession)}/table-{uuid.uuid4()}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def release(frame: DataFrame) -> None:
     """Let Spark drop the shuffle files of what is done: it does so once its handles are collected as garbage."""
     gc.collect()
