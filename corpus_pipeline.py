@@ -14,14 +14,14 @@ from logweave.llm import decontaminate, jaccard_join, language, line_dedup, mixi
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; the model learns from their own labels."""
-    rows = language.identify(docs, language.train(docs), *docs.columns)
-    return rows.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+    rows = language.identify(docs, language.train(docs), *docs.columns, names=("__lang", "__score", "__spans"))
+    return rows.where(F.col("__lang") != language.UNKNOWN).select(*docs.columns)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without runs of lines that occurred before; a document that loses all its lines goes."""
-    rows = line_dedup.drop_repeated_lines(docs).where(F.col("gone").isNull() | F.col("text").rlike(r"[^\x20\n]"))
-    return rows.withColumn("n_chars", F.when(F.col("gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))).select(*docs.columns)
+    rows = line_dedup.drop_repeated_lines(docs, gone="__lines").where(F.col("__lines").isNull() | F.col("text").rlike(r"[^\x20\n]"))
+    return rows.withColumn("n_chars", F.when(F.col("__lines").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))).select(*docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -319,14 +319,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, with one document of each component; those with an empty set all stay."""
     marked = tables.checkpointed(classes(docs).select("doc_id", "uid", "component"))
     first = marked.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "uid")).alias("keep"))
-    kept = first.select(F.col("keep.uid").alias("_uid")).unionAll(marked.where("component IS NULL").select("uid").distinct())
-    out = docs.withColumn("_row_uid", F.xxhash64("doc_id", F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    out = out.join(kept, F.col("_row_uid") == F.col("_uid"), "left_semi")
-    twice = marked.where("component IS NOT NULL").groupBy("uid").count().where("count > 1").select(F.col("uid").alias("_uid"))
+    kept = first.select(F.col("keep.uid").alias("__uid")).unionAll(marked.where("component IS NULL").select("uid").distinct())
+    out = docs.withColumn("__row_uid", F.xxhash64("doc_id", F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    out = out.join(kept, F.col("__row_uid") == F.col("__uid"), "left_semi")
+    twice = marked.where("component IS NOT NULL").groupBy("uid").count().where("count > 1").select(F.col("uid").alias("__uid"))
     if not twice.isEmpty():
-        again = F.col("_row_uid") == F.col("_uid")
-        out = out.join(twice, again, "left_anti").unionByName(out.join(twice, again, "left_semi").dropDuplicates(["_row_uid"]))
-    return out.drop("_row_uid")
+        again = F.col("__row_uid") == F.col("__uid")
+        out = out.join(twice, again, "left_anti").unionByName(out.join(twice, again, "left_semi").dropDuplicates(["__row_uid"]))
+    return out.drop("__row_uid")
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

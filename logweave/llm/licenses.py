@@ -144,7 +144,7 @@ def scan(files: DataFrame) -> DataFrame:
     out = named.join(nearest, "__dir", "left")
     license = F.coalesce(F.col("__own.license"), F.col("__up.license"))
     given = F.when(F.col("__own").isNull(), F.col("__up.above"))
-    kept = [F.col(f"`{c}`") for c in files.columns if c != "__uid"]
+    kept = [F.col(f"`{c}`") for c in tables.others(files.columns, ["__uid", "own_license", "own_score", "license", "folder_of_license"])]
     return out.select(*kept, F.col("__own.license").alias("own_license"), F.col("__own.score").alias("own_score"), license.alias("license"), given.alias("folder_of_license"))
 
 

@@ -117,7 +117,7 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bud
     own = docs.withColumns({"__key": _source(), "__uid": _uid(), "__n": n_tokens()}).withColumn("__block", F.pmod("__uid", F.lit(blocks)))
     within = F.pmod(F.xxhash64("__uid", F.lit(seed), "__epoch"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     extra = {"n_tokens": F.col("__n"), "epoch": F.col("__epoch"), "block": F.col("__block"), "weight": F.col("__weight"), "at": F.least(F.col("__start") + F.col("__width") * within, F.lit(1.0))}
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in extra]
+    kept = [F.col(f"`{c}`") for c in tables.others(docs.columns, extra)]
     return own.join(drawn, ["__key", "__block"]).select(*kept, *[v.alias(k) for k, v in extra.items()])
 
 
