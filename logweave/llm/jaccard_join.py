@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +44,10 @@ SKETCH = 1 << 18
 _SLOT = 4096
 #: Seeds that break ties in the orders: the first makes candidates, all others filter them.
 ORDERS = (0x1F83D9AB, 0x5BE0CD19, 0x3C6EF372)
-PIVOTS = 3
+PIVOTS = 2
 ROUNDS = 8
-#: Left over pairs are verified at once when there are at most so many for each token row.
-REST = 4
+#: What is left is paired at once when that makes at most so many pairs for each row of a token.
+REST = 64
 
 
 def shingles(words: Words, i: int) -> np.ndarray:
@@ -133,7 +135,7 @@ def _from_top(body: bytes, size: int) -> np.ndarray:
 
 
 #: Bytes of a token that travel: to find candidates, and to filter them. Chance agreement only adds candidates.
-_FIND, _FILTER = 6, 3
+_FIND, _FILTER = 6, 2
 OUTLINE = "uid bigint, n bigint, first binary, filters array<binary>"
 
 
@@ -231,59 +233,111 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of unlike components that share a token and fit in length."""
-    return (
-        left.join(right, "token")
-        .where(f"component <> other_component AND 100 * n >= {PERCENT} * other_n AND 100 * other_n >= {PERCENT} * n")
-        .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    """Of each token, pairs of unlike components that fit in length: a, b, n, m."""
+    fits = f"component <> other_component AND 100 * n >= {PERCENT} * other_n AND 100 * other_n >= {PERCENT} * n"
+    first = F.col("node") < F.col("other")
+    return left.join(right, "token").where(fits).select(
+        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"),
+        F.when(first, F.col("n")).otherwise(F.col("other_n")).alias("n"), F.when(first, F.col("other_n")).otherwise(F.col("n")).alias("m"))
+
+
+def _as_other(rows: DataFrame) -> DataFrame:
+    return rows.select("token", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_component"))
+
+
+def _with_pivots(rows: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each token's pivots, the nodes that come first in orders of this turn, with all others."""
+    places = [F.xxhash64("node", F.lit(1000 * turn + k)) for k in range(PIVOTS)]
+    groups = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), *[F.min(x).alias(f"h{k}") for k, x in enumerate(places)]).where("low <> high")
+    chosen = reduce(or_, [x == F.col(f"h{k}") for k, x in enumerate(places)])
+    pivots = rows.join(groups, "token").where(chosen)
+    return _pairs(rows, _as_other(pivots)).distinct()
+
+
+def _all_pairs(rows: DataFrame) -> DataFrame:
+    """All pairs across components whose prefixes of the first order have enough in common."""
+    groups = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
+    own = rows.join(groups, "token", "left_semi")
+    pairs = _pairs(own, _as_other(own)).where("a < b")
+    # Each pair comes twice from a token, once from either side.
+    counts = pairs.groupBy("a", "b", "n", "m").agg((F.count("*") / 2).alias("common"))
+
+    def rest(n: str) -> str:
+        return f"(({PERCENT} * {n} + 99) div 100 - 1)"
+
+    return counts.where(f"common >= ({PERCENT} * (n + m) + {99 + PERCENT}) div {100 + PERCENT} - greatest({rest('n')}, {rest('m')})").select("a", "b", "n", "m")
+
+
+def _marks(uids: DataFrame) -> np.ndarray:
+    """A bit for the hash of every uid: at most 8 MB, however many there are."""
+    wanted = 1 << min(26, max(16, (16 * uids.count()).bit_length()))
+    place = f"pmod(xxhash64(uid), {wanted})"
+    words = uids.select(F.expr(f"cast({place} div 64 AS int)").alias("word"), F.expr(f"shiftleft(1L, cast({place} % 64 AS int))").alias("bit"))
+    out = np.zeros(wanted // 64, np.int64)
+    for row in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
+        out[row["word"]] = row["bits"]
+    return out.view(np.uint64)
+
+
+def _marked(bits: np.ndarray):
+    """Rows that may be wanted; `place` is the hash of their uid."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch["place"].to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(64 * len(bits) - 1)
+            keep = (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
+            if keep.any():
+                yield batch.select(["uid", "body"]).filter(pa.array(keep.astype(bool)))
+
+    return work
+
+
+def _verified(near: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are similar enough, by the sets of their whole texts."""
+    uids = near.select(F.col("a").alias("uid")).union(near.select("b")).distinct()
+    texts_of = docs.select("uid", F.xxhash64("uid").alias("place"), "body").mapInArrow(_marked(_marks(uids)), "uid bigint, body binary")
+    both = (
+        near.join(texts_of.select(F.col("uid").alias("a"), F.col("body").alias("x")), "a")
+        .join(texts_of.select(F.col("uid").alias("b"), F.col("body").alias("y")), "b")
     )
+    return both.select("a", "b", "x", "y").mapInArrow(_verify, "a bigint, b bigint")
 
 
 def _linked(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, component) of the nodes that have links; docs: uid and body."""
-    outlines = nodes.select("node", "n", "filters")
+    outlines = nodes.select("node", "filters")
     labels = tested = None
     for turn in range(ROUNDS + 1):
         named = nodes.select("node", "n", "tokens").withColumn("component", F.col("node"))
         if labels is not None:
             named = named.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         rows = named.select("node", "n", "component", F.explode("tokens").alias("token"))
-        picks = [F.min_by(F.struct("node", "n", "component"), F.xxhash64("node", F.lit(1000 * turn + k))).alias(f"p{k}") for k in range(PIVOTS)]
-        inner = rows.groupBy("token", "component").agg(F.count("*").alias("size"), *picks)
-        picks = [F.min_by(f"p{k}", F.xxhash64(f"p{k}.node", F.lit(1000 * turn + k))).alias(f"p{k}") for k in range(PIVOTS)]
-        groups = inner.groupBy("token").agg(F.sum("size").alias("size"), F.sum(F.col("size") * F.col("size")).alias("inside"), F.count("*").alias("components"), *picks).where("components > 1")
-        groups = tables.checkpointed(groups.select("token", "size", (F.col("size") * F.col("size") - F.col("inside")).alias("across"), F.array(*[f"p{k}" for k in range(PIVOTS)]).alias("pivots")))
-        total = groups.agg(F.sum("size"), F.sum("across")).first()
-        if not total[0]:
-            break
-        rest = turn == ROUNDS or total[1] <= 2 * REST * total[0]
-        own = rows.join(groups.select("token"), "token", "left_semi") if rest else rows
-        others = own if rest else groups.select("token", F.explode(F.array_distinct("pivots")).alias("p")).select("token", "p.*")
-        others = others.select("token", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_component"))
-        pairs = _pairs(own, others)
+        rest = False
+        if turn:
+            groups = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+            total = groups.agg(F.sum("size"), F.sum(F.col("size") * F.col("size"))).first()
+            if not total[0]:
+                break
+            rest = turn == ROUNDS or total[1] <= REST * total[0]
+        pairs = _all_pairs(rows) if rest else _with_pivots(rows, turn)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = tables.checkpointed(pairs)
-        tested = pairs if tested is None else tested.unionAll(pairs)
+        now = pairs.select("a", "b")
+        tested = now if tested is None else tested.unionAll(now)
         near = (
-            pairs.join(outlines.select(F.col("node").alias("a"), "n", F.col("filters").alias("x")), "a")
-            .join(outlines.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("filters").alias("y")), "b")
+            pairs.join(outlines.select(F.col("node").alias("a"), F.col("filters").alias("x")), "a")
+            .join(outlines.select(F.col("node").alias("b"), F.col("filters").alias("y")), "b")
             .select("a", "b", "n", "m", "x", "y").mapInArrow(_filter, "a bigint, b bigint")
         )
         near = tables.checkpointed(near)
-        tables.release(near)
-        whole = (
-            near.join(docs.select(F.col("uid").alias("a"), F.col("body").alias("x")), "a")
-            .join(docs.select(F.col("uid").alias("b"), F.col("body").alias("y")), "b")
-            .select("a", "b", "x", "y").mapInArrow(_verify, "a bigint, b bigint")
-        )
-        links = tables.checkpointed(whole)
-        tables.release(links)
+        links = tables.checkpointed(_verified(near, docs))
         edges = links if labels is None else links.unionAll(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
         if not links.isEmpty():
             labels = components(edges)
         if rest:
             break
+        tables.release(nodes)
     return labels if labels is not None else nodes.select("node", F.col("node").alias("component")).limit(0)
 
 
