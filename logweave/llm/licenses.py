@@ -59,7 +59,7 @@ TEMPLATES = [(i, name, text) for i, (name, text) in enumerate(NOTICES + [(name,
 TRIGGERS = ["license", "licence", "licensed", "licensing", "unlicense", "licenses", "copyright", "spdx-license-identifier", "permission"]
 TERM = "[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LICENSE_FILE = r"^(licen[cs]e|copying|unlicense|notice)([.-][^/]*)?$"
+LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([.-][^/]*)?$"
 MAY_HOLD = r"(?i)licen[cs]|copyright|permission"
 
 
@@ -90,7 +90,7 @@ def _uid() -> Column:
 
 def notices(files: DataFrame) -> DataFrame:
     """uid (of path and text), notice (number in the file; -1 for a whole licence file) and terms."""
-    rows = files.select(_uid().alias("uid"), F.col("path").rlike("(?i)" + LICENSE_FILE.replace("^", "(^|/)")).alias("whole"), F.col("text").cast("string").alias("text"))
+    rows = files.select(_uid().alias("uid"), F.col("path").rlike(LICENSE_FILE).alias("whole"), F.col("text").cast("string").alias("text"))
     rows = rows.where(F.col("text").rlike(MAY_HOLD))
     lines = rows.select("uid", F.posexplode(F.split("text", "\n", -1)).alias("line", "body")).select("uid", "line", terms(F.col("body")).alias("terms"))
     known = F.array(*[F.lit(w) for w in vocabulary()])
@@ -132,7 +132,7 @@ def scan(files: DataFrame) -> DataFrame:
     own = found.groupBy(F.col("uid").alias("__uid")).agg(F.max(F.struct("score", (-F.col("template")).alias("first"), "license")).alias("__own"))
     named = files.join(own, "__uid", "left").withColumn("__dir", folder(F.col("path")))
 
-    speaks = named.where(F.col("path").rlike("(?i)" + LICENSE_FILE.replace("^", "(^|/)")) & F.col("__own").isNotNull())
+    speaks = named.where(F.col("path").rlike(LICENSE_FILE) & F.col("__own").isNotNull())
     holders = speaks.select(F.col("__dir").alias("above"), F.col("__own.score").alias("score"), F.col("__own.license").alias("license")).groupBy("above").agg(
         F.min(F.struct((-F.col("score")).alias("rank"), "license")).alias("x")).select("above", F.col("x.license").alias("license"))
     parts = F.split("dir", "/")
@@ -176,7 +176,7 @@ def _sql() -> str:
     values = ", ".join(f"({i}, {quoted(name)}, {quoted(text)})" for i, name, text in TEMPLATES)
     known = "[" + ", ".join(map(quoted, vocabulary())) + "]"
     triggers = "[" + ", ".join(map(quoted, TRIGGERS)) + "]"
-    is_file = f"regexp_matches(path, '(?i){LICENSE_FILE.replace('^', '(^|/)')}')"
+    is_file = f"regexp_matches(path, '{LICENSE_FILE}')"
     n = len(TEMPLATES)
     return f"""
 WITH file AS (
