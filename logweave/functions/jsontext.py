@@ -75,6 +75,44 @@ def _records_of(value: str, record_path: str, scan: Scan) -> Iterator[tuple[str,
         yield current, None
 
 
+_STRING = re.compile(r'"(?:[^"\\]|\\.)*+"')
+
+
+def _change(line: str) -> int:
+    """Brackets a line opens less those it closes, outside strings."""
+    bare = _STRING.sub("", line)
+    return sum(bare.count(c) for c in "[{") - sum(bare.count(c) for c in "]}")
+
+
+def resumed(text: str) -> Iterator[str]:
+    """Units of lines that make no JSON as a whole, as a line among them was cut off.
+
+    A unit begins at a line that opens an object or array and ends where its
+    brackets are closed. If no such end comes, or the unit is no JSON, only its
+    first line is lost and the next line begins anew.
+    """
+    lines = text.split("\n")
+    depth = [0]
+    for line in lines:
+        depth.append(depth[-1] + _change(line))
+    # ends[i]: where the depth next falls to that before line i, for all i in one pass.
+    ends = [0] * len(lines)
+    waiting: list[int] = []
+    for i in range(len(lines)):
+        waiting.append(i)
+        while waiting and depth[i + 1] <= depth[waiting[-1]]:
+            ends[waiting.pop()] = i + 1
+    i = 0
+    while i < len(lines):
+        unit = lines[i]
+        if lines[i].lstrip()[:1] in ("{", "[") and ends[i] > i + 1:
+            whole = "\n".join(lines[i : ends[i]])
+            if all(not (error or "").startswith("invalid JSON") for _, error in split_records(whole)):
+                unit = whole
+        i += unit.count("\n") + 1
+        yield unit
+
+
 def split_records(text: str, record_path: str = "") -> Iterator[tuple[str, str | None]]:
     """Records of consecutive top-level values.
 

@@ -15,16 +15,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import csvtext, kv, regexes
-from ..functions.jsontext import split_records
+from ..functions.jsontext import resumed, split_records
 from ..functions.strings import strip_quotes, trim_space
 from ..functions.variants import parse_one, with_leaves
 from ..mapping import Mapping
+from ..session import kept
 from ..sources import multiline
 from .projection import Lookup
 
 PLACE = ["source_file", "block", "seq"]
 
-# Fixed value: a key=value or free-text line must be shorter than this.
+# Fixed value: the strict form takes only key=value and free-text lines shorter than this.
 MAX_LINE_BYTES = 1 << 20
 
 
@@ -38,23 +39,26 @@ class Options:
                otherwise reads each file's own header.
     one_per_line  every JSON line is one record (and nothing is an array or an
                envelope): the whole job then stays in the JVM.
+    max_line_bytes  key=value and free-text lines this long or longer are row
+               errors; None, the default, takes lines of any length.
     """
 
     multiline: bool | str = "auto"
     header: tuple[str, ...] | None = None
     one_per_line: bool = False
+    max_line_bytes: int | None = None
 
 
 Reader = Callable[[DataFrame, Mapping, Options], tuple[DataFrame, Lookup]]
 
 
-def _trimmed_lines(lines: DataFrame) -> DataFrame:
-    """Non-blank lines, trimmed; over-long ones get an error and no text to parse."""
-    too_long = F.octet_length("value") >= MAX_LINE_BYTES
+def _trimmed_lines(lines: DataFrame, limit: int | None) -> DataFrame:
+    """Non-blank lines, trimmed; those beyond a limit get an error and no text to parse."""
+    too_long = F.lit(False) if limit is None else F.octet_length("value") >= limit
     return (
         lines.select(
             *PLACE, trim_space(F.col("value")).alias("raw"),
-            F.when(too_long, F.lit(f"line exceeds {MAX_LINE_BYTES} byte limit")).alias("error"),
+            F.when(too_long, F.lit(f"line exceeds {limit} byte limit")).alias("error"),
         )
         .where(F.col("raw") != "")
         .withColumn("text", F.when(F.col("error").isNull(), F.col("raw")))
@@ -63,13 +67,13 @@ def _trimmed_lines(lines: DataFrame) -> DataFrame:
 
 def read_kv(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[DataFrame, Lookup]:
     tokenise = kv.space_kv if mapping.delimiter == "space" else kv.comma_kv
-    frame = _trimmed_lines(lines).withColumn("pairs", tokenise(F.col("text"))).drop("text")
+    frame = _trimmed_lines(lines, options.max_line_bytes).withColumn("pairs", tokenise(F.col("text"))).drop("text")
     return frame, lambda key: strip_quotes(F.col("pairs")[key])
 
 
 def read_regex(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[DataFrame, Lookup]:
     """Patterns in order, the first that matches wins; none is a row error."""
-    frame = _trimmed_lines(lines)
+    frame = _trimmed_lines(lines, options.max_line_bytes)
     matched = []
     for number, pattern in enumerate(mapping.patterns):
         line = F.col("text")
@@ -99,16 +103,17 @@ def read_regex(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[Da
 # --- JSON --------------------------------------------------------------------
 
 _JSON_SPACE = " \t\r\n"
-_RECORDS = "array<struct<raw:string,error:string>>"
+_RECORDS = "array<struct<raw:binary,error:string>>"
 
 
-def _cut(text: str, record_path: str) -> list[tuple[str, str | None]]:
+def _cut(body: bytes, record_path: str) -> list[tuple[bytes, str | None]]:
+    """Records of a text with their own bytes, those that are no UTF-8 included."""
+    text = body.decode("utf-8", "surrogateescape")
     rows = list(split_records(text, record_path))
     if "\n" in text and rows and rows[-1][1] and rows[-1][1].startswith("invalid JSON"):
-        # Lines brought together that make no JSON were no unit: a bracket was
-        # lost somewhere in between. Each line then stands for itself.
-        rows = [r for line in text.split("\n") for r in split_records(line, record_path)]
-    return [(record.strip(), error) for record, error in rows]
+        # Lines brought together that make no JSON were no unit: a line was cut off.
+        rows = [r for unit in resumed(text) for r in split_records(unit, record_path)]
+    return [(record.strip().encode("utf-8", "surrogateescape"), error) for record, error in rows]
 
 
 def _cutter(record_path: str):
@@ -118,7 +123,12 @@ def _cutter(record_path: str):
             {"raw": raw, "error": error} for raw, error in _cut(t, record_path)
         ])
 
-    return cut
+    def records(text: Column) -> Column:
+        return F.transform(cut(text.cast("binary")), lambda r: F.struct(
+            r["raw"].cast("string").alias("raw"), r["error"].alias("error")
+        ))
+
+    return records
 
 
 def json_records(values: DataFrame, record_path: str, one_per_row: bool = False) -> DataFrame:
@@ -228,9 +238,9 @@ def _csv_records(
     surveyed, open_files = None, None
     if look or (names is not None and options.multiline is False):
         opens = csvtext.ends_open(F.col("raw"), delimiter) if look else F.lit(False)
-        surveyed = plain.where(F.col("raw") != "").groupBy("source_file").agg(
+        surveyed = kept(plain.where(F.col("raw") != "").groupBy("source_file").agg(
             F.bool_or(opens).alias("open"), *([first] if names is not None else [])
-        ).persist()
+        ))
         few = surveyed.count() <= multiline.MAX_BROADCAST_FILES
         if look and not surveyed.where("open").isEmpty():
             open_files = surveyed.where("open").select("source_file")
@@ -251,7 +261,7 @@ def _csv_records(
                 firsts = surveyed.where("NOT open").select("source_file", "first").unionByName(own)
     if names is None:
         return records
-    headers = _headers(firsts, delimiter, names).persist()
+    headers = kept(_headers(firsts, delimiter, names))
     few = headers.count() <= multiline.MAX_BROADCAST_FILES
     bound = records.join(F.broadcast(headers) if few else headers, "source_file")
     is_header = (F.col("block") == F.col("header_block")) & (F.col("seq") == F.col("header_seq"))

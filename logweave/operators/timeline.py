@@ -90,6 +90,7 @@ def normalise(lines: DataFrame, root: str, default_device: str, max_line_bytes:
         for k in (*_TEXTS, "display_name")
     ]
     tag_wrong = ~F.coalesce(F.col("tag_kind"), F.lit("VOID")).rlike(r"^(?:VOID|ARRAY<(?!OBJECT|ARRAY))")
+    whole = F.coalesce(number, to_int64(stamp))
     error = F.coalesce(
         F.col("error"),
         F.when(doc.isNull(), F.lit("invalid JSON")),
@@ -97,6 +98,7 @@ def normalise(lines: DataFrame, root: str, default_device: str, max_line_bytes:
         *nested,
         F.when(identifier_wrong, F.lit("event_identifier: not an integer")),
         F.when(tag_wrong, F.lit("tag: not a list of strings")),
+        F.when(whole.isNotNull() & event_time.isNull(), F.lit("timestamp: outside years 1 to 9999")),
         F.when(F.coalesce("_device", F.lit(default_device)) == "", F.lit("device_name: missing")),
     )
     return rows.select(

@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 
 from ..functions.strings import pinned
 from ..mapping import Mapping, check_patterns, warn_if_template
-from ..operators.formats import PLACE, Options, reader_for
+from ..operators.formats import MAX_LINE_BYTES, PLACE, Options, reader_for
 from ..operators.projection import project
 from ..schemas import NETWORK_COLUMNS
 from ..session import configure
 from ..sources.archives import archive_lines
 from ..sources.listing import list_files
-from ..sources.lines import is_archive, number_lines, read_lines
+from ..sources.lines import is_archive, number_lines, read_lines, with_unread
 
 
-_FATAL = r"\A(?:invalid JSON|not a JSON object|archive:|csv: unreadable header)"
+_FATAL = r"\A(?:invalid JSON|not a JSON object|archive:|csv: unreadable header|not read:)"
 
 
 @dataclass(frozen=True)
@@ -34,6 +34,7 @@ class Parsed:
     rows: DataFrame
     columns: tuple[str, ...]
     lines: DataFrame | None = None
+    line_format: bool = False
 
     def failfast(self) -> Parsed:
         """The strict form: input that makes a whole file unreadable ends the job.
@@ -45,6 +46,10 @@ class Parsed:
         fatal = error.rlike(_FATAL)
         if self.columns == NETWORK_COLUMNS:
             fatal = fatal | error.startswith("line exceeds")
+            if self.line_format:
+                too_long = F.octet_length("raw_line") >= MAX_LINE_BYTES
+                error = F.when(too_long, F.lit(f"line exceeds {MAX_LINE_BYTES} byte limit")).otherwise(error)
+                fatal = fatal | too_long
         ended = F.when(fatal, F.raise_error(error).cast("string")).otherwise(error)
         return replace(self, rows=self.rows.withColumn("error", pinned(ended)))
 
@@ -68,14 +73,15 @@ class Parsed:
 def parse_network(lines: DataFrame, mapping: Mapping, options: Options = Options()) -> Parsed:
     """Parse a line frame (see ``sources.lines``) by ``mapping``."""
     warn_if_template(mapping)
-    frame, find = reader_for(mapping)(lines.select(*PLACE, "value"), mapping, options)
+    readable = lines.where(F.col("error").isNull()) if "error" in lines.columns else lines
+    frame, find = reader_for(mapping)(readable.select(*PLACE, "value"), mapping, options)
     rows = project(frame, mapping, find, PLACE)
     if "error" in lines.columns:   # containers that could not be opened
         broken = lines.where(F.col("error").isNotNull())
         rows = rows.unionByName(
             broken.select(*PLACE, F.lit("").alias("raw_line"), "error"), allowMissingColumns=True
         )
-    return Parsed(rows, NETWORK_COLUMNS, lines)
+    return Parsed(rows, NETWORK_COLUMNS, lines, mapping.format in ("kv", "regex"))
 
 
 def ingest_network(
@@ -89,8 +95,10 @@ def ingest_network(
     """Read all files below ``paths``, archives included, as logs of one type."""
     configure(spark)
     check_patterns(spark, mapping)
-    lines = read_lines(spark, paths)
+    lines = with_unread(read_lines(spark, paths), spark, paths)
     if archives and not list_files(spark, paths).where(is_archive(F.col("path"))).isEmpty():
         unpacked = archive_lines(spark, paths)
-        lines = lines.withColumn("error", F.lit(None).cast("string")).unionByName(unpacked)
+        if "error" not in lines.columns:
+            lines = lines.withColumn("error", F.lit(None).cast("string"))
+        lines = lines.unionByName(unpacked)
     return parse_network(lines, mapping, options)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.routing import MARKER
 from ..operators.timeline import to_json_line
 from ..schemas import NETWORK_COLUMNS, TIMELINE_COLUMNS
+from ..session import scratch_dir
 from .correlate import DEFAULT_ZONE, nexus_events
 from .network import Parsed
 
@@ -135,11 +139,18 @@ def write_timeline_jsonl(
     """
     stamp = stamp or run_stamp()
     out = f"{root.rstrip('/')}/{case_id}-timeline-{stamp}.jsonl"
-    good = parsed.rows.where(F.col("error").isNull())
-    good.select(to_json_line(F.col("raw")).alias("value")).write.text(out)
-    skipped = parsed.quarantine(line_numbers=True)
-    if skipped.isEmpty():
+    good = F.col("error").isNull()
+    # The input is parsed once; what comes of it is stored, and read for either output.
+    parsed.rows.select(
+        "source_file", "block", "seq", "error", F.when(~good, F.col("raw_line")).alias("raw_line"),
+        F.when(good, to_json_line(F.col("raw"))).alias("value"),
+    ).write.parquet(scratch := scratch_dir(parsed.rows.sparkSession, "jsonl"))
+    stored = parsed.rows.sparkSession.read.parquet(scratch)
+    stored.where(good).select("value").write.text(out)
+    skipped = replace(parsed, rows=stored)
+    if stored.where(~good).isEmpty():
         return out, None
+    skipped = skipped.quarantine(line_numbers=True)
     errors = f"{root.rstrip('/')}/{case_id}-timeline-errorlines-{stamp}.json"
     skipped.select("line_number", F.col("error").alias("reason")).write.json(errors)
     return out, errors
@@ -149,11 +160,16 @@ def write_manifest(
     spark: SparkSession, folder: str, case_id: str, source: str, entries: int, size: int
 ) -> None:
     """The ``_READY`` marker: one JSON object, written after everything else."""
-    spark.createDataFrame(
-        [(case_id, source, entries, size, datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"))],
-        "case_id string, src_object string, entries_written bigint, bytes_decrypted bigint, "
-        "completed_at string",
-    ).coalesce(1).write.mode("overwrite").json(f"{folder.rstrip('/')}/_READY")
+    text = json.dumps({
+        "case_id": case_id, "src_object": source, "entries_written": entries, "bytes_decrypted": size,
+        "completed_at": datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"),
+    })
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{MARKER}")
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
 
 
 def create_nexus_view(

@@ -5,9 +5,11 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Ship the package's few Python helpers inside the plan, so that executors need
 # no copy of it installed.
@@ -39,10 +41,34 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; only where
-    that is unset (local tests) a temporary folder of this machine is used.
+    The cluster names a shared folder in ``spark.checkpoint.dir``, or the program
+    has set one; only where both are missing and Spark runs in this machine alone
+    is a temporary folder of this machine used.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/logweave-{label}-{uuid.uuid4().hex}"
+    if context.master != "local" and not context.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"logweave-{label}-")
+
+
+_kept: list[DataFrame] = []
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` cached until the enclosing ``released`` ends (outside of one, until the session ends)."""
+    _kept.append(df.persist())
+    return _kept[-1]
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """Gives back what is cached inside, so that a long run does not pile it up."""
+    before = len(_kept)
+    try:
+        yield
+    finally:
+        while len(_kept) > before:
+            _kept.pop().unpersist()

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import gzip
 import io
+import lzma
 import os
 import tarfile
 import tempfile
 import zipfile
-from collections.abc import Iterator, Sequence
+import zlib
+from collections.abc import Callable, Iterator, Sequence
 from typing import BinaryIO
 
 import pandas as pd
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .lines import is_archive
 
-# Fixed value: containers may be nested this deep.
+# Fixed value: containers may be nested this deep unless a caller says otherwise.
 MAX_DEPTH = 5
 
 # Lines of one entry are numbered in blocks of this many, the counterpart of a
@@ -25,27 +27,34 @@ MAX_DEPTH = 5
 BLOCK_LINES = 100_000
 BATCH_BYTES = 8 * 1024 * 1024
 
-FRAME = "source_file string, block bigint, seq bigint, value string, error string"
+# Lines travel as bytes: an event's id is the hash of the bytes of its line.
+FRAME = "source_file string, block bigint, seq bigint, value binary, error string"
 
 
 class ArchiveError(ValueError):
     pass
 
 
-def walk(name: str, stream: BinaryIO, depth: int = 0) -> Iterator[tuple[str, BinaryIO]]:
-    """``(entry name, stream)`` of every regular file, containers unpacked."""
-    if depth > MAX_DEPTH:
-        raise ArchiveError(f"archive nesting deeper than {MAX_DEPTH} levels at {name!r}")
+def walk(
+    name: str, stream: BinaryIO, depth: int = 0, max_depth: int = MAX_DEPTH, way: tuple[str, ...] = ()
+) -> Iterator[tuple[tuple[str, ...], BinaryIO]]:
+    """``(way, stream)`` of every regular file, containers unpacked.
+
+    The way names the nested containers around the file, outermost first, and the
+    file itself.
+    """
+    if depth > max_depth:
+        raise ArchiveError(f"archive nesting deeper than {max_depth} levels at {name!r}")
     lower = name.lower()
     if lower.endswith((".tar.gz", ".tgz", ".tar")):
         mode = "r|" if lower.endswith(".tar") else "r|gz"
         with tarfile.open(fileobj=stream, mode=mode) as tar:
             for member in tar:
                 if member.isreg():
-                    yield from walk(member.name, tar.extractfile(member), depth + 1)
+                    yield from walk(member.name, tar.extractfile(member), depth + 1, max_depth, (*way, member.name))
     elif lower.endswith(".gz"):
         with gzip.GzipFile(fileobj=stream) as plain:
-            yield from walk(name[:-3], plain, depth + 1)
+            yield from walk(name[:-3], plain, depth + 1, max_depth, way and (*way[:-1], name[:-3]))
     elif lower.endswith(".zip"):
         if not isinstance(stream, io.BytesIO):
             # A nested zip needs random access, which its container's stream does
@@ -59,40 +68,50 @@ def walk(name: str, stream: BinaryIO, depth: int = 0) -> Iterator[tuple[str, Bin
             for info in archive.infolist():
                 if not info.is_dir():
                     with archive.open(info) as entry:
-                        yield from walk(info.filename, entry, depth + 1)
+                        yield from walk(info.filename, entry, depth + 1, max_depth, (*way, info.filename))
     else:
-        yield name, stream
+        yield way or (name,), stream
 
 
-def _lines(path: str, content: bytes) -> Iterator[tuple[str, int, int, str | None, str | None]]:
-    where = path
+def _lines(path: str, content: bytes, max_depth: int) -> Iterator[tuple[str, int, int, bytes | None, str | None]]:
+    where, used = path, set()
     try:
-        for entry, stream in walk(os.path.basename(path), io.BytesIO(content)):
+        for way, stream in walk(os.path.basename(path), io.BytesIO(content), max_depth=max_depth):
+            # An entry goes by its own name; one whose name is taken by its whole way,
+            # and if that is taken too with a number, so that no two are mixed up.
+            entry, number = way[-1], 1
+            while entry in used:
+                entry = "!".join(way) + (f"#{number}" if number > 1 else "")
+                number += 1
+            used.add(entry)
             where = f"{path}!{entry}"
             for number, line in enumerate(stream):
-                text = line.removesuffix(b"\n").decode("utf-8", "replace")
-                yield where, number // BLOCK_LINES, number, text, None
+                yield where, number // BLOCK_LINES, number, line.removesuffix(b"\n"), None
     except (ArchiveError, OSError, EOFError, tarfile.TarError, zipfile.BadZipFile,
-            RuntimeError, NotImplementedError, ValueError) as problem:
+            RuntimeError, NotImplementedError, ValueError, zlib.error, lzma.LZMAError) as problem:
         yield where, 0, 0, None, f"archive: {problem}"
 
 
-def _unpack(batches):
+def _unpack(max_depth: int):
     columns = ["source_file", "block", "seq", "value", "error"]
-    rows, size = [], 0
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            for row in _lines(path, content):
-                rows.append(row)
-                size += len(row[3] or "") + 64
-                if size >= BATCH_BYTES:
-                    yield pd.DataFrame(rows, columns=columns)
-                    rows, size = [], 0
-    if rows:
-        yield pd.DataFrame(rows, columns=columns)
-
-
-def archive_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+
+    def unpack(batches):
+        rows, size = [], 0
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                for row in _lines(path, content, max_depth):
+                    rows.append(row)
+                    size += len(row[3] or b"") + 64
+                    if size >= BATCH_BYTES:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
+
+    return unpack
+
+
+def archive_lines(spark: SparkSession, paths: str | Sequence[str], max_depth: int = MAX_DEPTH) -> DataFrame:
     """Line frame (plus ``error``) of all archives at ``paths``.
 
     One task unpacks one archive, as a stream of lines. A broken or too deeply
@@ -104,9 +123,11 @@ def archive_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         .where(is_archive(F.col("_metadata.file_path")))
         .select("path", "content")
     )
-    return archive_lines_of(files)
+    return archive_lines_of(files, max_depth)
 
 
-def archive_lines_of(files: DataFrame) -> DataFrame:
+def archive_lines_of(files: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """The same for a DataFrame with ``path STRING, content BINARY``."""
-    return files.select("path", "content").mapInPandas(_unpack, FRAME)
+    return files.select("path", "content").mapInPandas(_unpack(max_depth), FRAME).withColumn(
+        "value", F.col("value").cast("string")
+    )

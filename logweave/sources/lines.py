@@ -19,6 +19,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .listing import hidden_objects
+
+HIDDEN = "not read: its name begins with _ or ."
+
 LINE_FRAME = "source_file string, block bigint, seq bigint, value string"
 
 # Names the archive walker unpacks. A plain .gz of one text file is left to
@@ -48,13 +52,26 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
+def with_unread(lines: DataFrame, spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """The frame with an error row for each object that Spark's scans leave out by its name."""
+    hidden = hidden_objects(spark, paths)
+    if not hidden:
+        return lines
+    rows = spark.createDataFrame([(path,) for path in hidden], "source_file string").select(
+        "source_file", F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("seq"),
+        F.lit(None).cast("string").alias("value"), F.lit(HIDDEN).alias("error"),
+    )
+    return lines.withColumn("error", F.lit(None).cast("string")).unionByName(rows)
+
+
 def as_line_frame(df: DataFrame, value: Column | str, source: Column | str | None = None) -> DataFrame:
     """Line frame over any DataFrame with one text per row."""
     text = F.col(value) if isinstance(value, str) else value
     source = F.lit("") if source is None else F.col(source) if isinstance(source, str) else source
     return df.select(
         source.alias("source_file"),
-        F.lit(0).cast("bigint").alias("block"),
+        # The upper bits of the id are the partition's number.
+        F.shiftright(F.monotonically_increasing_id(), 33).alias("block"),
         F.monotonically_increasing_id().alias("seq"),
         text.alias("value"),
     )

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,6 +21,43 @@ def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return listing.select("path", "modificationTime", "length")
 
 
+# Names that belong to writers of tables, not to evidence.
+_OWN = ("_SUCCESS", "_READY", "_temporary", "_spark_metadata")
+
+
+def _at_each_level(spark: SparkSession, paths: str | Sequence[str], name: str) -> Iterator[JavaObject]:
+    """File status of all objects below ``paths`` whose own name fits a pattern.
+
+    The file system lists one level of folders after the other and gives back what
+    fits, so only that comes to the driver. Folders that Spark's scans leave out are
+    not entered.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in [paths] if isinstance(paths, str) else paths:
+        level = path.rstrip("/")
+        system = jvm.org.apache.hadoop.fs.Path(level).getFileSystem(conf)
+        while system.globStatus(jvm.org.apache.hadoop.fs.Path(level + "/*")):
+            yield from system.globStatus(jvm.org.apache.hadoop.fs.Path(f"{level}/{name}")) or ()
+            level += "/[!_.]*"
+
+
+def hidden_objects(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """Objects below ``paths`` whose names begin with ``_`` or ``.``: Spark's scans leave them out.
+
+    A folder of such a name is given as a whole, an empty object not at all.
+    """
+    return sorted({
+        status.getPath().toString() for status in _at_each_level(spark, paths, "[_.]*")
+        if status.getPath().getName() not in _OWN and (status.isDirectory() or status.getLen())
+    })
+
+
+def list_with_markers(spark: SparkSession, paths: str | Sequence[str], marker: str) -> DataFrame:
+    """``path`` of all files and of all markers: the names of markers are such that scans leave them out."""
+    found = [(status.getPath().toString(),) for status in _at_each_level(spark, paths, marker)]
+    return list_files(spark, paths).select("path").unionByName(spark.createDataFrame(found, "path string"))
+
+
 def require_files(listing: DataFrame) -> DataFrame:
     """The listing itself; an empty one is an error."""
     if listing.isEmpty():

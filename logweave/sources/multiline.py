@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import csvtext
 from ..functions.strings import trim_space
-from ..session import scratch_dir
+from ..session import kept, scratch_dir
 
 # A record that would grow past this is not put together: its lines go on one
 # by one. Only an unclosed quote or bracket makes records of this size.
@@ -32,7 +32,7 @@ def files_with(lines: DataFrame, broken: Column) -> DataFrame | None:
     The list is kept, as two joins use it and the look at all lines is not to be
     repeated for each.
     """
-    files = lines.where(broken).select("source_file").distinct().persist()
+    files = kept(lines.where(broken).select("source_file").distinct())
     found = files.limit(MAX_BROADCAST_FILES + 1).count()
     if found == 0:
         return None

@@ -16,17 +16,21 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..mapping import Mapping, load_mapping
 from ..operators.formats import Options
+from ..operators.timeline import MAX_LINE_BYTES
 from ..operators.routing import route_logs, route_timelines, with_key
 from ..plans.network import ingest_network
 from ..plans.sinks import write_parsed
 from ..plans.timeline import ingest_timeline
-from ..session import configure
+from ..session import configure, released
 from ..sources.listing import literal_path
 
 # The names of a micro-batch's files pass through the driver, so their number
 # is bounded here.
 MAX_FILES_PER_BATCH = 10_000
 
+# How Spark names a file whose content cannot be read.
+_UNREADABLE = "FAILED_READ_FILE"
+
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -39,6 +43,8 @@ def new_objects(spark: SparkSession, root: str, max_files: int = MAX_FILES_PER_B
         spark.readStream.format("binaryFile").schema(_LISTING)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
+        # Evidence is old: an object counts as new whatever its age is.
+        .option("maxFileAge", "36500d")
         .load(root)
     )
     return with_key(stream.select("path", "length"), root)
@@ -56,6 +62,30 @@ def _run_name(batch: DataFrame, number: int, part: str = "") -> str:
     return f"{query}-{number}{part}"
 
 
+def _file_by_file(
+    spark: SparkSession, take: Callable[[list[str], str], None], files: list[str], part: str, rejected: str
+) -> None:
+    """All files of a batch at once; if one cannot be read, each by itself, and that one is rejected.
+
+    Without this a damaged file would meet every restart again and stop the stream for good.
+    """
+    with released():
+        try:
+            take(files, part)
+        except Exception as problem:
+            if _UNREADABLE not in str(problem):
+                raise
+            # The rows of an attempt are written as a whole or not at all.
+            for n, file in enumerate(files):
+                try:
+                    take([file], f"{part}-{n}")
+                except Exception as own:
+                    if _UNREADABLE not in str(own):
+                        raise
+                    spark.createDataFrame([(file, "cannot be read")], "path string, reject string").write.mode(
+                        "append").parquet(rejected)
+
+
 def stream_network(
     spark: SparkSession, root: str, table: str, checkpoint: str, allowed: Iterable[str], *,
     mapping_for: Callable[[str], Mapping] | None = None,
@@ -83,8 +113,13 @@ def stream_network(
         for row in taken.toLocalIterator():   # at most max_files names
             paths.setdefault(row.log_type, []).append(literal_path(row.path))
         for log_type, files in sorted(paths.items()):
-            parsed = ingest_network(spark, files, mapping_for(log_type), options=options)
-            write_parsed(parsed, table, run=_run_name(batch, number, f"-{log_type}"))
+            mapping = mapping_for(log_type)
+
+            def take(some: list[str], part: str, mapping: Mapping = mapping) -> None:
+                parsed = ingest_network(spark, some, mapping, options=options)
+                write_parsed(parsed, table, run=_run_name(batch, number, part))
+
+            _file_by_file(spark, take, files, f"-{log_type}", f"{table}_rejected/run={_run_name(batch, number)}")
 
     return _each_batch(new_objects(spark, root, max_files), checkpoint, handle)
 
@@ -92,15 +127,26 @@ def stream_network(
 def stream_timeline(
     spark: SparkSession, folder: str, table: str, checkpoint: str, root: str, *,
     default_device: str = "unknown", max_files: int = MAX_FILES_PER_BATCH,
+    max_line_bytes: int = MAX_LINE_BYTES,
 ) -> DataStreamWriter:
-    """Ingest ``<case>-timeline-<stamp>.jsonl`` objects as they arrive in ``folder``."""
+    """Ingest ``<case>-timeline-<stamp>.jsonl`` objects as they arrive in ``folder``.
+
+    Objects that are not taken are written under ``<table>_rejected``, with the reason.
+    """
     configure(spark)
 
     def handle(batch: DataFrame, number: int) -> None:
-        routed = route_timelines(batch).where(F.col("reject").isNull())
-        files = [literal_path(row.path) for row in routed.select("path").toLocalIterator()]
+        rejected = f"{table}_rejected/run={_run_name(batch, number)}"
+        routed = route_timelines(batch)
+        routed.where(F.col("reject").isNotNull()).select("path", "reject").write.mode("overwrite").parquet(rejected)
+        taken = routed.where(F.col("reject").isNull())
+        files = [literal_path(row.path) for row in taken.select("path").toLocalIterator()]
+
+        def take(some: list[str], part: str) -> None:
+            parsed = ingest_timeline(spark, some, root, default_device, max_line_bytes)
+            write_parsed(parsed, table, run=_run_name(batch, number, part))
+
         if files:
-            parsed = ingest_timeline(spark, files, root, default_device)
-            write_parsed(parsed, table, run=_run_name(batch, number))
+            _file_by_file(spark, take, files, "", rejected)
 
     return _each_batch(new_objects(spark, folder, max_files), checkpoint, handle)

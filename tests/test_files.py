@@ -3,7 +3,9 @@
 import gzip
 import io
 import json
+import os
 import tarfile
+import time
 import zipfile
 from datetime import datetime
 
@@ -14,8 +16,9 @@ import logweave as lw
 from logweave.operators import routing
 from logweave.plans import sinks
 from logweave.sources.archives import archive_lines, archive_lines_of
+from logweave.sources.lines import as_line_frame
 from logweave.sources.chunks import decrypt_chunks
-from logweave.sources.listing import list_files
+from logweave.sources.listing import hidden_objects, list_files, list_with_markers
 from logweave.streaming.ingest import stream_network, stream_timeline
 
 LINE = "t=0,id={}\n"
@@ -102,7 +105,7 @@ def test_plain_sinks(spark, lines, tmp_path):
     sinks.write_quarantine(parsed.quarantine(), str(tmp_path / "q"))
     assert spark.read.parquet(str(tmp_path / "q")).columns == ["source_file", "line_number", "raw_line", "error"]
     sinks.write_manifest(spark, str(tmp_path / "case"), "c1", "a.c1", 3, 99)
-    (marker,) = [json.loads(f.read_text()) for f in (tmp_path / "case" / "_READY").glob("part-*.json")]
+    marker = json.loads((tmp_path / "case" / "_READY").read_text())
     assert (marker["case_id"], marker["entries_written"], marker["bytes_decrypted"]) == ("c1", 3, 99)
 
 
@@ -182,3 +185,92 @@ def test_stream_timeline(spark, tmp_path):
     stream_timeline(spark, str(tmp_path / "in"), table, str(tmp_path / "cp"), "/mnt").trigger(
         availableNow=True).start().awaitTermination()
     assert [r.message for r in sinks.scan_timeline(spark, table).collect()] == ["m"]
+
+
+def test_names_that_scans_leave_out_are_rejected(spark, tmp_path):
+    (tmp_path / "sub" / "_deep").mkdir(parents=True)
+    for name, body in (("a.log", line(1)), ("_b.log", line(2)), (".c.log", line(3)), ("_SUCCESS", b""), ("sub/d.log", line(4)), ("sub/_e.log", line(5)), ("sub/_deep/f.log", line(6))):
+        (tmp_path / name).write_bytes(body)
+    parsed = lw.ingest_network(spark, str(tmp_path), lw.parse_mapping(MAPPING))
+    assert sorted(r.rule_id for r in parsed.events.collect()) == ["1", "4"]
+    bad = {r.source_file.rsplit("/", 1)[1]: r.error for r in parsed.quarantine().collect()}
+    assert set(bad) == {"_b.log", ".c.log", "_e.log", "_deep"} and set(bad.values()) == {"not read: its name begins with _ or ."}
+    assert hidden_objects(spark, str(tmp_path / "a.log")) == []
+    with pytest.raises(Exception, match="not read"):
+        parsed.failfast().rows.collect()
+
+
+def test_ready_folders_of_a_real_listing(spark, tmp_path):
+    for name in ("a/x", "a/b/y", "c/z", "top"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x")
+    sinks.write_manifest(spark, str(tmp_path / "a"), "c1", "a.c1", 1, 1)
+    found = list_with_markers(spark, str(tmp_path), routing.MARKER)
+    assert [r.key for r in routing.ready_only(routing.with_key(found, f"file://{tmp_path}")).collect()] == ["a/x"]
+
+
+def test_equal_entry_names_keep_their_own_headers(spark, tmp_path):
+    one = zipped(log__csv=b"t,src,dst\n0,1.1.1.1,2.2.2.2\n")
+    two = zipped(log__csv=b"t,dst,src\n0,4.4.4.4,3.3.3.3\n")
+    with tarfile.open(tmp_path / "o.tar", "w") as tar:
+        for name, body in (("a.zip", one), ("b.zip", two), ("b.zip", two)):
+            info = tarfile.TarInfo(name)
+            info.size = len(body)
+            tar.addfile(info, io.BytesIO(body))
+    mapping = lw.parse_mapping({"log_type": "demo", "format": "csv", "has_header": True, "fields": [
+        {"target": "event_timestamp", "source": "t", "transform": "unix"}, {"target": "src_ip", "source": "src"}, {"target": "dst_ip", "source": "dst"}]})
+    parsed = lw.ingest_network(spark, str(tmp_path), mapping)
+    got = sorted((r.src_ip, r.dst_ip) for r in parsed.events.collect())
+    assert got == [("1.1.1.1", "2.2.2.2"), ("3.3.3.3", "4.4.4.4"), ("3.3.3.3", "4.4.4.4")]
+    names = {r.source_file.split("!", 1)[1] for r in parsed.rows.collect()}
+    assert names == {"log.csv", "b.zip!log.csv", "b.zip!log.csv#2"}
+
+
+def test_damaged_containers_are_rows(spark, tmp_path):
+    packed = bytearray(zipped(x__log=line(1) * 3000))
+    for at in range(200, len(packed) - 200, 7):
+        packed[at] ^= 0x55
+    (tmp_path / "bad.zip").write_bytes(packed)
+    (tmp_path / "good.log").write_bytes(line(2))
+    parsed = lw.ingest_network(spark, str(tmp_path), lw.parse_mapping(MAPPING))
+    assert "2" in [r.rule_id for r in parsed.events.collect()]
+    assert any(r.error.startswith("archive:") for r in parsed.quarantine().collect())
+
+
+def test_event_ids_do_not_depend_on_the_container(spark, tmp_path):
+    body = b"t=0,id=caf\xe9\n"
+    (tmp_path / "plain.log").write_bytes(body)
+    (tmp_path / "packed.zip").write_bytes(zipped(x__log=body))
+    rows = lw.ingest_network(spark, str(tmp_path), lw.parse_mapping(MAPPING)).events.select("event_uuid").collect()
+    assert len(rows) == 2 and len({r.event_uuid for r in rows}) == 1
+
+
+def test_line_numbers_over_several_tasks(spark):
+    rows = spark.createDataFrame([(i, f"t={i},id={i}" if i % 5 else "broken") for i in range(40)], "i int, value string").repartitionByRange(4, "i").sortWithinPartitions("i")
+    parsed = lw.parse_network(as_line_frame(rows, "value"), lw.parse_mapping(MAPPING))
+    assert sorted(r.line_number for r in parsed.quarantine(line_numbers=True).collect()) == [i + 1 for i in range(0, 40, 5)]
+
+
+def test_streams_take_old_files_and_outlive_damaged_ones(spark, tmp_path):
+    logs = tmp_path / "in" / "log" / "demo"
+    logs.mkdir(parents=True)
+    table = str(tmp_path / "table")
+    mapping = lw.parse_mapping(MAPPING)
+
+    def run():
+        stream_network(spark, str(tmp_path / "in"), table, str(tmp_path / "cp"), ["demo"], mapping_for=lambda _: mapping).trigger(
+            availableNow=True).start().awaitTermination()
+        return sorted(r.rule_id for r in sinks.scan_network(spark, table).collect())
+
+    (logs / "a.log").write_bytes(line(1))
+    assert run() == ["1"]
+    (logs / "b.log").write_bytes(line(2))
+    month = time.time() - 30 * 86400
+    os.utime(logs / "b.log", (month, month))
+    assert run() == ["1", "2"]
+    (logs / "c.log.gz").write_bytes(gzip.compress(b"".join(line(n) for n in range(3000)))[:4000])
+    (logs / "d.log").write_bytes(line(4))
+    held = len(spark.sparkContext._jsc.getPersistentRDDs())
+    assert run() == ["1", "2", "4"]
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == held
+    assert [r.reject for r in spark.read.parquet(table + "_rejected").collect()] == ["cannot be read"]

@@ -171,8 +171,16 @@ def test_long_values_do_not_overflow(parse):
     assert len(row["device_name"]) == 600_001
     rows = parse(kv("comma", {"target": "device_name", "source": "n"}), f'"n={long}",t=0', f"t=0,n={long}",
                  "t=0,n=" + "y" * (1 << 20))
-    assert [len(r["device_name"]) for r in rows] == [300_000, 300_000, 0]
-    assert rows[2]["error"] == "line exceeds 1048576 byte limit"
+    assert [len(r["device_name"]) for r in rows] == [300_000, 300_000, 1 << 20]
+    rows = parse(kv("comma", {"target": "device_name", "source": "n"}), "t=0,n=" + "y" * 200, max_line_bytes=100)
+    assert rows[0]["error"] == "line exceeds 100 byte limit" and not rows[0]["device_name"]
+
+
+def test_strict_form_keeps_the_line_limit(lines):
+    mapping = lw.parse_mapping(kv("comma", {"target": "device_name", "source": "n"}))
+    with pytest.raises(Exception, match="line exceeds 1048576 byte limit"):
+        lw.parse_network(lines("t=0,n=" + "y" * (1 << 20)), mapping).failfast().rows.collect()
+    assert lw.parse_network(lines("t=0,n=y"), mapping).failfast().rows.count() == 1
 
 
 def test_csv_rules(parse):

@@ -142,3 +142,8 @@ def test_logons_come_from_one_scan(spark, tmp_path):
     plan = correlate.logon_nexus(network(spark), table)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
     assert "PushedFilters: [IsNotNull(data_type), EqualTo(data_type,windows:evtx:record)" in plan
+
+
+def test_times_out_of_range_are_errors(lines):
+    parsed = parse_timeline(lines('{"timestamp": 9999999999999999999, "message": "m"}', '{"timestamp": 999999999999999999, "message": "m"}', '{"timestamp": 1, "message": "m"}', '{"message": "m"}'), "/mnt")
+    assert [r.error for r in parsed.rows.orderBy("block", "seq").collect()][1:] == ["timestamp: outside years 1 to 9999", None, None]
