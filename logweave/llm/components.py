@@ -9,13 +9,14 @@ from logweave.llm.tables import checkpointed
 
 
 def _roots(hooks: DataFrame) -> DataFrame:
-    """Follow (node, to) until every `to` is its own root."""
+    """Follow (node, to) until every `to` is its own root; every `to` is a node itself."""
     while True:
         above = hooks.select(F.col("node").alias("to"), F.col("to").alias("next"))
-        jumped = checkpointed(hooks.join(above, "to", "left").select("node", F.coalesce("next", "to").alias("next"), "to"))
-        hooks = jumped.select("node", F.col("next").alias("to"))
-        if jumped.where("next <> to").isEmpty():
-            return hooks
+        beyond = hooks.select(F.col("node").alias("next"), F.col("to").alias("last"))
+        jumped = checkpointed(hooks.join(above, "to").join(beyond, "next").select("node", "next", "last"))
+        if jumped.where("next <> last").isEmpty():
+            return jumped.select("node", F.col("next").alias("to"))
+        hooks = jumped.select("node", F.col("last").alias("to"))
 
 
 def components(edges: DataFrame) -> DataFrame:

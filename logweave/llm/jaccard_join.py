@@ -46,8 +46,8 @@ _SLOT = 4096
 ORDERS = (0x1F83D9AB, 0x5BE0CD19, 0x3C6EF372)
 PIVOTS = 2
 ROUNDS = 8
-#: What is left is paired at once when that makes at most so many pairs for each row of a token.
-REST = 64
+#: What is left is paired at once when that makes at most so many pairs for each set of the corpus.
+REST = 8
 
 
 def shingles(words: Words, i: int) -> np.ndarray:
@@ -232,13 +232,26 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Of each token, pairs of unlike components that fit in length: a, b, n, m."""
-    fits = f"component <> other_component AND 100 * n >= {PERCENT} * other_n AND 100 * other_n >= {PERCENT} * n"
+def _thinned(nodes: DataFrame) -> DataFrame:
+    """(token, node, n, weight): of tokens that exactly the same nodes have, one, with their number.
+
+    A passage that documents share gives as many such tokens as it has words; one of
+    them makes the same candidates.
+    """
+    rows = nodes.select("node", "n", F.explode("tokens").alias("token"))
+    same = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"x{i}") for i, seed in enumerate(ORDERS)]
+    lists = rows.groupBy("token").agg(F.count("*").alias("size"), *same).where("size > 1")
+    chosen = lists.groupBy("size", "x0", "x1", "x2").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
+    return rows.join(chosen.select("token", "weight"), "token").select("token", "node", "n", "weight")
+
+
+def _pairs(left: DataFrame, right: DataFrame, more: str = "true") -> DataFrame:
+    """Of each token, pairs of unlike components that fit in length: a, b, n, m and the token's weight."""
+    fits = f"component <> other_component AND 100 * n >= {PERCENT} * other_n AND 100 * other_n >= {PERCENT} * n AND {more}"
     first = F.col("node") < F.col("other")
     return left.join(right, "token").where(fits).select(
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"),
-        F.when(first, F.col("n")).otherwise(F.col("other_n")).alias("n"), F.when(first, F.col("other_n")).otherwise(F.col("n")).alias("m"))
+        F.when(first, F.col("n")).otherwise(F.col("other_n")).alias("n"), F.when(first, F.col("other_n")).otherwise(F.col("n")).alias("m"), "weight")
 
 
 def _as_other(rows: DataFrame) -> DataFrame:
@@ -251,16 +264,14 @@ def _with_pivots(rows: DataFrame, turn: int) -> DataFrame:
     groups = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), *[F.min(x).alias(f"h{k}") for k, x in enumerate(places)]).where("low <> high")
     chosen = reduce(or_, [x == F.col(f"h{k}") for k, x in enumerate(places)])
     pivots = rows.join(groups, "token").where(chosen)
-    return _pairs(rows, _as_other(pivots)).distinct()
+    return _pairs(rows, _as_other(pivots)).select("a", "b", "n", "m").distinct()
 
 
 def _all_pairs(rows: DataFrame) -> DataFrame:
     """All pairs across components whose prefixes of the first order have enough in common."""
     groups = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
     own = rows.join(groups, "token", "left_semi")
-    pairs = _pairs(own, _as_other(own)).where("a < b")
-    # Each pair comes twice from a token, once from either side.
-    counts = pairs.groupBy("a", "b", "n", "m").agg((F.count("*") / 2).alias("common"))
+    counts = _pairs(own, _as_other(own), "node < other").groupBy("a", "b", "n", "m").agg(F.sum("weight").alias("common"))
 
     def rest(n: str) -> str:
         return f"(({PERCENT} * {n} + 99) div 100 - 1)"
@@ -274,8 +285,8 @@ def _marks(uids: DataFrame) -> np.ndarray:
     place = f"pmod(xxhash64(uid), {wanted})"
     words = uids.select(F.expr(f"cast({place} div 64 AS int)").alias("word"), F.expr(f"shiftleft(1L, cast({place} % 64 AS int))").alias("bit"))
     out = np.zeros(wanted // 64, np.int64)
-    for row in words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
-        out[row["word"]] = row["bits"]
+    held = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out[held["word"].to_numpy()] = held["bits"].to_numpy()
     return out.view(np.uint64)
 
 
@@ -303,22 +314,20 @@ def _verified(near: DataFrame, docs: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(_verify, "a bigint, b bigint")
 
 
-def _linked(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, component) of the nodes that have links; docs: uid and body."""
+def _linked(nodes: DataFrame, docs: DataFrame, heads: int) -> DataFrame:
+    """(node, component) of the nodes that have links; docs: uid and body; heads: how many sets there are."""
     outlines = nodes.select("node", "filters")
+    postings = tables.checkpointed(_thinned(nodes))
     labels = tested = None
     for turn in range(ROUNDS + 1):
-        named = nodes.select("node", "n", "tokens").withColumn("component", F.col("node"))
+        rows = postings.withColumn("component", F.col("node"))
         if labels is not None:
-            named = named.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        rows = named.select("node", "n", "component", F.explode("tokens").alias("token"))
-        rest = False
-        if turn:
-            groups = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-            total = groups.agg(F.sum("size"), F.sum(F.col("size") * F.col("size"))).first()
-            if not total[0]:
-                break
-            rest = turn == ROUNDS or total[1] <= REST * total[0]
+            rows = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        groups = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+        total = groups.agg(F.sum(F.col("size") * F.col("size"))).first()[0]
+        if not total:
+            break
+        rest = turn == ROUNDS or total <= REST * heads
         pairs = _all_pairs(rows) if rest else _with_pivots(rows, turn)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -361,7 +370,7 @@ def classes(docs: DataFrame) -> DataFrame:
     nodes = tables.checkpointed(packed.with_answer(outlines, answer, _nodes(bits), NODES))
     tables.release(nodes)
 
-    labels = _linked(nodes, bodies.select("uid", "body"))
+    labels = _linked(nodes, bodies.select("uid", "body"), heads.count())
     named = heads.join(labels.withColumnRenamed("node", "uid"), "uid", "left").select("class", "head", F.coalesce("component", "uid").alias("component"))
     least = named.groupBy("component").agg(F.min("head").alias("component_id"))
     named = named.join(least, "component").select("class", "component", "component_id")
