@@ -4,15 +4,16 @@ Two sets that similar share a token among the first n - ceil(0.8 n) + 1 of each
 global order of tokens. Several orders are used, all rarest first by a sketch of how often
 tokens occur in the whole corpus (2**18 counters, so what is broadcast is 256 KB at any
 size), each with ties broken by another hash. Tokens that two sets share in the prefix of
-the first order make candidates; candidates must also share a prefix token under the second
+the first order make candidates if lengths and parity sketches allow it; candidates must also share a prefix token under the second
 and the third order, as many as their lengths ask for, and fit in length; only pairs in the
 intersection are verified, on the sets of the whole texts.
 
 Equal sets are one class from the start, so copies are never paired. Candidates of a token
 are not all paired at once either: some members, the pivots, are compared with all others
-and what links becomes one component; pairs inside a component need no further look. Rounds
-go on until few pairs between different components are left, and those are all verified, so
-no link between components is lost and no partner is capped.
+and what links becomes one component; pairs inside a component need no further look. After a
+round of that (`ROUNDS`) all remaining pairs between different components are looked at, in
+the join itself by their sketches, so no link between components is lost and no partner is
+capped.
 
 Defined cases: NULL or wordless text has an empty set and is linked with nothing; a text of
 fewer than five words is one shingle; a NULL doc_id takes part, but is no smallest id unless
@@ -45,9 +46,9 @@ _SLOT = 4096
 #: Seeds that break ties in the orders: the first makes candidates, all others filter them.
 ORDERS = (0x1F83D9AB, 0x5BE0CD19, 0x3C6EF372)
 PIVOTS = 2
-ROUNDS = 8
+ROUNDS = 1
 #: What is left is paired at once when that makes at most so many pairs for each set of the corpus.
-REST = 8
+REST = 64
 
 
 def shingles(words: Words, i: int) -> np.ndarray:
@@ -136,7 +137,19 @@ def _from_top(body: bytes, size: int) -> np.ndarray:
 
 #: Bytes of a token that travel: to find candidates, and to filter them. Chance agreement only adds candidates.
 _FIND, _FILTER = 6, 2
-OUTLINE = "uid bigint, n bigint, first binary, filters array<binary>"
+#: Longs of a set's parity sketch.
+_LONGS = 8
+OUTLINE = "uid bigint, n bigint, first binary, filters array<binary>, sketch array<bigint>"
+
+
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """For each bit of the sketch, whether the set has an odd number of tokens that fall on it.
+
+    Two sketches differ in no more bits than their sets differ in tokens.
+    """
+    place = (mix(tokens ^ np.uint64(ORDERS[0])) >> np.uint64(40)).astype(np.int64) % (64 * _LONGS)
+    odd = (np.bincount(place, minlength=64 * _LONGS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
 
 
 def _outline(levels: np.ndarray):
@@ -144,12 +157,15 @@ def _outline(levels: np.ndarray):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, first, filters = [], [], []
+            n, first, filters, sketch = [], [], [], []
             for _, tokens in _sets(batch):
                 n.append(len(tokens))
                 first.append(_top(prefix(tokens, levels, ORDERS[0]), _FIND) if len(tokens) else b"")
                 filters.append([_top(prefix(tokens, levels, seed), _FILTER) for seed in ORDERS[1:]] if len(tokens) else [])
-            yield pa.RecordBatch.from_pydict({"uid": batch["uid"], "n": pa.array(n, pa.int64()), "first": pa.array(first, pa.binary()), "filters": pa.array(filters, pa.list_(pa.binary()))})
+                sketch.append(parity(tokens))
+            yield pa.RecordBatch.from_pydict({
+                "uid": batch["uid"], "n": pa.array(n, pa.int64()), "first": pa.array(first, pa.binary()),
+                "filters": pa.array(filters, pa.list_(pa.binary())), "sketch": pa.array(sketch, pa.list_(pa.int64()))})
 
     return work
 
@@ -174,7 +190,7 @@ def _send(bits: int):
     return work
 
 
-NODES = "node bigint, n bigint, tokens array<bigint>, filters array<binary>"
+NODES = "node bigint, n bigint, tokens array<bigint>, filters array<binary>, sketch array<bigint>"
 
 
 def _nodes(bits: int):
@@ -190,7 +206,7 @@ def _nodes(bits: int):
                 pick.append(i)
                 tokens.append(first.view(np.int64))
         own = table.take(pa.array(pick, pa.int64()))
-        return pa.table({"node": own["uid"], "n": own["n"], "tokens": pa.array(tokens, pa.list_(pa.int64())), "filters": own["filters"]})
+        return pa.table({"node": own["uid"], "n": own["n"], "tokens": pa.array(tokens, pa.list_(pa.int64())), "filters": own["filters"], "sketch": own["sketch"]})
 
     return work
 
@@ -233,21 +249,24 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _thinned(nodes: DataFrame) -> DataFrame:
-    """(token, node, n, weight): of tokens that exactly the same nodes have, one, with their number.
+    """(token, node, n, sketch, weight): of tokens that exactly the same nodes have, one, with their number.
 
     A passage that documents share gives as many such tokens as it has words; one of
     them makes the same candidates.
     """
-    rows = nodes.select("node", "n", F.explode("tokens").alias("token"))
+    rows = nodes.select("node", F.explode("tokens").alias("token"))
     same = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"x{i}") for i, seed in enumerate(ORDERS)]
     lists = rows.groupBy("token").agg(F.count("*").alias("size"), *same).where("size > 1")
     chosen = lists.groupBy("size", "x0", "x1", "x2").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
-    return rows.join(chosen.select("token", "weight"), "token").select("token", "node", "n", "weight")
+    thin = rows.join(chosen.select("token", "weight"), "token")
+    return thin.join(nodes.select("node", "n", "sketch"), "node").select("token", "node", "n", "sketch", "weight")
 
 
 def _pairs(left: DataFrame, right: DataFrame, more: str = "true") -> DataFrame:
-    """Of each token, pairs of unlike components that fit in length: a, b, n, m and the token's weight."""
+    """Of each token, pairs of unlike components that fit in length and by their sketches: a, b, n, m and the token's weight."""
     fits = f"component <> other_component AND 100 * n >= {PERCENT} * other_n AND 100 * other_n >= {PERCENT} * n AND {more}"
+    apart = " + ".join(f"bit_count(sketch[{i}] ^ other_sketch[{i}])" for i in range(_LONGS))
+    fits += f" AND {apart} <= n + other_n - 2 * (({PERCENT} * (n + other_n) + {99 + PERCENT}) div {100 + PERCENT})"
     first = F.col("node") < F.col("other")
     return left.join(right, "token").where(fits).select(
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"),
@@ -255,7 +274,7 @@ def _pairs(left: DataFrame, right: DataFrame, more: str = "true") -> DataFrame:
 
 
 def _as_other(rows: DataFrame) -> DataFrame:
-    return rows.select("token", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_component"))
+    return rows.select("token", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("sketch").alias("other_sketch"), F.col("component").alias("other_component"))
 
 
 def _with_pivots(rows: DataFrame, turn: int) -> DataFrame:
@@ -323,11 +342,14 @@ def _linked(nodes: DataFrame, docs: DataFrame, heads: int) -> DataFrame:
         rows = postings.withColumn("component", F.col("node"))
         if labels is not None:
             rows = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        groups = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        total = groups.agg(F.sum(F.col("size") * F.col("size"))).first()[0]
-        if not total:
-            break
-        rest = turn == ROUNDS or total <= REST * heads
+        rest = False
+        if turn:
+            inside = rows.groupBy("token", "component").agg(F.count("*").alias("size"))
+            groups = inside.groupBy("token").agg((F.sum("size") * F.sum("size") - F.sum(F.col("size") * F.col("size"))).alias("across"))
+            total = groups.agg(F.sum("across")).first()[0]
+            if not total:
+                break
+            rest = turn == ROUNDS or total <= 2 * REST * heads
         pairs = _all_pairs(rows) if rest else _with_pivots(rows, turn)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

@@ -108,7 +108,7 @@ def linked_by_force(rows):
 def test_near_copies_as_by_force(spark, monkeypatch, seed, pivots, rest):
     monkeypatch.setattr(jaccard_join, "PIVOTS", pivots)
     monkeypatch.setattr(jaccard_join, "REST", rest)
-    monkeypatch.setattr(jaccard_join, "ROUNDS", 2)
+    monkeypatch.setattr(jaccard_join, "ROUNDS", 3)
     rows = corpus(seed, 90)
     r = random.Random(seed)
     base = [f"c{k}" for k in range(120)]
