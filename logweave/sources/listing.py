@@ -46,10 +46,13 @@ def hidden_objects(spark: SparkSession, paths: str | Sequence[str]) -> list[str]
 
     A folder of such a name is given as a whole, an empty object not at all.
     """
-    return sorted({
-        status.getPath().toString() for status in _at_each_level(spark, paths, "[_.]*")
-        if status.getPath().getName() not in _OWN and (status.isDirectory() or status.getLen())
-    })
+    found = set()
+    for status in _at_each_level(spark, paths, "[_.]*"):
+        name = status.getPath().getName()
+        read = name.startswith("_") and "=" in name   # a partition's folder
+        if not read and name not in _OWN and (status.isDirectory() or status.getLen()):
+            found.add(status.getPath().toString())
+    return sorted(found)
 
 
 def list_with_markers(spark: SparkSession, paths: str | Sequence[str], marker: str) -> DataFrame:

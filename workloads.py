@@ -25,9 +25,10 @@ from logweave.plans import correlate, sinks
 from logweave.plans.timeline import parse_timeline
 from logweave.session import scratch_dir
 from logweave.sources.archives import archive_lines_of
+from logweave.sources.listing import list_with_markers
 from logweave.sources.chunks import decrypt_chunks as decrypt
 from logweave.sources.lines import as_line_frame
-from logweave.streaming.ingest import stream_network
+from logweave.streaming.ingest import stream_network, stream_timeline
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -837,6 +838,70 @@ def _packed(name: pd.Series, body: pd.Series) -> pd.Series:
     return pd.Series([pack(n, b) for n, b in zip(name, body)])
 
 
+@query("""
+SELECT source, count(*) AS n_ready FROM documents
+WHERE source IN (SELECT source FROM documents GROUP BY source HAVING min(doc_id) % 2 = 0) GROUP BY source""")
+def ready_gate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A real folder for each source; only those with a completion marker are let through."""
+    base = scratch_dir(spark, "ready")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    docs.withColumn("folder", F.col("source")).select(F.col("doc_id").cast("string").alias("value"), "folder").write.partitionBy("folder").text(base)
+    ready = docs.groupBy("source").agg(F.min("doc_id").alias("least")).where("least % 2 = 0")
+    for row in ready.select("source").toLocalIterator():   # a marker for each source
+        sinks.write_manifest(spark, f"{base}/folder={row.source}", row.source, row.source, 1, 1)
+    found = routing.with_key(list_with_markers(spark, base, routing.MARKER), f"file:{base}")
+    open_files = routing.ready_only(found).select("path")
+    lines = spark.read.option("recursiveFileLookup", True).text(base).select(F.col("_metadata.file_path").alias("path"), "value")
+    source = F.regexp_extract("path", "folder=([^/]+)/", 1).alias("source")
+    return lines.join(open_files, "path", "left_semi").groupBy(source).agg(F.count("*").alias("n_ready"))
+
+
+@query("""
+SELECT '' AS error, count(*) AS n FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 'not read: its name begins with _ or .', count(DISTINCT event_type) FROM events WHERE event_type = 'error'""")
+def prefix_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder for each kind of event, one under a name no scan reads: it is missing, but not in silence."""
+    base = scratch_dir(spark, "prefix")
+    events(spark, sf_dir).select(
+        text("t=0,id=", c("id")).alias("value"), c("event_type").alias("kind")
+    ).write.partitionBy("kind").text(f"{base}/logs")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.rename(path(f"{base}/logs/kind=error"), path(f"{base}/logs/_error"))
+    mapping = lw.parse_mapping(kv_mapping({"target": "rule_id", "source": "id"}))
+    parsed = lw.ingest_network(spark, f"{base}/logs", mapping)
+    return parsed.rows.groupBy(F.coalesce("error", F.lit("")).alias("error")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS rule_id, event_type AS action FROM events")
+def lower_action(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upper-case actions come back in lower case."""
+    line = text("t=0,id=", c("id"), ",act=", F.upper(c("event_type")))
+    mapping = kv_mapping(
+        {"target": "rule_id", "source": "id"}, {"target": "action", "source": "act", "transform": "lower"})
+    return parse(events(spark, sf_dir), line, mapping).select("rule_id", "action")
+
+
+@query("""
+SELECT event_id AS id, epoch_us(ts) AS ts_us FROM events WHERE event_type <> 'error'""")
+def stream_timeline_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timeline objects ingested by a stream, read back from the table."""
+    base = scratch_dir(spark, "timeline")
+    line = F.to_json(F.struct(F.unix_micros("at").alias("timestamp"), c("id").alias("message")))
+    events(spark, sf_dir).where("event_type <> 'error'").select(line.alias("value")).write.text(f"{base}/parts")
+    folder = f"{base}/in"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    system = path(base).getFileSystem(conf)
+    system.mkdirs(path(folder))
+    for n, part in enumerate(system.globStatus(path(f"{base}/parts/part-*"))):   # written parts get the names of timelines
+        system.rename(part.getPath(), path(f"{folder}/case{n}-timeline-1.jsonl"))
+    stream_timeline(spark, folder, f"{base}/table", f"{base}/checkpoint", "/mnt").trigger(
+        availableNow=True).start().awaitTermination()
+    return sinks.scan_timeline(spark, f"{base}/table").select(
+        F.col("message").cast("bigint").alias("id"), F.unix_micros("event_timestamp").alias("ts_us"))
+
+
 @query("""
 SELECT conv_id || '/' || CASE role WHEN 'user' THEN 'a' || turn || '.zip!dir/app.log'
   ELSE 'nested' || turn || '.tgz!dir/app.log' END AS source_file, count(*) AS n_lines,
