@@ -138,7 +138,7 @@ def _from_top(body: bytes, size: int) -> np.ndarray:
 #: Bytes of a token that travel: to find candidates, and to filter them. Chance agreement only adds candidates.
 _FIND, _FILTER = 6, 2
 #: Longs of a set's parity sketch.
-_LONGS = 8
+_LONGS = 24
 OUTLINE = "uid bigint, n bigint, first binary, filters array<binary>, sketch array<bigint>"
 
 
