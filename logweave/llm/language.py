@@ -35,8 +35,9 @@ SCRIPT_SHARE = 0.01
 FLOOR = -4.0
 #: Score of a language whose script the word is not in.
 BARRED = -60.0
-#: Words decoded at once.
-_DECODE = 1 << 20
+#: Scores (of a word for a language) decoded at once, and looked up at once.
+_DECODE = 1 << 22
+_LOOKUP = 1 << 17
 
 UNKNOWN = "und"
 
@@ -130,7 +131,7 @@ def viterbi(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np
     sizes = np.diff(first)
     order = np.argsort(-sizes, kind="stable")
     begin, sizes = first[:-1][order], sizes[order]
-    stays, best_of = np.zeros((n, k), bool), np.zeros(n, np.int8)
+    stays, best_of = np.zeros((n, k), bool), np.zeros(n, np.int32)
     active = np.searchsorted(-sizes, -np.arange(1, (sizes[0] if len(sizes) else 0) + 1), "right")
     value = np.zeros((len(sizes), k), np.float64)
     for t, live in enumerate(active.tolist()):
@@ -142,8 +143,8 @@ def viterbi(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np
             best_of[at] = top
             np.maximum(v, cut, out=v)
         v += scores[at]
-    labels = np.zeros(n, np.int8)
-    state = value.argmax(1).astype(np.int8) if k else np.zeros(len(sizes), np.int8)
+    labels = np.zeros(n, np.int32)
+    state = value.argmax(1).astype(np.int32) if k else np.zeros(len(sizes), np.int32)
     for t in range(len(active) - 1, -1, -1):
         live = int(active[t])
         at, own = begin[:live] + t, state[:live]
@@ -196,8 +197,9 @@ def _decode(model: Model, switch: float, names: tuple[str, str, str]):
         scores = np.zeros((len(words.starts), len(model.langs)), np.float32)
         if len(words.starts):
             grams = _trigrams(data, offsets)
-            for a in range(0, len(words.starts), 1 << 15):
-                b = min(a + (1 << 15), len(words.starts))
+            step = max(1, _LOOKUP // len(model.langs))
+            for a in range(0, len(words.starts), step):
+                b = min(a + step, len(words.starts))
                 lo, hi = words.starts[a], words.ends[b - 1]
                 scores[a:b] = np.add.reduceat(model.table[grams[lo:hi]], words.starts[a:b] - lo, axis=0)
             # The script of the first character that has one.
@@ -223,7 +225,7 @@ def _decode(model: Model, switch: float, names: tuple[str, str, str]):
                     out += [(UNKNOWN, 0.0, [])] * (len(offsets) - 1)
                     continue
                 parts.append(scored(data, offsets))
-                held += len(parts[-1][1])
+                held += parts[-1][0].size
                 if held > _DECODE:
                     out += results(parts)
                     parts, held = [], 0

@@ -24,6 +24,26 @@ def test_language_viterbi_is_the_best_path():
         assert math.isclose(value(tuple(got[a:b].tolist())), value(best), abs_tol=1e-9)
 
 
+def test_language_viterbi_with_many_languages(spark):
+    r = np.random.default_rng(2)
+    k, first = 200, np.array([0, 3, 3, 40, 41])
+    scores = r.normal(size=(41, k)) * 3
+    scores[:, 150:] += 2
+    got = language.viterbi(scores, first, 4.0)
+    for a, b in zip(first[:-1], first[1:]):
+        own, best = got[a:b].tolist(), np.zeros(k)
+        for i in range(a, b):
+            best = (np.maximum(best, best.max() - 4.0) if i > a else best) + scores[i]
+        assert all(0 <= x < k for x in own)
+        assert own == [] or math.isclose(sum(scores[a + i, x] for i, x in enumerate(own)) - 4.0 * sum(x != y for x, y in zip(own, own[1:])), best.max())
+
+    word = lambda i: "".join(chr(97 + int(d)) * 3 for d in f"{i:03d}")
+    docs = spark.createDataFrame([(i, " ".join([word(i)] * 5), f"l{i:03d}") for i in range(200)], "doc_id bigint, text string, lang string")
+    rows = language.identify(docs, language.train(docs), "doc_id", "lang").collect()
+    assert len(rows) == 200 and {x.lang_pred for x in rows} <= {x.lang for x in rows}
+    assert all(x.lang_pred == x.lang for x in rows if x.doc_id in (0, 127, 128, 199))
+
+
 LANGS = {"aa": "ka ko ki kan tok mik", "bb": "zub zeb drub ubz brez", "ru": "да нет мир дом лес"}
 
 
