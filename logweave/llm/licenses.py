@@ -96,6 +96,8 @@ def notices(files: DataFrame) -> DataFrame:
     known = F.array(*[F.lit(w) for w in vocabulary()])
     distinct = F.array_distinct("terms")
     lines = lines.where((F.size("terms") > 0) & (F.size(F.array_intersect(distinct, known)) >= FAMILIAR * F.size(distinct)))
+    # Rows that agree in path and text share a uid; of each line one is kept, or their ranks would not be those of one file.
+    lines = lines.distinct()
     # Neighbouring lines differ from their rank by the same number.
     ranked = lines.withColumn("run", F.col("line") - F.row_number().over(Window.partitionBy("uid").orderBy("line")))
     runs = ranked.groupBy("uid", "run").agg(F.min("line").alias("notice"), F.flatten(F.collect_list("terms")).alias("terms"))

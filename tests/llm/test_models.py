@@ -229,6 +229,22 @@ def test_licences_and_their_folders(spark):
     assert licenses.scan(files.limit(0)).collect() == []
 
 
+def test_repeated_files_hold_the_same_notices(spark):
+    apache = next(t for n, t in licenses.NOTICES if n == "Apache-2.0" and len(t) > 100).split(" ")
+    header = "\n".join(" ".join(apache[i : i + 12]) for i in range(0, len(apache), 12))
+    header = "import os\n" + header + "\nprint(1)"
+    rows = [("one/a.c", header)] + [("many/a.c", header)] * 5 + [(None, header)] * 4 + [("a/LICENSE", header)] * 3
+    files = spark.createDataFrame(rows, "path string, text string")
+    found = licenses.notices(files.where("path = 'one/a.c'")).collect()
+    assert len(found) == 1
+    whole = [sorted(found[0].terms)]
+    for where in ("path = 'many/a.c'", "path IS NULL", "path = 'a/LICENSE'"):
+        got = licenses.notices(files.where(where)).where("notice >= 0").distinct().collect()
+        assert [sorted(x.terms) for x in got] == whole
+    scores = {(x.own_license, x.own_score) for x in licenses.scan(files.where("path IS NULL OR path NOT LIKE '%LICENSE'")).collect()}
+    assert len(scores) == 1 and scores.pop()[0] == "Apache-2.0"
+
+
 def weights_by_force(tokens, entropy, repeats):
     whole = sum(tokens)
 
