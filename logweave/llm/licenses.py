@@ -8,7 +8,8 @@ terms. The best template at or above the threshold is the file's own licence. A
 speaks for its folder; a file without a licence of its own takes that of the nearest folder
 above it that has one, found by joining folder paths.
 
-The templates are constants, so broadcasting their terms is bounded. Ancestors are resolved
+The templates are constants (one-line notices, standard headers, and texts of long licences), so
+broadcasting their terms is bounded. Ancestors are resolved
 once for each distinct folder, not for each file; files join their folder with Spark's
 splitting of skewed keys.
 
@@ -21,6 +22,11 @@ other name pass through.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,28 +65,81 @@ TEMPLATES = [(i, name, text) for i, (name, text) in enumerate(NOTICES + [(name,
 TRIGGERS = ["license", "licence", "licensed", "licensing", "unlicense", "licenses", "copyright", "spdx-license-identifier", "permission"]
 TERM = "[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LOWERED = str.maketrans(UPPER, LOWER)
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([.-][^/]*)?$"
 MAY_HOLD = r"(?i)licen[cs]|copyright|permission"
 
 
+def _gnu(subject: str, name: str, version: str, later: bool = True) -> list[str]:
+    """The standard header of a GNU licence: its first paragraph, which holds name and version, and the whole of it."""
+    grant = f"This {subject} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation"
+    grant += f", either version {version} of the License, or (at your option) any later version." if later else f", version {version} of the License."
+    rest = (f"This {subject} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. "
+            f"See the GNU {name} for more details.")
+    copy = f"You should have received a copy of the GNU {name} along with this {subject}."
+    return [grant, f"{grant} {rest}", f"{grant} {rest} {copy} If not, see https://www.gnu.org/licenses/."]
+
+
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.")
+_BSD_3 = " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_END = (' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS '
+            "FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, "
+            "BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, "
+            "OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_MIT_END = (' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. '
+            "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_ISC_END = (' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE '
+            "FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.")
+_MIT, _ISC = (next(text for name, text in NOTICES if name == x and "Permission" in text) for x in ("MIT", "ISC"))
+_CC = {"CC-BY-4.0": "Attribution", "CC-BY-NC-4.0": "Attribution-NonCommercial", "CC-BY-SA-4.0": "Attribution-ShareAlike"}
+_GNU = {"AGPL-3.0": ("program", "Affero General Public License", "3"), "GPL-2.0": ("program", "General Public License", "2"), "GPL-3.0": ("program", "General Public License", "3"),
+        "LGPL-2.1": ("library", "Lesser General Public License", "2.1"), "LGPL-3.0": ("library", "Lesser General Public License", "3")}
+#: Standard headers and short licence texts, which siblings have almost in common.
+HEADERS = [
+    *[(name, text) for name, own in _GNU.items() for later in (True, False) for text in _gnu(*own, later)],
+    *[(name, f"SPDX-License-Identifier: {name}-{form}") for name in _GNU for form in ("only", "or-later")],
+    ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1"), ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("BSD-2-Clause", _BSD), ("BSD-2-Clause", _BSD + _BSD_END), ("BSD-3-Clause", _BSD + _BSD_3), ("BSD-3-Clause", _BSD + _BSD_3 + _BSD_END),
+    ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"), ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("MIT", _MIT + _MIT_END), ("ISC", _ISC + _ISC_END),
+    *[(name, f"This work is licensed under the Creative Commons {kind} 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/{name[3:-4].lower()}/4.0/ or send a letter to Creative Commons, PO Box 1866, Mountain View, CA 94042, USA.")
+      for name, kind in _CC.items()],
+    *[(name, f"Creative Commons {kind} 4.0 International Public License") for name, kind in _CC.items()],
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+]
+TEXTS = Path(__file__).parent / "license_texts"
+
+
+def all_templates() -> list[tuple[int, str, str]]:
+    """TEMPLATES, then the headers, then the texts of long licences (by file name); TEMPLATES alone give idf and the vocabulary."""
+    more = HEADERS + [(x.stem, x.read_text("utf-8")) for x in sorted(TEXTS.glob("*.txt"))]
+    return TEMPLATES + [(len(TEMPLATES) + i, name, text) for i, (name, text) in enumerate(more)]
+
+
 def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(f"({TERM})"), F.lit(1))
 
 
+def _rare() -> Column:
+    """Weight of a term that none of TEMPLATES has."""
+    return F.log(F.lit((1 + len(TEMPLATES)) / 1.0)) + 1
+
+
 def template_terms(spark: SparkSession) -> DataFrame:
-    """template, license, term, weight (tf x idf) and norm: some hundred rows."""
-    rows = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), F.lit(text).alias("text")) for i, name, text in TEMPLATES])
-    table = spark.range(1).select(F.explode(rows).alias("x")).select("x.*")
-    counts = table.select("template", "license", F.explode(terms(F.col("text"))).alias("term")).groupBy("template", "license", "term").agg(F.count("*").alias("tf"))
-    idf = counts.groupBy("term").agg((F.log((1 + F.lit(len(TEMPLATES))) / (1 + F.count("*"))) + 1).alias("idf"))
-    weighted = counts.join(idf, "term").withColumn("weight", F.col("tf") * F.col("idf"))
+    """template, license, term, weight (tf x idf) and norm: some thousand rows."""
+    # A relation of the driver's, as text of this length does not belong into plans.
+    rows = [(i, name, term, tf) for i, name, text in all_templates() for term, tf in Counter(re.findall(TERM, text.translate(_LOWERED))).items()]
+    table = pa.table(dict(zip(("template", "license", "term", "tf"), zip(*rows, strict=True), strict=True)), pa.schema([("template", pa.int32()), ("license", pa.string()), ("term", pa.string()), ("tf", pa.int64())]))
+    counts = spark.createDataFrame(table)
+    idf = counts.where(F.col("template") < len(TEMPLATES)).groupBy("term").agg((F.log((1 + F.lit(len(TEMPLATES))) / (1 + F.count("*"))) + 1).alias("idf"))
+    weighted = counts.join(idf, "term", "left").withColumn("idf", F.coalesce("idf", _rare())).withColumn("weight", F.col("tf") * F.col("idf"))
     norms = weighted.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     return weighted.join(norms, "template").select("template", "license", "term", "idf", "weight", "norm")
 
 
 def vocabulary() -> list[str]:
-    import re
-
     return sorted({x for _, _, text in TEMPLATES for x in re.findall(TERM, text.lower())})
 
 
@@ -112,9 +171,8 @@ def matches(files: DataFrame) -> DataFrame:
     words = template_terms(spark)
     found = notices(files).distinct().select("uid", "notice", F.explode("terms").alias("term")).groupBy("uid", "notice", "term").agg(F.count("*").alias("tf"))
     idf = words.select("term", "idf").distinct()
-    rare = F.log(F.lit((1 + len(TEMPLATES)) / 1.0)) + 1
     # Terms of no template count in the norm with the weight of a term that no template has.
-    weighted = found.join(F.broadcast(idf), "term", "left").withColumn("own", F.col("tf") * F.coalesce("idf", rare)).drop("idf")
+    weighted = found.join(F.broadcast(idf), "term", "left").withColumn("own", F.col("tf") * F.coalesce("idf", _rare())).drop("idf")
     norms = weighted.groupBy("uid", "notice").agg(F.sqrt(F.sum(F.col("own") * F.col("own"))).alias("own_norm"))
     dots = weighted.join(F.broadcast(words), "term").groupBy("uid", "notice", "template", "license", "norm").agg(F.sum(F.col("own") * F.col("weight")).alias("dot"))
     scored = dots.join(norms, ["uid", "notice"]).withColumn("score", F.round(F.col("dot") / (F.col("norm") * F.col("own_norm")), 6))

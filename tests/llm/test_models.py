@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -245,6 +246,43 @@ def test_repeated_files_hold_the_same_notices(spark):
     assert len(scores) == 1 and scores.pop()[0] == "Apache-2.0"
 
 
+def wrapped(text, mark):
+    return "\n".join("\n".join(mark + x for x in textwrap.wrap(part, 72)) or mark.rstrip() for part in text.split("\n"))
+
+
+def test_standard_headers_get_their_own_names(spark):
+    files, want = [], {}
+
+    def add(name, path, text):
+        files.append((path, text))
+        want[path] = name
+
+    for name, (subject, kind, version) in {
+            "GPL-2.0": ("program", "", "2"), "GPL-3.0": ("program", "", "3"), "AGPL-3.0": ("program", "Affero ", "3"), "LGPL-2.1": ("library", "Lesser ", "2.1"), "LGPL-3.0": ("library", "Lesser ", "3")}.items():
+        header = (
+            f"Foo, a {subject} for bars. Copyright (C) 2020 A. N. Author\n\nThis {subject} is free software; you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published by "
+            f"the Free Software Foundation; either version {version} of the License, or (at your option) any later version.\n\nThis {subject} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+            f"implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public License for more details.\n\nYou should have received a copy of the GNU {kind}General Public License "
+            f"along with this {subject}; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.")
+        add(name, f"src/{name}/a.c", "/*\n" + wrapped(header, " * ") + "\n */\nint main;\n")
+        add(name, f"one/{name}/a.py", wrapped(header.replace("\n\n", " "), "# ") + "\nprint(1)\n")
+        add(name, f"spdx/{name}/a.c", f"// SPDX-License-Identifier: {name}-or-later\nint main;")
+    bsd = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n1. Redistributions of source code must retain the above copyright notice, "
+           "this list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.")
+    more = "\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    for name, text in (("BSD-2-Clause", bsd), ("BSD-3-Clause", bsd + more)):
+        add(name, f"src/{name}/a.c", wrapped(text, " * ") + "\nint main;")
+        add(name, f"lic/{name}/LICENSE", "Copyright (c) 2020, A. N. Author\nAll rights reserved.\n\n" + text + licenses._BSD_END)
+    add("MPL-2.0", "src/m.c", wrapped("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", " * "))
+    for name, kind in (("CC-BY-4.0", "Attribution"), ("CC-BY-NC-4.0", "Attribution-NonCommercial"), ("CC-BY-SA-4.0", "Attribution-ShareAlike")):
+        add(name, f"src/{name}.md", f"# Data\n\nThis work is licensed under the Creative Commons {kind} 4.0 International License.\n")
+    for x in licenses.TEXTS.glob("*.txt"):
+        add(x.stem, f"lic/{x.stem}/COPYING", x.read_text())
+    assert len(want) == 30
+    rows = licenses.scan(spark.createDataFrame(files, "path string, text string")).collect()
+    assert {x.path: x.own_license for x in rows} == want
+
+
 def weights_by_force(tokens, entropy, repeats):
     whole = sum(tokens)
 
