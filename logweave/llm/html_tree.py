@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from typing import NamedTuple
 
 # Element names by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style template noscript iframe object svg math select textarea title canvas audio video button datalist".split())
+#: Their content is no markup; without an end tag it is the rest of the page.
+RAW = frozenset("script style textarea title".split())
+#: Left out with all they hold where they have an end tag; without one, what follows is read on.
+SKIPPED = frozenset("template noscript iframe object svg select canvas audio video button datalist".split())
+_LONE = frozenset({"button", "select"})
 BLOCKS = ("html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd nav header footer aside form fieldset table thead tbody tfoot tr td th caption "
           "figure figcaption blockquote pre address details summary dialog center menu head hgroup search legend option").split()
 TAGS = {name: i for i, name in enumerate(BLOCKS)}
@@ -91,7 +96,73 @@ def _end_of(page: str, at: int) -> int:
     return end
 
 
+_ANY_SKIPPED = re.compile("<(?:" + "|".join(sorted(SKIPPED)) + r")(?=[\s/>])", re.IGNORECASE)
+_RAW_END = {name: re.compile("</" + name, re.IGNORECASE) for name in RAW}
+
+
+def _next_markup(page: str, lt: int) -> tuple[str, bool, int, int]:
+    """Of the markup at `lt`: name ('' of a comment, '<' of no markup), whether it is an end tag, where it ends (-1: nowhere), and where reading goes on."""
+    n, c = len(page), page[lt + 1 : lt + 2]
+    if c == "!" or c == "?":
+        if page.startswith("<!--", lt):
+            end = page.find("-->", lt + 4)
+            return "", False, end, n if end < 0 else end + 3
+        end = page.find(">", lt)
+        return "", False, end, n if end < 0 else end + 1
+    closing = c == "/"
+    found = _NAME.match(page, lt + 1 + closing)
+    if not found:
+        return "<", closing, lt, lt + 1 if not closing else max(page.find(">", lt) + 1, lt + 1) or n
+    end = _end_of(page, lt)
+    return found[0].lower(), closing, end, n if end < 0 else end + 1
+
+
+def _after_raw(page: str, name: str, at: int) -> int:
+    stop = _RAW_END[name].search(page, at)
+    after = page.find(">", stop.end()) if stop else -1
+    return len(page) if after < 0 else after + 1
+
+
+def _skips(page: str) -> dict[int, int]:
+    """Where the skipped elements begin that have an end tag within their parent, and where they end."""
+    found = _ANY_SKIPPED.search(page)
+    out: dict[int, int] = {}
+    if not found:
+        return out
+    stack: list[tuple[str, int]] = []
+    open_now: Counter[str] = Counter()
+
+    def pop(upto: str) -> int:
+        while True:
+            name, begin = stack.pop()
+            open_now[name] -= 1
+            if name == upto:
+                return begin
+
+    at, n = 0, len(page)
+    while at < n:
+        lt = page.find("<", at)
+        if lt < 0:
+            break
+        name, closing, end, at = _next_markup(page, lt)
+        if name in RAW and not closing and end >= 0:
+            at = _after_raw(page, name, at)
+        elif (name in SKIPPED or name in TAGS) and end >= 0:
+            if closing:
+                if open_now[name]:
+                    begin = pop(name)
+                    if name in SKIPPED:
+                        out[begin] = at
+            elif page[end - 1] != "/" or name not in SKIPPED:
+                if name in _LONE and open_now[name]:   # one inside another: the outer has no end
+                    pop(name)
+                stack.append((name, lt))
+                open_now[name] += 1
+    return out
+
+
 def read(page: str) -> Tree:
+    skips = _skips(page)
     tree = Tree([-1], [TAGS["html"]], [0], [""], [0])
     stack: list[tuple[str, int]] = [("html", 0)]
     parts: list[str] = []
@@ -129,25 +200,14 @@ def read(page: str) -> Tree:
                 linked += len(piece)
         if lt == n:
             break
-        c = page[lt + 1 : lt + 2]
-        if c == "!" or c == "?":
-            if page.startswith("<!--", lt):
-                end = page.find("-->", lt + 4)
-                at = n if end < 0 else end + 3
-            else:
-                end = page.find(">", lt)
-                at = n if end < 0 else end + 1
+        name, closing, end, at = _next_markup(page, lt)
+        if not name:
             continue
-        closing = c == "/"
-        found = _NAME.match(page, lt + 1 + closing)
-        if not found:
+        if name == "<":
             parts.append("<" if not closing else "")
-            at = lt + 1 if not closing else max(page.find(">", lt) + 1, lt + 1) or n
             continue
-        end = _end_of(page, lt)
         if end < 0:
             break
-        name, at = found[0].lower(), end + 1
         if closing:
             if name in TAGS:
                 for i in range(len(stack) - 1, 0, -1):
@@ -160,12 +220,9 @@ def read(page: str) -> Tree:
             elif name == "a":
                 in_link = 0
             continue
-        if name in SKIPPED:
+        if name in RAW or name in SKIPPED:
             parts.append(" ")
-            if page[end - 1] != "/" or name in ("script", "style", "title"):
-                stop = re.compile("</" + name, re.IGNORECASE).search(page, at)
-                after = page.find(">", stop.end()) if stop else -1
-                at = n if after < 0 else after + 1
+            at = _after_raw(page, name, at) if name in RAW and (page[end - 1] != "/" or name != "textarea") else skips.get(lt, at)
             continue
         if name not in TAGS:
             if name == "br" or name == "hr":

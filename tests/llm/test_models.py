@@ -197,6 +197,23 @@ def test_reader_closes_what_browsers_close():
     assert shape("<STYLE>p{}</STYLE><P CLASS=x>a</P><textarea><p>no</textarea>") == [("p", "a")]
 
 
+def test_reader_goes_on_after_skipped_elements():
+    def words(page):
+        return " ".join(html_tree.read(page).text).split()
+
+    for name in sorted(html_tree.SKIPPED):
+        assert words(f"<div>a<{name} class=x>no<p>no</p></{name}> b</div>") == ["a", "b"]
+        assert words(f"<body><{name}><article><p>whole text</p></article>")[-2:] == ["whole", "text"]
+        assert words(f"<body><div><{name}></div><article><p>whole text</p></article><div><{name}>no</{name}></div>")[-2:] == ["whole", "text"]
+        assert words(f"<body><{name}/><p>text</p>") == ["text"]
+    assert words("<object>no<object>no</object>no</object>a<svg><svg></svg>no</svg>b") == ["a", "b"]
+    assert words("<button>go<p>text<button>no</button>") == ["go", "text"]
+    assert words("<p>so <math><mi>x</mi> <mo>=</mo> <mn>2</mn></math> holds") == ["so", "x", "=", "2", "holds"]
+    assert words("a<button title='</button>'>no</button>b<!-- <svg> --> <script>'<svg>'</script>c<svg></svg>") == ["a", "b", "c"]
+    assert words("a<script>b") == ["a"] and words("a<textarea><p>no</textarea>b") == ["a", "b"]
+    assert len(words("<svg><p>x" * 3000)) == 3000
+
+
 def test_cascade_order_and_verdicts(spark):
     good = " ".join(f"word{i} text." for i in range(30))
     rows = [(1, good), (2, "WORD AND SHOUT, " * 3 + " ".join(f"UPPER{chr(65 + i)}." for i in range(26))), (3, None), (4, ""), (5, " ".join(f"w{i}***." for i in range(40))), (6, good), (None, good), (7, "a b " * 50)]
