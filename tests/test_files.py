@@ -187,6 +187,21 @@ def test_stream_timeline(spark, tmp_path):
     assert [r.message for r in sinks.scan_timeline(spark, table).collect()] == ["m"]
 
 
+def test_stream_query_ingests_every_event(spark, tmp_path, monkeypatch):
+    import workloads
+
+    rows = [(i, i, "error" if i % 3 == 0 else "click", datetime(2026, 1, 1, 0, 0, i), '{"k": 1}') for i in range(30)]
+    spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string, ts timestamp, props string").write.parquet(str(tmp_path / "events.parquet"))
+    base = tmp_path / "scratch"
+    base.mkdir()
+    monkeypatch.setattr(workloads, "scratch_dir", lambda *_: str(base))
+    got = workloads.stream_timeline_ingest(spark, str(tmp_path)).collect()
+    assert sorted(r.id for r in got) == [i for i in range(30) if i % 3]
+    bad = sinks.scan_quarantine(spark, str(base / "table")).collect()
+    assert sorted(int(json.loads(r.raw_line)["message"]) for r in bad) == list(range(0, 30, 3))
+    assert {r.error for r in bad} == {"timestamp: outside years 1 to 9999"}
+
+
 def test_names_that_scans_leave_out_are_rejected(spark, tmp_path):
     (tmp_path / "sub" / "_deep").mkdir(parents=True)
     for name, body in (("a.log", line(1)), ("_b.log", line(2)), (".c.log", line(3)), ("_SUCCESS", b""), ("sub/d.log", line(4)), ("sub/_e.log", line(5)), ("sub/_deep/f.log", line(6))):

@@ -885,10 +885,12 @@ def lower_action(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT event_id AS id, epoch_us(ts) AS ts_us FROM events WHERE event_type <> 'error'""")
 def stream_timeline_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Timeline objects ingested by a stream, read back from the table."""
+    """Timeline objects ingested by a stream, read back from the table; error events have a time the stream must reject."""
     base = scratch_dir(spark, "timeline")
-    line = F.to_json(F.struct(F.unix_micros("at").alias("timestamp"), c("id").alias("message")))
-    events(spark, sf_dir).where("event_type <> 'error'").select(line.alias("value")).write.text(f"{base}/parts")
+    rows = events(spark, sf_dir)
+    beyond = F.lit(10**18)   # microseconds past year 9999
+    line = F.to_json(F.struct(F.when(c("event_type") == "error", beyond).otherwise(F.unix_micros("at")).alias("timestamp"), c("id").alias("message")))
+    rows.select(line.alias("value")).write.text(f"{base}/parts")
     folder = f"{base}/in"
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
@@ -898,6 +900,9 @@ def stream_timeline_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         system.rename(part.getPath(), path(f"{folder}/case{n}-timeline-1.jsonl"))
     stream_timeline(spark, folder, f"{base}/table", f"{base}/checkpoint", "/mnt").trigger(
         availableNow=True).start().awaitTermination()
+    n_rejected, n_errors = sinks.scan_quarantine(spark, f"{base}/table").count(), rows.where("event_type = 'error'").count()
+    if n_rejected != n_errors:
+        raise RuntimeError(f"{n_errors} events must be rejected, {n_rejected} were")
     return sinks.scan_timeline(spark, f"{base}/table").select(
         F.col("message").cast("bigint").alias("id"), F.unix_micros("event_timestamp").alias("ts_us"))
 
