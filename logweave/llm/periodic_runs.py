@@ -192,7 +192,7 @@ def _planted() -> Column:
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     g = F.floor(h / 10)
     words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
-    parts = F.transform(F.array(F.struct(words.alias("w"), F.size(words).cast("bigint").alias("n"))), lambda x: F.struct(x["w"].alias("w"), x["n"].alias("n"), (g % x["n"]).alias("a")))
+    parts = F.transform(F.array(F.struct(words.alias("w"), F.size(words).cast("bigint").alias("n"))), lambda x: F.struct(x["w"].alias("w"), x["n"].alias("n"), (g % F.greatest(x["n"], F.lit(1).cast("bigint"))).alias("a")))
     looped = F.transform(parts, lambda x: F.when(x["n"] > 0, F.array_join(F.concat(
         F.slice(x["w"], F.lit(1), x["a"].cast("int")),
         F.transform(F.sequence(F.lit(0).cast("bigint"), x["n"] - x["a"] - 1),
