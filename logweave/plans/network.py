@@ -14,10 +14,9 @@ from ..operators.formats import MAX_LINE_BYTES, PLACE, Options, reader_for
 from ..operators.projection import project
 from ..schemas import NETWORK_COLUMNS
 from ..session import configure
-from ..sources.archives import archive_lines
-from ..sources.listing import list_files
-from ..sources.lines import is_archive, number_lines, read_lines, with_unread
-
+from ..sources.archives import MAX_DEPTH
+from ..sources.lines import number_lines
+from ..sources.scan import scan_lines
 
 _FATAL = r"\A(?:invalid JSON|not a JSON object|archive:|csv: unreadable header|not read:)"
 
@@ -90,15 +89,13 @@ def ingest_network(
     mapping: Mapping,
     *,
     archives: bool = True,
+    max_depth: int = MAX_DEPTH,
     options: Options = Options(),
 ) -> Parsed:
-    """Read all files below ``paths``, archives included, as logs of one type."""
+    """Read all objects below ``paths``, archives included, as logs of one type.
+
+    Containers may be nested ``max_depth`` deep.
+    """
     configure(spark)
     check_patterns(spark, mapping)
-    lines = with_unread(read_lines(spark, paths), spark, paths)
-    if archives and not list_files(spark, paths).where(is_archive(F.col("path"))).isEmpty():
-        unpacked = archive_lines(spark, paths)
-        if "error" not in lines.columns:
-            lines = lines.withColumn("error", F.lit(None).cast("string"))
-        lines = lines.unionByName(unpacked)
-    return parse_network(lines, mapping, options)
+    return parse_network(scan_lines(spark, paths, archives=archives, max_depth=max_depth), mapping, options)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.timeline import MAX_LINE_BYTES, PLACE, normalise
 from ..schemas import TIMELINE_COLUMNS
 from ..session import configure
-from ..sources.lines import read_lines, with_unread
+from ..sources.scan import scan_lines
 from ..sources.listing import list_files, require_files
 from .network import Parsed
 
@@ -36,5 +36,5 @@ def ingest_timeline(
     """Read all files below ``paths`` as timeline JSON lines; longer lines than given are rejected."""
     configure(spark)
     require_files(list_files(spark, paths))
-    lines = with_unread(read_lines(spark, paths), spark, paths)
+    lines = scan_lines(spark, paths, archives=False)
     return parse_timeline(lines, root, default_device, max_line_bytes)

@@ -4,6 +4,7 @@ import gzip
 import io
 import json
 import os
+import random
 import tarfile
 import time
 import zipfile
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 import logweave as lw
 from logweave.operators import routing
 from logweave.plans import sinks
-from logweave.sources.archives import archive_lines, archive_lines_of
+from logweave.sources import ranges
+from logweave.sources.archives import archive_entries, archive_lines, archive_lines_of
+from logweave.sources.store import list_objects
 from logweave.sources.lines import as_line_frame
 from logweave.sources.chunks import decrypt_chunks
 from logweave.sources.listing import hidden_objects, list_files, list_with_markers
@@ -79,6 +82,59 @@ def test_archive_depth(spark, levels, fails):
     assert (row.error is not None and "nesting" in row.error) == fails
 
 
+def test_entries_of_a_zip_are_dealt_to_tasks(spark, tmp_path, monkeypatch):
+    from logweave.sources import archives
+
+    methods = (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA)
+    with zipfile.ZipFile(tmp_path / "many.zip", "w") as z:
+        z.writestr("in.zip", zipped(deep__log=line(900), e0__log=line(901)))
+        for n in range(40):
+            z.writestr(f"dir/../e{n}.log", line(n) * (1 + 300 * (n % 3)), compress_type=methods[n % 4])
+        with pytest.warns(UserWarning):
+            z.writestr("dir/../e7.log", line(7))
+        z.writestr("in.tar.gz", tarred(x__log=line(902)))
+        z.writestr("deep.log", line(903))
+    monkeypatch.setattr(archives, "CHUNK_BYTES", 400)
+    found = archive_entries(list_objects(spark, str(tmp_path))).collect()
+    assert len(found) == 44 and len({r.chunk for r in found}) > 5
+    lines = archive_lines(spark, str(tmp_path))
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+    got = {}
+    for r in lines.collect():
+        assert r.error is None
+        got.setdefault(r.source_file.split("!", 1)[1], []).append((r.block, r.seq, r.value))
+    want = {f"dir/../e{n}.log": 1 + 300 * (n % 3) for n in range(40)} | {
+        "dir/../e7.log#2": 1, "in.zip!deep.log": 1, "e0.log": 1, "x.log": 1, "deep.log": 1}
+    assert {k: len(v) for k, v in got.items()} == want
+    assert all(sorted(v)[i][1] == i for v in got.values() for i in range(len(v)))
+
+
+def test_a_damaged_entry_leaves_the_others(spark, tmp_path):
+    body = bytearray(zipped(a__log=line(1), b__log=line(2), c__log=line(3)))
+    at = body.index(b"id=2")
+    body[at : at + 4] = b"id=9"
+    (tmp_path / "x.zip").write_bytes(body)
+    (tmp_path / "cut.zip").write_bytes(zipped(a__log=line(4))[:-5])
+    with zipfile.ZipFile(tmp_path / "empty.zip", "w"):
+        pass
+    rows = archive_lines(spark, str(tmp_path)).collect()
+    good = {r.value for r in rows if r.error is None}
+    assert {"t=0,id=1", "t=0,id=3"} <= good <= {"t=0,id=1", "t=0,id=3", "t=0,id=9"}
+    bad = {r.source_file.rsplit("/", 1)[1]: r.error for r in rows if r.error}
+    assert set(bad) == {"x.zip!b.log", "cut.zip"} and all(e.startswith("archive:") for e in bad.values())
+
+
+def test_archive_depth_through_ingestion(spark, tmp_path):
+    data = line(1)
+    for n in range(3):
+        data = zipped(**{"in__zip" if n else "in__log": data})
+    (tmp_path / "x.zip").write_bytes(data)
+    mapping = lw.parse_mapping(MAPPING)
+    assert lw.ingest_network(spark, str(tmp_path), mapping).events.count() == 1
+    assert "nesting" in lw.ingest_network(spark, str(tmp_path), mapping, max_depth=2).quarantine().first().error
+
+
 def test_write_and_scan(spark, lines, tmp_path):
     days = [f"t={86400 * d},id={d}" for d in range(5)] + ["t=x,id=bad", "id=none"]
     parsed = lw.parse_network(lines(*days), lw.parse_mapping(MAPPING))
@@ -202,19 +258,59 @@ def test_stream_query_ingests_every_event(spark, tmp_path, monkeypatch):
     assert {r.error for r in bad} == {"timestamp: outside years 1 to 9999"}
 
 
-def test_names_that_scans_leave_out_are_rejected(spark, tmp_path):
-    (tmp_path / "sub" / "_deep").mkdir(parents=True)
-    for name, body in (("a.log", line(1)), ("_b.log", line(2)), (".c.log", line(3)), ("_SUCCESS", b""), ("sub/d.log", line(4)), ("sub/_e.log", line(5)), ("sub/_deep/f.log", line(6))):
+def test_objects_of_hidden_names_are_read(spark, tmp_path):
+    (tmp_path / "sub" / "_deep" / ".down").mkdir(parents=True)
+    (tmp_path / "sub" / "_temporary").mkdir()
+    for name, body in (("a.log", line(1)), ("_b.log", line(2)), (".c.log", line(3)), ("_SUCCESS", b""), ("_READY", b"{}"), ("sub/d.log", line(4)),
+                       ("sub/_e.log", line(5)), ("sub/_deep/f.log", line(6)), ("sub/_deep/.down/g.log", line(7)), ("sub/_temporary/x", line(99)),
+                       ("_h.zip", zipped(x__log=line(8))), ("_i.log.gz", gzip.compress(line(9))), ("_empty", b"")):
         (tmp_path / name).write_bytes(body)
     parsed = lw.ingest_network(spark, str(tmp_path), lw.parse_mapping(MAPPING))
-    assert sorted(r.rule_id for r in parsed.events.collect()) == ["1", "4"]
-    bad = {r.source_file.rsplit("/", 1)[1]: r.error for r in parsed.quarantine().collect()}
-    assert set(bad) == {"_b.log", ".c.log", "_e.log", "_deep"} and set(bad.values()) == {"not read: its name begins with _ or ."}
-    assert hidden_objects(spark, str(tmp_path / "a.log")) == []
+    assert sorted(r.rule_id for r in parsed.events.collect()) == [str(n) for n in range(1, 10)]
+    assert parsed.quarantine().count() == 0
+    for odd, count in (("a.log", 1), ("_b.log", 1), ("sub/_*", 4), ("sub/_deep", 2)):
+        assert lw.ingest_network(spark, f"{tmp_path}/{odd}", lw.parse_mapping(MAPPING)).events.count() == count, odd
+
+
+def test_hidden_objects_that_are_packed_otherwise_are_rejected(spark, tmp_path):
+    (tmp_path / "_a.log.bz2").write_bytes(b"x")
+    (tmp_path / "b.log").write_bytes(line(1))
+    parsed = lw.ingest_network(spark, str(tmp_path), lw.parse_mapping(MAPPING))
+    (bad,) = parsed.quarantine().collect()
+    assert bad.source_file.endswith("_a.log.bz2") and bad.error.startswith("not read:")
     with pytest.raises(Exception, match="not read"):
         parsed.failfast().rows.collect()
 
 
+def test_stores_that_only_spark_opens(spark, tmp_path, monkeypatch):
+    from logweave.sources import archives, scan
+
+    for name, body in (("a.log", line(1)), ("_b.log", line(2)), ("c.zip", zipped(x__log=line(3)))):
+        (tmp_path / name).write_bytes(body)
+    for module in (archives, scan):
+        monkeypatch.setattr(module, "reachable", lambda _: False)
+    parsed = lw.ingest_network(spark, str(tmp_path), lw.parse_mapping(MAPPING))
+    assert sorted(r.rule_id for r in parsed.events.collect()) == ["1", "3"]
+    (bad,) = parsed.quarantine().collect()
+    assert bad.error == "not read: its name begins with _ or ."
+    assert hidden_objects(spark, str(tmp_path / "a.log")) == []
+
+
+@pytest.mark.parametrize("buffer", [1, 2, 3, 7, 50])
+def test_ranges_share_lines_out(tmp_path, monkeypatch, buffer):
+    monkeypatch.setattr(ranges, "_BUFFER", buffer)
+    r = random.Random(buffer)
+    for _ in range(60):
+        body = b"".join(r.choice([b"a", b"bb", b"\n", b"\n\n", b"ccc\n"]) for _ in range(r.randrange(40)))
+        (tmp_path / "x").write_bytes(body)
+        want = body.split(b"\n")
+        want = want[:-1] if want[-1] == b"" else want
+        size = r.randrange(1, 15)
+        got = [x for a in range(0, max(len(body), 1), size) for x in ranges.range_lines(str(tmp_path / "x"), a, a + size)]
+        assert [x[3] for x in got] == want
+        assert len({x[:3] for x in got}) == len(got)
+
+
 def test_ready_folders_of_a_real_listing(spark, tmp_path):
     for name in ("a/x", "a/b/y", "c/z", "top"):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
