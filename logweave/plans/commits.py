@@ -19,6 +19,8 @@ from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.listing import put_object
+
 FOLDER = "_commits"
 _SCHEMA = (
     "run string, at bigint, replaces boolean, parts array<struct<part: string, days: array<string>>>,"
@@ -54,21 +56,10 @@ def commit(
     replaces: bool = False, applied: list[str] | None = None, since: str | None = None,
 ) -> None:
     """Make the parts visible, and those of earlier commits of the run (``replaces``: of all runs) invisible."""
-    system, folder = _folder(spark, table)
-    jvm = spark.sparkContext._jvm
-    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
     # Later commits have later times even if the clock does not move.
     at = max(time.time_ns() // 1000, _latest(spark, table) + 1)
-    body = json.dumps({"run": run, "at": at, "replaces": replaces, "parts": list(parts), "applied": applied, "since": since})
-    draft = jvm.org.apache.hadoop.fs.Path(folder, f".{uuid.uuid4().hex}")
-    stream = system.create(draft, True)
-    try:
-        stream.write(bytearray(body.encode()))
-    finally:
-        stream.close()
-    how = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    files.rename(draft, jvm.org.apache.hadoop.fs.Path(folder, f"{quote(run, safe='')}.json"), how)
+    body = {"run": run, "at": at, "replaces": replaces, "parts": list(parts), "applied": applied, "since": since}
+    put_object(spark, f"{table.rstrip('/')}/{FOLDER}/{quote(run, safe='')}.json", json.dumps(body).encode())
 
 
 def has_commits(spark: SparkSession, table: str) -> bool:

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator, Sequence
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 
+from .store import OWN_NAMES
+
 
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """``path, modificationTime, length`` of all files, sub-folders included.
@@ -21,8 +24,6 @@ def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return listing.select("path", "modificationTime", "length")
 
 
-# Names that belong to writers of tables, not to evidence.
-_OWN = ("_SUCCESS", "_READY", "_temporary", "_spark_metadata")
 
 
 def _at_each_level(spark: SparkSession, paths: str | Sequence[str], name: str) -> Iterator[JavaObject]:
@@ -50,7 +51,7 @@ def hidden_objects(spark: SparkSession, paths: str | Sequence[str]) -> list[str]
     for status in _at_each_level(spark, paths, "[_.]*"):
         name = status.getPath().getName()
         read = name.startswith("_") and "=" in name   # a partition's folder
-        if not read and name not in _OWN and (status.isDirectory() or status.getLen()):
+        if not read and name not in OWN_NAMES and (status.isDirectory() or status.getLen()):
             found.add(status.getPath().toString())
     return sorted(found)
 
@@ -71,3 +72,18 @@ def require_files(listing: DataFrame) -> DataFrame:
 def literal_path(path: str) -> str:
     """A listed path as reader input: readers take ``[``, ``*`` and the like as patterns."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def put_object(spark: SparkSession, path: str, body: bytes) -> None:
+    """Write one small object; it appears whole, in place of one of the same name."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    to = jvm.org.apache.hadoop.fs.Path(path)
+    draft = jvm.org.apache.hadoop.fs.Path(to.getParent(), f".{uuid.uuid4().hex}")
+    stream = to.getFileSystem(conf).create(draft, True)
+    try:
+        stream.write(bytearray(body))
+    finally:
+        stream.close()
+    how = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(to.toUri(), conf).rename(draft, to, how)

@@ -154,21 +154,28 @@ def list_objects(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return found.select("path", "length", "modificationTime")
 
 
-def is_hidden(path: Column, roots: str | Sequence[str]) -> Column:
-    """Whether Spark's scans of ``roots`` leave an object out for a name below them.
+def _plain(path: Column) -> Column:
+    return F.regexp_replace(path, r"\A[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
 
-    Names that writers of tables use for themselves count as no evidence at all: neither hidden nor read.
-    """
+
+def is_own(path: Column) -> Column:
+    """Whether an object, or a folder above it, is named as writers of tables name what they need for themselves."""
+    inside = F.concat(F.lit("/"), path, F.lit("/"))
+    found = F.lit(False)
+    for name in OWN_NAMES:
+        found = found | F.contains(inside, F.lit(f"/{name}/"))
+    return found
+
+
+def is_hidden(path: Column, roots: str | Sequence[str]) -> Column:
+    """Whether Spark's scans of ``roots`` leave an object out for a name below them; see ``is_own`` for those that count as no evidence."""
     below = path
     for root in [roots] if isinstance(roots, str) else roots:
         base = re.sub(r"\A[A-Za-z][A-Za-z0-9+.-]*:/*", "/", root.rstrip("/"))
-        parent = base.rsplit("/", 1)[0] + "/"
-        plain = F.regexp_replace(path, r"\A[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+        plain = _plain(path)
         # An object named as a root of its own is looked at by its own name.
-        cut = F.when(plain == base, F.substr(plain, F.lit(len(parent)))).when(plain.startswith(base + "/"), F.substr(plain, F.lit(len(base) + 1)))
+        cut = F.when(plain == base, F.substr(plain, F.lit(len(base.rsplit("/", 1)[0]) + 1))).when(
+            plain.startswith(base + "/"), F.substr(plain, F.lit(len(base) + 1)))
         below = F.coalesce(cut, below)
-    own = F.lit(False)
-    for name in OWN_NAMES:
-        own = own | F.contains(F.concat(below, F.lit("/")), F.lit(f"/{name}/"))
     # A name with "=" is a partition's folder, which scans do read.
-    return below.rlike(r"/(?:\.|_[^/=]*(?:/|\z))") & ~own
+    return below.rlike(r"/(?:\.|_[^/=]*(?:/|\z))") & ~is_own(below)

@@ -1,9 +1,10 @@
 """New objects -> tables, each object once.
 
-A file stream over the folder's listing finds the new objects; each micro-batch
-runs the batch plan over them, so every format, archives included, is read by
-the same code. A batch's rows are written under its own ``run`` partition and a
-repeated batch replaces them, which makes the appends exactly-once.
+A stream of objects (see ``objects``) finds what is new; each micro-batch runs the batch
+plan over it, so every format, archives included, is read by the same code. What a batch
+adds becomes visible by one commit, which a repeated batch replaces: appends are
+exactly-once. An object that cannot be read is tried again, later and later, and given up
+after a number of attempts; the others of its batch are loaded without it.
 """
 
 from __future__ import annotations
@@ -14,46 +15,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..mapping import Mapping, load_mapping
+from ..mapping import Mapping, check_patterns, load_mapping
 from ..operators.formats import Options
+from ..operators.routing import MARKER, route_logs, route_timelines, with_key
 from ..operators.timeline import MAX_LINE_BYTES
-from ..operators.routing import route_logs, route_timelines, with_key
-from ..plans.network import ingest_network
-from ..plans.sinks import write_parsed
-from ..plans.timeline import ingest_timeline
+from ..plans.network import Parsed, parse_network
+from ..plans.sinks import Run
+from ..plans.timeline import parse_timeline
 from ..session import configure, released
-from ..sources.listing import literal_path
+from ..sources.scan import scan_objects
+from ..sources.store import is_own, reachable
+from .gate import hold_until_ready
+from .objects import BACKOFF, MAX_ATTEMPTS, failures, note_failure, object_stream
 
-# The names of a micro-batch's files pass through the driver, so their number
+# The names of the objects of a turn pass through the driver, so their number
 # is bounded here.
 MAX_FILES_PER_BATCH = 10_000
 
-# How Spark names a file whose content cannot be read.
-_UNREADABLE = "FAILED_READ_FILE"
+_Found = tuple   # path, length, time, attempt
 
-_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
-
-def new_objects(spark: SparkSession, root: str, max_files: int = MAX_FILES_PER_BATCH) -> DataFrame:
-    """Stream of ``path, length, key`` of the objects arriving below ``root``.
-
-    The content column is pruned: files are listed, not opened.
-    """
-    stream = (
-        spark.readStream.format("binaryFile").schema(_LISTING)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", max_files)
-        # Evidence is old: an object counts as new whatever its age is.
-        .option("maxFileAge", "36500d")
-        .load(root)
-    )
-    return with_key(stream.select("path", "length"), root)
+def new_objects(spark: SparkSession, root: str, checkpoint: str, max_files: int = MAX_FILES_PER_BATCH, gate: bool = False) -> DataFrame:
+    """Stream of the objects arriving below ``root``, with ``key``; with ``gate`` once their folder has its marker."""
+    if gate and not (reachable(root) and reachable(checkpoint)):
+        raise ValueError("markers are seen only in stores that tasks can open")
+    found = with_key(object_stream(spark, root, checkpoint, max_files), root)
+    is_marker = F.substring_index("key", "/", -1) == MARKER
+    found = found.where(~is_own(F.col("key")) | (is_marker & F.lit(gate)))
+    return hold_until_ready(found) if gate else found
 
 
 def _each_batch(
     objects: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]
 ) -> DataStreamWriter:
-    return objects.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return objects.writeStream.outputMode("update").foreachBatch(handle).option("checkpointLocation", checkpoint)
 
 
 def _run_name(batch: DataFrame, number: int, part: str = "") -> str:
@@ -62,28 +57,50 @@ def _run_name(batch: DataFrame, number: int, part: str = "") -> str:
     return f"{query}-{number}{part}"
 
 
-def _file_by_file(
-    spark: SparkSession, take: Callable[[list[str], str], None], files: list[str], part: str, rejected: str
-) -> None:
-    """All files of a batch at once; if one cannot be read, each by itself, and that one is rejected.
+def _load(run: Run, found: list[_Found], parse: Callable[[list[_Found]], Parsed]) -> list[tuple[_Found, str]]:
+    """Add the objects to the run; those that fail, found by halving, are left out and returned with the reason."""
+    try:
+        with released():
+            run.add(parse(found))
+        return []
+    except Exception as problem:   # whatever ends the job of one object must not end the stream
+        if len(found) == 1:
+            return [(found[0], str(problem).strip()[:500])]
+    middle = len(found) // 2
+    return _load(run, found[:middle], parse) + _load(run, found[middle:], parse)
 
-    Without this a damaged file would meet every restart again and stop the stream for good.
-    """
-    with released():
+
+def _handler(
+    spark: SparkSession, table: str, checkpoint: str, route: Callable[[DataFrame], DataFrame], kind: str | None,
+    parser: Callable[[str | None], Callable[[list[_Found]], Parsed]], max_attempts: int, backoff: tuple[float, float],
+) -> Callable[[DataFrame, int], None]:
+    """What becomes of a micro-batch of routed objects; ``kind`` is a column that tells runs apart."""
+
+    def handle(batch: DataFrame, number: int) -> None:
+        routed = route(batch.persist())
         try:
-            take(files, part)
-        except Exception as problem:
-            if _UNREADABLE not in str(problem):
-                raise
-            # The rows of an attempt are written as a whole or not at all.
-            for n, file in enumerate(files):
-                try:
-                    take([file], f"{part}-{n}")
-                except Exception as own:
-                    if _UNREADABLE not in str(own):
-                        raise
-                    spark.createDataFrame([(file, "cannot be read")], "path string, reject string").write.mode(
-                        "append").parquet(rejected)
+            routed.where(F.col("reject").isNotNull()).select("path", "reject").write.mode(
+                "overwrite"
+            ).parquet(f"{table}_rejected/run={_run_name(batch, number)}")
+            taken = routed.where(F.col("reject").isNull()).withColumn("kind", F.col(kind) if kind else F.lit(None).cast("string"))
+            # An attempt that is noted as failed, by this batch before a restart, stays failed: its retry is on the way.
+            noted = failures(spark, checkpoint).select("path", "length", F.col("time").alias("at"), "attempt")
+            taken = taken.withColumn("at", F.unix_micros("modificationTime")).join(noted, ["path", "length", "at", "attempt"], "left_anti")
+            groups = [tuple(r) for r in taken.select("turn", "kind").distinct().orderBy("turn", "kind").collect()]
+            for turn, name in groups:
+                own = taken.where((F.col("turn") == turn) & F.col("kind").eqNullSafe(F.lit(name)))
+                found = [tuple(r) for r in own.select("path", "length", "modificationTime", "attempt").orderBy("path").toLocalIterator()]
+                run = Run(spark, table, _run_name(batch, number, f"-{turn}" + (f"-{name}" if name else "")))
+                # A mapping that is wrong is no fault of an object: it ends the stream here.
+                failed = _load(run, found, parser(name))
+                run.commit()
+                # Only now: a batch that ends before its commit has failed nothing.
+                for one, reason in failed:
+                    note_failure(spark, checkpoint, one, reason, max_attempts, backoff)
+        finally:
+            batch.unpersist()
+
+    return handle
 
 
 def stream_network(
@@ -91,62 +108,45 @@ def stream_network(
     mapping_for: Callable[[str], Mapping] | None = None,
     options: Options = Options(),
     max_files: int = MAX_FILES_PER_BATCH,
+    gate: bool = False, max_attempts: int = MAX_ATTEMPTS, backoff: tuple[float, float] = BACKOFF,
 ) -> DataStreamWriter:
     """Ingest ``<root>/log/<log_type>/<file>`` as it arrives.
 
     Mappings come from ``<root>/config/<log_type>.json`` unless ``mapping_for``
     gives them. Objects that are not taken are written beside the table, under
-    ``<table>_rejected``, with the reason. Start the returned writer with the
-    trigger of your choice, e.g. ``.trigger(availableNow=True).start()``.
+    ``<table>_rejected``, with the reason; those that cannot be read are tried
+    ``max_attempts`` times (see ``objects.failures`` and ``objects.dead_letters``).
+    With ``gate`` the objects of a folder wait for its completion marker. Start
+    the returned writer with the trigger of your choice, e.g.
+    ``.trigger(availableNow=True).start()``.
     """
     configure(spark)
     allowed = tuple(allowed)
     mapping_for = mapping_for or (lambda log_type: load_mapping(spark, root, log_type))
 
-    def handle(batch: DataFrame, number: int) -> None:
-        routed = route_logs(batch, allowed)
-        routed.where(F.col("reject").isNotNull()).select("path", "reject").write.mode(
-            "overwrite"
-        ).parquet(f"{table}_rejected/run={_run_name(batch, number)}")
-        taken = routed.where(F.col("reject").isNull()).select("log_type", "path")
-        paths: dict[str, list[str]] = {}
-        for row in taken.toLocalIterator():   # at most max_files names
-            paths.setdefault(row.log_type, []).append(literal_path(row.path))
-        for log_type, files in sorted(paths.items()):
-            mapping = mapping_for(log_type)
-
-            def take(some: list[str], part: str, mapping: Mapping = mapping) -> None:
-                parsed = ingest_network(spark, some, mapping, options=options)
-                write_parsed(parsed, table, run=_run_name(batch, number, part))
-
-            _file_by_file(spark, take, files, f"-{log_type}", f"{table}_rejected/run={_run_name(batch, number)}")
+    def parser(log_type: str) -> Callable[[list[_Found]], Parsed]:
+        mapping = mapping_for(log_type)
+        check_patterns(spark, mapping)
+        return lambda found: parse_network(scan_objects(spark, [x[:2] for x in found]), mapping, options)
 
-    return _each_batch(new_objects(spark, root, max_files), checkpoint, handle)
+    handle = _handler(spark, table, checkpoint, lambda batch: route_logs(batch, allowed), "log_type", parser, max_attempts, backoff)
+    return _each_batch(new_objects(spark, root, checkpoint, max_files, gate), checkpoint, handle)
 
 
 def stream_timeline(
     spark: SparkSession, folder: str, table: str, checkpoint: str, root: str, *,
     default_device: str = "unknown", max_files: int = MAX_FILES_PER_BATCH,
     max_line_bytes: int = MAX_LINE_BYTES,
+    gate: bool = False, max_attempts: int = MAX_ATTEMPTS, backoff: tuple[float, float] = BACKOFF,
 ) -> DataStreamWriter:
     """Ingest ``<case>-timeline-<stamp>.jsonl`` objects as they arrive in ``folder``.
 
-    Objects that are not taken are written under ``<table>_rejected``, with the reason.
+    Rejects, attempts and ``gate`` are those of ``stream_network``.
     """
     configure(spark)
 
-    def handle(batch: DataFrame, number: int) -> None:
-        rejected = f"{table}_rejected/run={_run_name(batch, number)}"
-        routed = route_timelines(batch)
-        routed.where(F.col("reject").isNotNull()).select("path", "reject").write.mode("overwrite").parquet(rejected)
-        taken = routed.where(F.col("reject").isNull())
-        files = [literal_path(row.path) for row in taken.select("path").toLocalIterator()]
-
-        def take(some: list[str], part: str) -> None:
-            parsed = ingest_timeline(spark, some, root, default_device, max_line_bytes)
-            write_parsed(parsed, table, run=_run_name(batch, number, part))
-
-        if files:
-            _file_by_file(spark, take, files, "", rejected)
+    def parser(_: None) -> Callable[[list[_Found]], Parsed]:
+        return lambda found: parse_timeline(scan_objects(spark, [x[:2] for x in found], archives=False), root, default_device, max_line_bytes)
 
-    return _each_batch(new_objects(spark, folder, max_files), checkpoint, handle)
+    handle = _handler(spark, table, checkpoint, route_timelines, None, parser, max_attempts, backoff)
+    return _each_batch(new_objects(spark, folder, checkpoint, max_files, gate), checkpoint, handle)
