@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from ..sources.listing import put_object
 
 FOLDER = "_commits"
+NO_DAY = "none"
 _SCHEMA = (
     "run string, at bigint, replaces boolean, parts array<struct<part: string, days: array<string>>>,"
-    " applied array<string>, since string"
+    " applied array<struct<part: string, days: array<string>>>, since string"
 )
 
 
@@ -41,19 +42,20 @@ def new_part(spark: SparkSession, table: str, run: str) -> str:
 
 
 def days_of(spark: SparkSession, table: str, part: str, status: str | None = "accepted") -> list[str]:
-    """The days of which a part has rows, from the names of its folders."""
+    """The days of which a part has rows, from the names of its folders; ``NO_DAY`` for rows without a time."""
     system, folder = _folder(spark, table)
     above = f"status={status}/" if status else ""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder.getParent(), f"{above}run={part}")
     if not system.exists(path):
         return []
     names = [x.getPath().getName() for x in system.listStatus(path)]
-    return sorted(unquote(n.split("=", 1)[1]) for n in names if n.startswith("event_date=") and "__HIVE" not in n)
+    days = [unquote(n.split("=", 1)[1]) for n in names if n.startswith("event_date=")]
+    return sorted(NO_DAY if d.startswith("__HIVE") else d for d in days)
 
 
 def commit(
     spark: SparkSession, table: str, run: str, parts: Iterable[dict], *,
-    replaces: bool = False, applied: list[str] | None = None, since: str | None = None,
+    replaces: bool = False, applied: list[dict] | None = None, since: str | None = None,
 ) -> None:
     """Make the parts visible, and those of earlier commits of the run (``replaces``: of all runs) invisible."""
     # Later commits have later times even if the clock does not move.

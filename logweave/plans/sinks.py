@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterable
 from dataclasses import replace
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -166,23 +167,33 @@ def _accepted(spark: SparkSession, path: str) -> DataFrame:
     return _of_status(spark, path, ACCEPTED)
 
 
+def _on(days: Iterable[str] | None) -> Column:
+    if days is None:
+        return F.lit(True)
+    days = set(days)
+    dated = F.col("event_date").isin(*[date.fromisoformat(d) for d in sorted(days - {commits.NO_DAY})])
+    return dated | F.col("event_date").isNull() if commits.NO_DAY in days else dated
+
+
 def scan_network(
     spark: SparkSession, path: str,
     since: datetime | str | None = None, until: datetime | str | None = None,
+    days: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Network events in ``[since, until)``, reading only the days in question."""
-    return _accepted(spark, path).where(_between(since, until)).select(*NETWORK_COLUMNS)
+    """Network events in ``[since, until)``, and of the given days, reading only the days in question."""
+    return _accepted(spark, path).where(_between(since, until) & _on(days)).select(*NETWORK_COLUMNS)
 
 
 def scan_timeline(
     spark: SparkSession, path: str,
     since: datetime | str | None = None, until: datetime | str | None = None,
+    days: Iterable[str] | None = None,
 ) -> DataFrame:
     """Timeline events; a table without day partitions is filtered by time alone."""
     table = _accepted(spark, path)
     if "event_date" not in table.columns:
         table = table.withColumn("event_date", F.to_date("event_timestamp"))
-    return table.where(_between(since, until)).select(*TIMELINE_COLUMNS)
+    return table.where(_between(since, until) & _on(days)).select(*TIMELINE_COLUMNS)
 
 
 def scan_quarantine(spark: SparkSession, path: str) -> DataFrame:

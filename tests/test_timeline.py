@@ -6,7 +6,8 @@ from datetime import datetime
 
 import pytest
 
-from logweave.plans import correlate, sinks
+import logweave as lw
+from logweave.plans import commits, correlate, rebuild, sinks
 from logweave.plans.timeline import ingest_timeline, parse_timeline
 from logweave.schemas import NETWORK_EVENTS, TIMELINE_EVENTS
 
@@ -147,3 +148,42 @@ def test_logons_come_from_one_scan(spark, tmp_path):
 def test_times_out_of_range_are_errors(lines):
     parsed = parse_timeline(lines('{"timestamp": 9999999999999999999, "message": "m"}', '{"timestamp": 999999999999999999, "message": "m"}', '{"timestamp": 1, "message": "m"}', '{"message": "m"}'), "/mnt")
     assert [r.error for r in parsed.rows.orderBy("block", "seq").collect()][1:] == ["timestamp: outside years 1 to 9999", None, None]
+
+
+def test_rebuild_by_days(spark, lines, tmp_path):
+    """Only days that commits name are computed; the table equals a full rebuild after each step."""
+    net, tl, table = (str(tmp_path / n) for n in ("net", "tl", "logons"))
+    mapping = lw.parse_mapping({"log_type": "demo", "format": "kv", "fields": [
+        {"target": "event_timestamp", "source": "t", "transform": "unix"}, {"target": "src_ip", "source": "id"}]})
+    flows = lambda *at: lw.parse_network(lines(*[f"t={86400 * d + 5},id={d}" for d in at]), mapping)
+    strings = ", ".join(f"'s{i}'" for i in range(27))
+
+    def logons(*at):
+        return parse_timeline(lines(*[json.dumps({
+            **({} if d is None else {"timestamp": (86400 * d + 7) * 1_000_000}), "data_type": "windows:evtx:record", "event_identifier": 4624,
+            "message": f"{d} Strings: [{strings}]"}) for d in at]), ROOT)
+
+    def full(since=None):
+        rows = correlate.logon_nexus(sinks.scan_network(spark, net), sinks.scan_timeline(spark, tl), since=since)
+        return sorted(map(repr, rows.collect()))
+
+    held = lambda: sorted(map(repr, rebuild.scan_logons(spark, table).collect()))
+    sinks.write_parsed(flows(0, 1, 2), net, run="a")
+    sinks.write_parsed(logons(1, 3, None), tl, run="a")
+    day = lambda *n: [f"1970-01-{1 + x:02d}" for x in n]
+    assert rebuild.rebuild_logons(spark, net, tl, table) == day(0, 1, 2, 3) + [commits.NO_DAY]
+    assert held() == full() and len(held()) == 6
+    assert rebuild.rebuild_logons(spark, net, tl, table) == []
+    sinks.write_parsed(flows(2, 9), net, run="b")
+    assert rebuild.rebuild_logons(spark, net, tl, table) == day(2, 9) and held() == full()
+    # A replaced run changes the days that it had and the days that it has; one of them is empty now.
+    sinks.write_parsed(flows(1, 5), net, run="a")
+    assert rebuild.rebuild_logons(spark, net, tl, table) == day(0, 1, 2, 5) and held() == full()
+    # A moved bound.
+    assert rebuild.rebuild_logons(spark, net, tl, table, since="1970-01-03 00:00:00") == sorted(
+        {d for p in (net, tl) for r in commits.parts(spark, p).collect() for d in r.days if d == commits.NO_DAY or d <= "1970-01-03"})
+    assert held() == full("1970-01-03 00:00:00")
+    rebuild.rebuild_logons(spark, net, tl, table, since="1970-01-03 00:00:00", whole=True)
+    assert held() == full("1970-01-03 00:00:00")
+    plan = sinks.scan_network(spark, net, days=["1970-01-03"])._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]

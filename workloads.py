@@ -8,6 +8,7 @@ and the SQL states the expected columns straight from the table.
 from __future__ import annotations
 
 import io
+import os
 import sys
 import tarfile
 import zipfile
@@ -21,14 +22,16 @@ from pyspark.sql.types import BinaryType
 
 import logweave as lw
 from logweave.operators import routing
-from logweave.plans import correlate, sinks
+from logweave.plans import correlate, rebuild, sinks
 from logweave.plans.timeline import parse_timeline
 from logweave.session import scratch_dir
 from logweave.sources.archives import archive_lines_of
 from logweave.sources.listing import list_with_markers
 from logweave.sources.chunks import decrypt_chunks as decrypt
 from logweave.sources.lines import as_line_frame
+from logweave.sources.store import open_store
 from logweave.streaming.ingest import stream_network, stream_timeline
+from logweave.streaming.objects import dead_letters, failures
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -710,16 +713,7 @@ def nexus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""
-SELECT epoch_us(ts) AS ts_us, CASE WHEN event_type = 'purchase' THEN NULL ELSE 'ip' || user_id END AS src_ip,
-  CASE WHEN event_type = 'purchase' THEN NULL ELSE 'ws' || event_id END AS src_name,
-  CAST(NULL AS VARCHAR) AS dst_ip, 'host' || user_id AS dst_name,
-  'user ' || regexp_extract(props, '[0-9]+') AS user_name
-FROM events WHERE event_type IN ('click', 'view', 'purchase') AND ts >= TIMESTAMP '2024-01-05'
-UNION ALL
-SELECT epoch_us(date_trunc('second', ts)), '10.0.0.' || user_id, NULL, '10.1.0.' || regexp_extract(props, '[0-9]+'),
-  NULL, 'ann' FROM events""")
-def logon_nexus(spark: SparkSession, sf_dir: str) -> DataFrame:
+def logon_line() -> Column:
     """Clicks are successful logons, views failed ones, purchases have a list cut short."""
     kind = c("event_type")
     success = [f"'s{i}'" for i in range(27)]
@@ -744,13 +738,26 @@ def logon_nexus(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "purchase", text("'a', 'b', 'c', 'd', '', 'user ", c("k"), "', 'cut]', 'off'"))
         .otherwise(listed(success, 11, 18))
     )
-    line = text(
+    return text(
         '{"timestamp": ', F.unix_micros("at").cast("string"), ', "data_type": "',
         F.when(kind == "error", "other").otherwise("windows:evtx:record"),
         '", "event_identifier": ', F.when(kind == "view", "4625").when(kind == "signup", "4634").otherwise("4624"),
         ', "display_name": "', ROOT, "/host", c("user"), '/x", "message": "[4624] Strings:  [', strings, '] Computer"}',
     )
-    timeline = parse_timeline(as_line_frame(events(spark, sf_dir), line), ROOT).events
+
+
+@query("""
+SELECT epoch_us(ts) AS ts_us, CASE WHEN event_type = 'purchase' THEN NULL ELSE 'ip' || user_id END AS src_ip,
+  CASE WHEN event_type = 'purchase' THEN NULL ELSE 'ws' || event_id END AS src_name,
+  CAST(NULL AS VARCHAR) AS dst_ip, 'host' || user_id AS dst_name,
+  'user ' || regexp_extract(props, '[0-9]+') AS user_name
+FROM events WHERE event_type IN ('click', 'view', 'purchase') AND ts >= TIMESTAMP '2024-01-05'
+UNION ALL
+SELECT epoch_us(date_trunc('second', ts)), '10.0.0.' || user_id, NULL, '10.1.0.' || regexp_extract(props, '[0-9]+'),
+  NULL, 'ann' FROM events""")
+def logon_nexus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logons, successful and failed, beside the network's rows."""
+    timeline = parse_timeline(as_line_frame(events(spark, sf_dir), logon_line()), ROOT).events
     rows = correlate.logon_nexus(demo_network(spark, sf_dir), timeline, since="2024-01-05 00:00:00")
     return rows.select(micros(), "src_ip", "src_name", "dst_ip", "dst_name", "user_name")
 
@@ -815,6 +822,22 @@ def route_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- archives, chunks, streams -----------------------------------------------
 
 
+def _renamed(spark: SparkSession, old: str, new: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(old).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(path(new).getParent())
+    if not system.rename(path(old), path(new)):
+        raise RuntimeError(f"cannot rename {old}")
+
+
+def _written(spark: SparkSession, rows: DataFrame, folder: str) -> list[str]:
+    """Write lines (``value``) as text; returns the paths of the parts."""
+    rows.write.text(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(x.getPath().toString() for x in system.globStatus(path(f"{folder}/part-*")))
+
+
 @F.pandas_udf(BinaryType())
 def _packed(name: pd.Series, body: pd.Series) -> pd.Series:
     """A zip or a tar.gz of one log file, the zip inside a tar for some."""
@@ -856,21 +879,17 @@ def ready_gate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(open_files, "path", "left_semi").groupBy(source).agg(F.count("*").alias("n_ready"))
 
 
-@query("""
-SELECT '' AS error, count(*) AS n FROM events WHERE event_type <> 'error'
-UNION ALL SELECT 'not read: its name begins with _ or .', count(DISTINCT event_type) FROM events WHERE event_type = 'error'""")
+@query("SELECT event_type AS action, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id FROM events GROUP BY event_type")
 def prefix_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A folder for each kind of event, one under a name no scan reads: it is missing, but not in silence."""
+    """A folder for each kind of event, two of them under names that Spark's scans leave out: all are read."""
     base = scratch_dir(spark, "prefix")
-    events(spark, sf_dir).select(
-        text("t=0,id=", c("id")).alias("value"), c("event_type").alias("kind")
-    ).write.partitionBy("kind").text(f"{base}/logs")
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    system = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    system.rename(path(f"{base}/logs/kind=error"), path(f"{base}/logs/_error"))
-    mapping = lw.parse_mapping(kv_mapping({"target": "rule_id", "source": "id"}))
-    parsed = lw.ingest_network(spark, f"{base}/logs", mapping)
-    return parsed.rows.groupBy(F.coalesce("error", F.lit("")).alias("error")).agg(F.count("*").alias("n"))
+    rows = events(spark, sf_dir)
+    rows.select(text("t=0,id=", c("id"), ",act=", c("event_type")).alias("value"), c("event_type").alias("kind")).write.partitionBy("kind").text(f"{base}/logs")
+    _renamed(spark, f"{base}/logs/kind=error", f"{base}/logs/_error")
+    _renamed(spark, f"{base}/logs/kind=view", f"{base}/logs/.view")
+    mapping = lw.parse_mapping(kv_mapping({"target": "src_port", "source": "id"}, {"target": "action", "source": "act"}))
+    found = lw.ingest_network(spark, f"{base}/logs", mapping).events
+    return found.groupBy("action").agg(F.count("*").alias("n"), F.min("src_port").alias("first_id"), F.max("src_port").alias("last_id"))
 
 
 @query("SELECT CAST(event_id AS VARCHAR) AS rule_id, event_type AS action FROM events")
@@ -927,6 +946,53 @@ def archive_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("SELECT CAST(event_id AS VARCHAR) AS rule_id, event_type AS action, user_id AS src_port FROM events")
+def archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives in a folder, one of them of a hidden name: zips of many entries, tars with zips in them."""
+    base = scratch_dir(spark, "packed")
+    rows = events(spark, sf_dir)
+    line = text("t=0,id=", c("id"), ",act=", c("event_type"), ",port=", c("user"))
+    rows.select(line.alias("value"), F.pmod("event_id", F.lit(6)).alias("archive")).groupBy("archive").applyInPandas(
+        _archive_of(f"{base}/in"), "path string").write.parquet(f"{base}/done")
+    mapping = lw.parse_mapping(kv_mapping(
+        {"target": "rule_id", "source": "id"}, {"target": "action", "source": "act"}, {"target": "src_port", "source": "port"}))
+    return lw.ingest_network(spark, f"{base}/in", mapping).events.select("rule_id", "action", "src_port")
+
+
+def _archive_of(folder: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Write the lines of a group as one archive into the shared folder."""
+
+    def write(group: pd.DataFrame) -> pd.DataFrame:
+        n, lines = int(group["archive"].iloc[0]), group["value"].tolist()
+        pieces = [("\n".join(lines[i::7]) + "\n").encode() for i in range(min(7, len(lines)))]
+        out = io.BytesIO()
+        if n % 2:
+            name = f"{'_' if n == 5 else ''}a{n}.zip"
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                for i, piece in enumerate(pieces):
+                    z.writestr(f"dir/{i}.log", piece)
+        else:
+            name = f"a{n}.tar.gz"
+            with tarfile.open(fileobj=out, mode="w:gz") as tar:
+                for i, piece in enumerate(pieces):
+                    entry, body = f"{i}.log", piece
+                    if i % 2:
+                        inner = io.BytesIO()
+                        with zipfile.ZipFile(inner, "w") as z:
+                            z.writestr("in.log", piece)
+                        entry, body = f"{i}.zip", inner.getvalue()
+                    info = tarfile.TarInfo(entry)
+                    info.size = len(body)
+                    tar.addfile(info, io.BytesIO(body))
+        store, path = open_store(folder)
+        store.create_dir(path, recursive=True)
+        with store.open_output_stream(f"{path}/{name}", compression=None) as file:
+            file.write(out.getvalue())
+        return pd.DataFrame({"path": [f"{folder}/{name}"]})
+
+    return write
+
+
 @query("""
 SELECT doc_id, CASE WHEN lang = 'en' THEN sha256(text) END AS digest,
   CASE WHEN lang = 'en' THEN NULL WHEN lang = 'fr' THEN 'chunk too short for its nonce'
@@ -959,3 +1025,136 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).trigger(availableNow=True).start()
     running.awaitTermination()
     return sinks.scan_network(spark, f"{base}/table").select("rule_id", "device_name", "sent_bytes")
+
+
+@query("SELECT event_type AS action, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY event_type")
+def stream_hidden_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream takes objects of hidden names, and in hidden folders, as any other."""
+    base = scratch_dir(spark, "hidden")
+    line = text("t=0,id=", c("id"), ",act=", c("event_type"))
+    names = ("log/demo/a{}.log", "log/demo/_a{}.log", "log/demo/_deep/a{}.log", "log/demo/.a{}.log")
+    for n, part in enumerate(_written(spark, events(spark, sf_dir).select(line.alias("value")), f"{base}/parts")):
+        _renamed(spark, part, f"{base}/in/" + names[n % 4].format(n))
+    mapping = lw.parse_mapping(kv_mapping({"target": "src_port", "source": "id"}, {"target": "action", "source": "act"}))
+    stream_network(spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint", ["demo"], mapping_for=lambda _: mapping).trigger(
+        availableNow=True).start().awaitTermination()
+    return sinks.scan_network(spark, f"{base}/table").groupBy("action").agg(F.count("*").alias("n"), F.sum("src_port").alias("ids"))
+
+
+@query("""
+SELECT event_id AS id, event_type AS folder FROM events WHERE event_type NOT IN ('error', 'purchase')""")
+def stream_ready_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder for each kind of event: markers before, with and after the objects, in a later start, or never."""
+    base = scratch_dir(spark, "gate")
+    line = F.to_json(F.struct(F.unix_micros("at").alias("timestamp"), c("id").alias("message"), c("event_type").alias("parser")))
+    rows = events(spark, sf_dir).select(line.alias("value"), c("event_type").alias("kind")).persist()
+    kinds = [r.kind for r in rows.select("kind").distinct().orderBy("kind").collect()]   # a handful of types
+
+    def put(kind: str) -> None:
+        own = rows.where(c("kind") == kind).select("value")
+        for n, part in enumerate(_written(spark, own, f"{base}/parts/{kind}")):
+            _renamed(spark, part, f"{base}/in/{kind}/case-timeline-{n}.jsonl")
+
+    def mark(kind: str) -> None:
+        sinks.write_manifest(spark, f"{base}/in/{kind}", "case", kind, 1, 1)
+
+    def run() -> None:
+        stream_timeline(spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint", "/mnt", gate=True).trigger(
+            availableNow=True).start().awaitTermination()
+
+    for kind in kinds:
+        if kind == "click":
+            mark(kind)          # before its objects
+        else:
+            put(kind)
+    run()
+    if "click" in kinds:
+        put("click")
+    for kind in kinds:
+        if kind not in ("click", "error", "purchase"):
+            mark(kind)          # after its objects
+    run()
+    rows.unpersist()
+    return sinks.scan_timeline(spark, f"{base}/table").select(c("message").cast("bigint").alias("id"), c("parser").alias("folder"))
+
+
+@query("""
+SELECT 'loaded' AS outcome, event_id AS id, 0 AS attempts FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 'dead', count(*) * 0, 3 FROM events WHERE event_type = 'error' HAVING count(*) > 0""")
+def stream_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views fail twice and are loaded once then; errors fail for good and end as a dead letter."""
+    base = scratch_dir(spark, "retries")
+    folder = f"{base}/in/log/demo"
+    rows = events(spark, sf_dir).select(text("t=0,id=", c("id")).alias("value"), c("event_type").alias("kind")).persist()
+    rows.where("kind NOT IN ('view', 'error')").select("value").write.text(folder)
+    whole = {}
+    for kind in ("view", "error"):
+        rows.where(c("kind") == kind).select("value").coalesce(1).write.option("compression", "gzip").text(f"{base}/{kind}")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        system = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        (part,) = [x.getPath().toString() for x in system.globStatus(path(f"{base}/{kind}/part-*"))]
+        whole[kind] = part
+        _damaged(part, f"{folder}/{kind}.log.gz")
+    mapping = lw.parse_mapping(kv_mapping({"target": "src_port", "source": "id"}))
+
+    def run() -> None:
+        stream_network(
+            spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint", ["demo"], mapping_for=lambda _: mapping, max_attempts=3, backoff=(0, 0),
+        ).trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    run()
+    _mended(whole["view"], f"{folder}/view.log.gz")
+    run()
+    run()
+    rows.unpersist()
+    noted = failures(spark, f"{base}/checkpoint").where(c("path").contains("view.log")).count()
+    if noted != 2:
+        raise RuntimeError(f"the views were to fail twice, not {noted} times")
+    loaded = sinks.scan_network(spark, f"{base}/table").select(F.lit("loaded").alias("outcome"), c("src_port").alias("id"), F.lit(0).alias("attempts"))
+    dead = dead_letters(spark, f"{base}/checkpoint").select(F.lit("dead").alias("outcome"), F.lit(0).cast("bigint").alias("id"), c("attempt").alias("attempts"))
+    return loaded.unionAll(dead)
+
+
+def _damaged(source: str, target: str) -> None:
+    """The object with zeros for its second half: of the same length, but no whole .gz."""
+    _copied(source, target, lambda body: body[: len(body) // 2] + bytes(len(body) - len(body) // 2))
+
+
+def _mended(source: str, target: str) -> None:
+    """The whole object in place of the damaged one; its time stays, so that a listing sees the same object."""
+    store, path = open_store(target)
+    before = store.get_file_info(path).mtime_ns
+    _copied(source, target, lambda body: body)
+    os.utime(path, ns=(before, before))
+
+
+def _copied(source: str, target: str, change: Callable[[bytes], bytes]) -> None:
+    store, path = open_store(source)
+    with store.open_input_stream(path, compression=None) as file:
+        body = file.read()
+    store, path = open_store(target)
+    with store.open_output_stream(path, compression=None) as file:
+        file.write(change(body))
+
+
+@query(ORACLES["logon_nexus"])
+def logon_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logon table brought up to date by days: first with early events, then with all, one run replaced."""
+    base = scratch_dir(spark, "logons")
+    net, tl, table = f"{base}/network", f"{base}/timeline", f"{base}/logons"
+    early = c("at") < F.lit("2024-01-20").cast("timestamp")
+
+    def write(rows: DataFrame, run: str) -> None:
+        network = lw.parse_network(as_line_frame(rows, fortigate_line()), lw.vendor_mapping("fortigate"), lw.Options(multiline=False))
+        sinks.write_parsed(network, net, run=run)
+        sinks.write_parsed(parse_timeline(as_line_frame(rows, logon_line()), ROOT), tl, run=run)
+
+    rows = events(spark, sf_dir)
+    since = "2024-01-05 00:00:00"
+    write(rows.where(early & (c("event_type") != "view")), "one")   # incomplete: replaced below
+    rebuild.rebuild_logons(spark, net, tl, table, since=since)
+    write(rows.where(early), "one")
+    write(rows.where(~early), "two")
+    rebuild.rebuild_logons(spark, net, tl, table, since=since)
+    return rebuild.scan_logons(spark, table).select(micros(), "src_ip", "src_name", "dst_ip", "dst_name", "user_name")
