@@ -229,8 +229,9 @@ def _merged(ranges: Column) -> Column:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of documents without any hit, all columns kept; rows of equal id and text share their fate."""
-    hit = _contamination(docs, benchmark).where(F.size("hits") > 0).select(F.col("uid").alias("__hit")).distinct()
-    return docs.join(hit, _uid() == F.col("__hit"), "left_anti")
+    name = tables.free(docs.columns, "uid")
+    hit = _contamination(docs, benchmark).where(F.size("hits") > 0).select(F.col("uid").alias(name)).distinct()
+    return docs.join(hit, _uid() == F.col(name), "left_anti")
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from logweave.llm import html_samples, html_tree, tables
 from logweave.llm.html_tree import NAMES, TAGS, Tree
-from logweave.llm.tables import BODY, others
+from logweave.llm.tables import free, others
 
 TRAINING_PAGES = 500
 STEPS = 150
@@ -180,14 +180,14 @@ def _extract(model: Model):
             out: list[str] = []
             held: list[str] = []
             size = 0
-            for page in batch[BODY].to_pylist():
+            for page in batch.columns[-1].to_pylist():
                 held.append(page)
                 size += len(page)
                 if size > _SLICE:
                     out += main_texts(held, model)
                     held, size = [], 0
             out += main_texts(held, model)
-            keep = {name: batch[name] for name in batch.schema.names if name != BODY}
+            keep = dict(zip(batch.schema.names[:-1], batch.columns[:-1], strict=True))
             yield pa.RecordBatch.from_pydict(keep | {"text": pa.array([x.encode("utf-8", "replace").decode() for x in out], pa.string()), "n_chars": pa.array([len(x) for x in out], pa.int64())})
 
     return work
@@ -197,7 +197,7 @@ def extract(pages: DataFrame, *columns: str, model: Model | None = None) -> Data
     """`columns` of pages, text and n_chars of the main text of html."""
     kinds, keep = dict(pages.dtypes), others(columns, ["text", "n_chars"])
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + ["text string", "n_chars bigint"])
-    body = F.coalesce(F.col("html").cast("string"), F.lit("")).alias(BODY)
+    body = F.coalesce(F.col("html").cast("string"), F.lit("")).alias(free(keep, "body"))
     return pages.select(*[f"`{c}`" for c in keep], body).mapInArrow(_extract(model or trained()), schema)
 
 

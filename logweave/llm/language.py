@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.llm import tables
-from logweave.llm.tables import BODY, others
+from logweave.llm.tables import free, others
 from logweave.llm.words import AS_IS, NOT_SPACE, texts, tokenise
 
 BUCKETS = 1 << 16
@@ -83,7 +83,7 @@ def _count(langs: list[str]):
         scripts = np.zeros((len(langs), N_SCRIPTS), np.int64)
         for batch in batches:
             own = np.array([at.get(x, -1) for x in batch["lang"].to_pylist()], np.int64)
-            for lo, hi, data, offsets in texts(batch[BODY]):
+            for lo, hi, data, offsets in texts(batch.columns[-1]):
                 lang = np.repeat(own[lo:hi], np.diff(offsets))
                 grams, script = _trigrams(data, offsets), _SCRIPT[data]
                 for i in range(len(langs)):
@@ -106,7 +106,7 @@ def train(labelled: DataFrame) -> Model:
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     langs = sorted(r[0] for r in rows.select(F.col("lang").cast("string")).distinct().collect())
     seen, scripts = np.zeros((len(langs), BUCKETS), np.int64), np.zeros((len(langs), N_SCRIPTS), np.int64)
-    counts = rows.select(F.col("lang").cast("string").alias("lang"), _body().alias(BODY)).mapInArrow(_count(langs), "kind string, i int, key int, n bigint")
+    counts = rows.select(F.col("lang").cast("string").alias("lang"), _body().alias("body")).mapInArrow(_count(langs), "kind string, i int, key int, n bigint")
     for row in counts.groupBy("kind", "i", "key").agg(F.sum("n").alias("n")).toLocalIterator():
         (seen if row["kind"] == "gram" else scripts)[row["i"], row["key"]] = row["n"]
     return fitted(langs, seen, scripts)
@@ -220,7 +220,7 @@ def _decode(model: Model, switch: float, names: tuple[str, str, str]):
             out: list[tuple[str, float, list]] = []
             parts: list[tuple] = []
             held = 0
-            for _, _, data, offsets in texts(batch[BODY]):
+            for _, _, data, offsets in texts(batch.columns[-1]):
                 if not model.langs:
                     out += [(UNKNOWN, 0.0, [])] * (len(offsets) - 1)
                     continue
@@ -231,7 +231,7 @@ def _decode(model: Model, switch: float, names: tuple[str, str, str]):
                     parts, held = [], 0
             if parts:
                 out += results(parts)
-            keep = {name: batch[name] for name in batch.schema.names if name != BODY}
+            keep = dict(zip(batch.schema.names[:-1], batch.columns[:-1], strict=True))
             yield pa.RecordBatch.from_pydict(keep | {
                 names[0]: pa.array([x[0] for x in out], pa.string()), names[1]: pa.array([x[1] for x in out], pa.float64()),
                 names[2]: pa.array([x[2] for x in out], spans_type),
@@ -244,7 +244,7 @@ def identify(docs: DataFrame, model: Model, *columns: str, switch: float = SWITC
     """`columns` of docs, then under `names` the language, its score and spans (word ranges, 0-based, both ends included)."""
     kinds, keep = dict(docs.dtypes), others(columns, names)
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [f"`{c}` {kind}" for c, kind in zip(names, ("string", "double", "array<struct<first: int, last: int, lang: string>>"), strict=True)])
-    return docs.select(*[f"`{c}`" for c in keep], _body().alias(BODY)).mapInArrow(_decode(model, switch, names), schema)
+    return docs.select(*[f"`{c}`" for c in keep], _body().alias(free(keep, "body"))).mapInArrow(_decode(model, switch, names), schema)
 
 
 def fold() -> Column:

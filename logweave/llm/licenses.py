@@ -187,25 +187,25 @@ def folder(path: Column) -> Column:
 
 def scan(files: DataFrame) -> DataFrame:
     """All rows and columns of `files` (path, text, ...) with own_license, own_score, license, folder_of_license."""
-    files = files.withColumn("__uid", _uid())
+    uid, key, best, place, at, up = (tables.free(files.columns, x) for x in ("own uid", "uid", "best", "own folder", "folder", "up"))
     found = matches(files)
-    own = found.groupBy(F.col("uid").alias("__uid")).agg(F.max(F.struct("score", (-F.col("template")).alias("first"), "license")).alias("__own"))
-    named = files.join(own, "__uid", "left").withColumn("__dir", folder(F.col("path")))
+    own = found.groupBy(F.col("uid").alias(key)).agg(F.max(F.struct("score", (-F.col("template")).alias("first"), "license")).alias(best))
+    named = files.withColumn(uid, _uid()).join(own, F.col(uid) == F.col(key), "left").withColumn(place, folder(F.col("path")))
 
-    speaks = named.where(F.col("path").rlike(LICENSE_FILE) & F.col("__own").isNotNull())
-    holders = speaks.select(F.col("__dir").alias("above"), F.col("__own.score").alias("score"), F.col("__own.license").alias("license")).groupBy("above").agg(
+    speaks = named.where(F.col("path").rlike(LICENSE_FILE) & F.col(best).isNotNull())
+    holders = speaks.select(F.col(place).alias("above"), F.col(f"{best}.score").alias("score"), F.col(f"{best}.license").alias("license")).groupBy("above").agg(
         F.min(F.struct((-F.col("score")).alias("rank"), "license")).alias("x")).select("above", F.col("x.license").alias("license"))
     parts = F.split("dir", "/")
     # '' and every folder on the way down to `dir`, itself included, with its depth.
     way = F.transform(F.sequence(F.lit(0), F.when(F.col("dir") == "", 0).otherwise(F.size(parts))), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(parts, 1, n), "/").alias("above")))
-    dirs = named.where("__dir IS NOT NULL").select(F.col("__dir").alias("dir")).distinct()
+    dirs = named.where(F.col(place).isNotNull()).select(F.col(place).alias("dir")).distinct()
     above = dirs.select("dir", F.explode(way).alias("x")).select("dir", "x.depth", "x.above")
-    nearest = above.join(holders, "above").groupBy("dir").agg(F.max(F.struct("depth", "above", "license")).alias("__up")).withColumnRenamed("dir", "__dir")
-    out = named.join(nearest, "__dir", "left")
-    license = F.coalesce(F.col("__own.license"), F.col("__up.license"))
-    given = F.when(F.col("__own").isNull(), F.col("__up.above"))
-    kept = [F.col(f"`{c}`") for c in tables.others(files.columns, ["__uid", "own_license", "own_score", "license", "folder_of_license"])]
-    return out.select(*kept, F.col("__own.license").alias("own_license"), F.col("__own.score").alias("own_score"), license.alias("license"), given.alias("folder_of_license"))
+    nearest = above.join(holders, "above").groupBy("dir").agg(F.max(F.struct("depth", "above", "license")).alias(up)).withColumnRenamed("dir", at)
+    out = named.join(nearest, F.col(place) == F.col(at), "left")
+    license = F.coalesce(F.col(f"{best}.license"), F.col(f"{up}.license"))
+    given = F.when(F.col(best).isNull(), F.col(f"{up}.above"))
+    kept = [F.col(f"`{c}`") for c in tables.others(files.columns, ["own_license", "own_score", "license", "folder_of_license"])]
+    return out.select(*kept, F.col(f"{best}.license").alias("own_license"), F.col(f"{best}.score").alias("own_score"), license.alias("license"), given.alias("folder_of_license"))
 
 
 def as_files(docs: DataFrame) -> DataFrame:

@@ -89,12 +89,12 @@ def repeated_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> D
 
 def drop_repeated_lines(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, gone: str = "gone") -> DataFrame:
     """All rows and columns, text without repeated runs, and under the name `gone` the lines deleted (NULL if none)."""
-    kept = docs.withColumn("__uid", _uid())
-    marked = repeated_lines(docs, gram, window).select(F.col("uid").alias("__uid"), F.col("gone").alias("__gone"))
-    joined = kept.join(marked, "__uid", "left")
-    rest = _let(_lines(), lambda own: F.array_join(F.transform(F.array_except(_upto(F.size(own)), F.col("__gone")), lambda i: F.get(own, i)), "\n"))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(rest)
-    return joined.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in tables.others(docs.columns, [gone])], F.col("__gone").alias(gone))
+    uid, key, lines = (tables.free(docs.columns, x) for x in ("own uid", "uid", "lines"))
+    marked = repeated_lines(docs, gram, window).select(F.col("uid").alias(key), F.col("gone").alias(lines))
+    joined = docs.withColumn(uid, _uid()).join(marked, F.col(uid) == F.col(key), "left")
+    rest = _let(_lines(), lambda own: F.array_join(F.transform(F.array_except(_upto(F.size(own)), F.col(lines)), lambda i: F.get(own, i)), "\n"))
+    text = F.when(F.col(lines).isNull(), F.col("text")).otherwise(rest)
+    return joined.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in tables.others(docs.columns, [gone])], F.col(lines).alias(gone))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

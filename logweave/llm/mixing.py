@@ -112,13 +112,15 @@ def plan(own: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, bud
 def mix(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, budget: int | None = None, blocks: int = BLOCKS, seed: int = SEED) -> DataFrame:
     """A row for each time a document is drawn: its columns, n_tokens, epoch (pass over its source), block, weight and at."""
     drawn = plan(sizes(docs, blocks), entropy, repeats, budget, seed)
-    names = {"key": "__key", "block": "__block", "epoch": "__epoch", "start": "__start", "width": "__width", "weight": "__weight"}
-    drawn = drawn.select(*[F.col(a).alias(b) for a, b in names.items()])
-    own = docs.withColumns({"__key": _source(), "__uid": _uid(), "__n": n_tokens()}).withColumn("__block", F.pmod("__uid", F.lit(blocks)))
-    within = F.pmod(F.xxhash64("__uid", F.lit(seed), "__epoch"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    extra = {"n_tokens": F.col("__n"), "epoch": F.col("__epoch"), "block": F.col("__block"), "weight": F.col("__weight"), "at": F.least(F.col("__start") + F.col("__width") * within, F.lit(1.0))}
+    # The draw and what is computed of a row travel as one column each.
+    one, row = tables.free(docs.columns, "draw"), tables.free(docs.columns, "row")
+    drawn = drawn.select(F.struct("*").alias(one))
+    own = docs.withColumn(row, F.struct(_source().alias("key"), _uid().alias("uid"), n_tokens().alias("n"), F.pmod(_uid(), F.lit(blocks)).alias("block")))
+    x, y = (lambda name: F.col(f"{one}.{name}")), (lambda name: F.col(f"{row}.{name}"))
+    within = F.pmod(F.xxhash64(y("uid"), F.lit(seed), x("epoch")), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    extra = {"n_tokens": y("n"), "epoch": x("epoch"), "block": y("block"), "weight": x("weight"), "at": F.least(x("start") + x("width") * within, F.lit(1.0))}
     kept = [F.col(f"`{c}`") for c in tables.others(docs.columns, extra)]
-    return own.join(drawn, ["__key", "__block"]).select(*kept, *[v.alias(k) for k, v in extra.items()])
+    return own.join(drawn, (x("key") == y("key")) & (x("block") == y("block"))).select(*kept, *[v.alias(k) for k, v in extra.items()])
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.llm import tables
-from logweave.llm.tables import BODY, others
+from logweave.llm.tables import free, others
 from logweave.llm.words import AS_IS, NOT_SPACE, Words, mix, texts, tokenise, windows
 
 #: Rows of the sample that orders the rules.
@@ -155,7 +155,7 @@ def _bad(rule: Rule, t: Text) -> np.ndarray:
 def _try(rules: Sequence[Rule]):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in texts(batch[BODY]):
+            for _, _, data, offsets in texts(batch.columns[-1]):
                 t = measured(data, offsets)
                 rows, costs = [], []
                 for rule in rules:
@@ -181,7 +181,7 @@ def ordered(rules: Sequence[Rule], bad: np.ndarray, costs: np.ndarray) -> list[R
 
 
 def _bodies(docs: DataFrame, *keep: str) -> DataFrame:
-    return docs.select(*[f"`{c}`" for c in keep], F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias(BODY))
+    return docs.select(*[f"`{c}`" for c in keep], F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias(free(keep, "body")))
 
 
 def plan(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
@@ -198,7 +198,7 @@ def _cascade(rules: Sequence[Rule]):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts: dict[str, list] = {}
-            for _, _, data, offsets in texts(batch[BODY]):
+            for _, _, data, offsets in texts(batch.columns[-1]):
                 t = measured(data, offsets)
                 failed = base_failed(t)
                 reason = np.full(len(failed), -1)
@@ -215,7 +215,7 @@ def _cascade(rules: Sequence[Rule]):
                 said = np.where(failed, 0, np.where(reason < 0, len(rules) + 1, reason + 1))
                 for name, value in [*t.base.items(), ("base_failed", failed), ("rejected_by", names[said])]:
                     parts.setdefault(name, []).append(value)
-            keep = {name: batch[name] for name in batch.schema.names if name != BODY}
+            keep = dict(zip(batch.schema.names[:-1], batch.columns[:-1], strict=True))
             out = {name: np.concatenate(parts[name]) if parts else [] for name in FIGURES}
             yield pa.RecordBatch.from_pydict(keep | {
                 name: pa.array(value, pa.bool_() if name == "base_failed" else pa.string() if name == "rejected_by" else pa.int64()) for name, value in out.items()})

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweave.llm import secret_samples, tables
-from logweave.llm.tables import BODY, others
+from logweave.llm.tables import free, others
 from logweave.llm.words import LOWER, Words, member, texts, tokenise
 
 #: Rows of the table that help to train, and lines made by rule.
@@ -240,14 +240,14 @@ def made_lines(n: int = MADE_LINES) -> list[tuple[bytes, list[tuple[int, int]]]]
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [piece for body in batch[BODY] for piece in stretches(body.as_py())]
+        out = [piece for body in batch.columns[-1] for piece in stretches(body.as_py())]
         yield pa.RecordBatch.from_pydict({
             "piece": pa.array([x for x, _ in out], pa.binary()), "secrets": pa.array([[list(s) for s in spans] for _, spans in out], pa.list_(pa.list_(pa.int32())))})
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """From made lines and from pieces of a bounded random sample of the table's texts, labelled by the patterns."""
-    body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias(BODY)
+    body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("body")
     n = docs.count()
     sample = docs.select(body).sample(fraction=min(1.0, 2 * sample_rows / max(n, 1)), seed=3).limit(sample_rows)
     rows = sample.mapInArrow(_pieces, "piece binary, secrets array<array<int>>").toLocalIterator()
@@ -271,7 +271,7 @@ def _tag(model: Model):
                 parts.clear()
 
             held = 0
-            for _, _, data, offsets in texts(batch[BODY]):
+            for _, _, data, offsets in texts(batch.columns[-1]):
                 words, rows = features(data, offsets)
                 body = data.tobytes()
                 base = [patterns(body[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
@@ -283,7 +283,7 @@ def _tag(model: Model):
                     held = 0
             if parts:
                 flush()
-            keep = {name: batch[name] for name in batch.schema.names if name != BODY}
+            keep = dict(zip(batch.schema.names[:-1], batch.columns[:-1], strict=True))
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_pydict(keep | {"spans": pa.array(found, kind)})
 
@@ -310,7 +310,7 @@ def find_secrets(docs: DataFrame, *columns: str, model: Model | None = None) ->
     """`columns` of docs and spans: kind (assign, access, hex, crf), start and end in code points."""
     kinds, keep = dict(docs.dtypes), others(columns, ["spans"])
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + ["spans array<struct<kind: string, start: int, end: int>>"])
-    body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias(BODY)
+    body = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias(free(keep, "body"))
     return docs.select(*[f"`{c}`" for c in keep], body).mapInArrow(_tag(train(docs) if model is None else model), schema)
 
 

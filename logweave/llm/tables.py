@@ -16,16 +16,20 @@ BATCH_BYTES = 4 << 20
 PART_BYTES = 16 << 20
 
 
-#: Name under which texts go to Python as bytes; no input column is called so.
-BODY = "__body"
-
-
 def others(columns: Iterable[str], made: Iterable[str]) -> list[str]:
     """The columns to carry along: what an operator makes replaces a column of the same name."""
     taken = {x.lower() for x in made}
     return [c for c in columns if c.lower() not in taken]
 
 
+def free(columns: Iterable[str], name: str) -> str:
+    """A name like `name` that none of the columns has, in whatever case."""
+    taken = {x.lower() for x in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
