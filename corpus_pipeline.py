@@ -12,26 +12,32 @@ from pyspark.sql import functions as F
 from logweave.llm import decontaminate, jaccard_join, language, line_dedup, mixing, tables
 
 
+def _columns(docs: DataFrame) -> list[str]:
+    return [f"`{c}`" for c in docs.columns]
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; the model learns from their own labels."""
-    rows = language.identify(docs, language.train(docs), *docs.columns, names=("__lang", "__score", "__spans"))
-    return rows.where(F.col("__lang") != language.UNKNOWN).select(*docs.columns)
+    names = tuple(tables.free(docs.columns, x) for x in ("language", "certainty", "spans"))
+    rows = language.identify(docs, language.train(docs), *docs.columns, names=names)
+    return rows.where(F.col(names[0]) != language.UNKNOWN).select(*_columns(docs))
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without runs of lines that occurred before; a document that loses all its lines goes."""
-    rows = line_dedup.drop_repeated_lines(docs, gone="__lines").where(F.col("__lines").isNull() | F.col("text").rlike(r"[^\x20\n]"))
-    return rows.withColumn("n_chars", F.when(F.col("__lines").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))).select(*docs.columns)
+    gone = tables.free(docs.columns, "lines gone")
+    rows = line_dedup.drop_repeated_lines(docs, gone=gone).where(F.col(gone).isNull() | F.col("text").rlike(r"[^\x20\n]"))
+    return rows.withColumn("n_chars", F.when(F.col(gone).isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))).select(*_columns(docs))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return jaccard_join.one_of_each(docs).select(*docs.columns)
+    return jaccard_join.one_of_each(docs).select(*_columns(docs))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
-    return decontaminate.clean_documents(docs, tables.read(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return decontaminate.clean_documents(docs, tables.read(spark, sf_dir, "benchmark")).select(*_columns(docs))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
