@@ -35,8 +35,8 @@ class Options:
 
     multiline  "auto" looks for files with records that span lines, at the cost
                of one more pass over the input; True and False skip that look.
-    header     names of the header row all CSV files share; skips the pass that
-               otherwise reads each file's own header.
+    header     names of the header row all CSV files share; a file whose first
+               record is that row loses it.
     one_per_line  every JSON line is one record (and nothing is an array or an
                envelope): the whole job then stays in the JVM.
     max_line_bytes  key=value and free-text lines this long or longer are row
@@ -160,21 +160,15 @@ def json_records(values: DataFrame, record_path: str, one_per_row: bool = False)
 
 
 def read_json(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[DataFrame, Lookup]:
-    text = F.btrim(F.col("value"), F.lit(_JSON_SPACE))
-    values = lines.select(*PLACE, text.alias("raw")).where(F.col("raw") != "")
     one_per_row = options.one_per_line
-    split_up = None
-    if options.multiline == "auto" and not one_per_row:
+    text = F.col("value")
+    if options.multiline is not False and not one_per_row:
+        flagged = multiline.with_json_flags(lines.select(*PLACE, "value"))
+        surveyed = multiline.survey(flagged, quoted=False)
         # A line of complete values closes every bracket it opens.
-        split_up = multiline.files_with(lines, multiline.json_depth_change(F.col("value")) != 0)
-        if split_up is not None:
-            values = values.join(split_up, "source_file", "left_anti")
-            lines = lines.join(split_up, "source_file", "left_semi")
-    if options.multiline is True or split_up is not None:
-        joined = multiline.join_records(multiline.json_starts(lines)).select(
-            *PLACE, F.btrim(F.array_join("parts", "\n"), F.lit(_JSON_SPACE)).alias("raw")
-        ).where(F.col("raw") != "")
-        values = joined if options.multiline is True else values.unionByName(joined)
+        if options.multiline is True or not surveyed.where("broken").isEmpty():
+            lines, text = multiline.records(flagged, surveyed, quoted=False), F.col("raw")
+    values = lines.select(*PLACE, F.btrim(text, F.lit(_JSON_SPACE)).alias("raw")).where(F.col("raw") != "")
     frame = json_records(values, mapping.record_path, one_per_row)
     leaves = {f"leaf{i}": p for i, p in enumerate(mapping.paths)}
     columns = {p: c for c, p in leaves.items()}
@@ -227,43 +221,22 @@ def _csv_records(
     With ``names``, the names to look for in each file's header, also ``at`` and
     ``header_ok``, and without the header rows. All that must be known about a
     file beforehand (does a record span lines, what is its first record) comes
-    from one look at the input; its result has one row per file, is kept, and is
-    broadcast only after its rows were counted.
+    from one look at the input, a row for each block.
     """
-    first = F.min_by(F.struct("block", "seq", "raw"), F.struct("block", "seq")).alias("first")
-    plain = lines.select(
-        *PLACE, F.regexp_replace("value", r"\r\z", "").alias("raw")
-    )
-    look = options.multiline == "auto"
-    surveyed, open_files = None, None
-    if look or (names is not None and options.multiline is False):
-        opens = csvtext.ends_open(F.col("raw"), delimiter) if look else F.lit(False)
-        surveyed = kept(plain.where(F.col("raw") != "").groupBy("source_file").agg(
-            F.bool_or(opens).alias("open"), *([first] if names is not None else [])
-        ))
-        few = surveyed.count() <= multiline.MAX_BROADCAST_FILES
-        if look and not surveyed.where("open").isEmpty():
-            open_files = surveyed.where("open").select("source_file")
-            open_files = F.broadcast(open_files) if few else open_files
-    records = plain.where(F.col("raw") != "")
-    firsts = None if surveyed is None or names is None else surveyed.select("source_file", "first")
-    if options.multiline is True or open_files is not None:
-        whole = plain if open_files is None else plain.join(open_files, "source_file", "left_semi")
-        joined = multiline.join_records(
-            multiline.csv_starts(whole.withColumnRenamed("raw", "value"), delimiter)
-        ).select(*PLACE, F.array_join("parts", "\n").alias("raw"))
-        own = joined.groupBy("source_file").agg(first) if names is not None else None
-        if open_files is None:
-            records, firsts = joined, own
-        else:
-            records = records.join(open_files, "source_file", "left_anti").unionByName(joined)
-            if names is not None:
-                firsts = surveyed.where("NOT open").select("source_file", "first").unionByName(own)
+    plain = lines.select(*PLACE, F.regexp_replace("value", r"\r\z", "").alias("value"))
+    flagged = multiline.with_csv_flags(plain, delimiter, spanning=options.multiline is not False)
+    surveyed = None
+    if options.multiline is not False or names is not None:
+        surveyed = multiline.survey(flagged, quoted=True, first=names is not None)
+    if options.multiline is True or (options.multiline == "auto" and not surveyed.where("broken").isEmpty()):
+        records = multiline.records(flagged, surveyed, quoted=True)
+    else:
+        records = plain.where(F.col("value") != "").select(*PLACE, F.col("value").alias("raw"))
     if names is None:
         return records
-    headers = kept(_headers(firsts, delimiter, names))
-    few = headers.count() <= multiline.MAX_BROADCAST_FILES
-    bound = records.join(F.broadcast(headers) if few else headers, "source_file")
+    first = F.struct("block", F.col("record_seq").alias("seq"), F.col("record").cast("string").alias("raw"))
+    firsts = surveyed.where("record_seq IS NOT NULL").groupBy("source_file").agg(F.min(first).alias("first"))
+    bound = records.join(kept(_headers(firsts, delimiter, names)), "source_file")
     is_header = (F.col("block") == F.col("header_block")) & (F.col("seq") == F.col("header_seq"))
     return bound.where(~is_header | ~F.col("header_ok")).drop("header_block", "header_seq")
 
@@ -282,7 +255,10 @@ def read_csv(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[Data
         heading = F.transform(
             csvtext.fields(F.col("raw"), d), lambda c: F.lower(trim_space(c))
         ) == F.array(*[F.lit(_header_name(n)) for n in options.header])
-        records = records.where(~F.coalesce(heading, F.lit(False)))
+        # Only the first record of a file is a header; an equal row further on is data.
+        firsts = lines.where(~F.col("value").isin("", "\r")).groupBy("source_file").agg(F.min(F.struct("block", "seq")).alias("first"))
+        is_first = F.struct("block", "seq") == F.col("first")
+        records = records.join(kept(firsts), "source_file").where(~(is_first & F.coalesce(heading, F.lit(False)))).drop("first")
     elif mapping.has_header:
         problem = F.when(~F.col("header_ok"), F.lit("csv: unreadable header row")).otherwise(problem)
         index = {n: F.get(F.col("at"), F.lit(i)) for i, n in enumerate(names)}

@@ -1,42 +1,46 @@
-"""Records that span lines, put together without reading a file in one task.
+"""Records that span lines, put together where they lie.
 
-Whether a line starts a record depends on everything before it in its file.
-That dependence is a prefix scan: work out each line's effect on the state, sum
-it up per block, scan the few block rows of a file, then scan inside each block.
-Blocks are bounded by the split size, so neither a huge file nor a file that
-holds most of the data ends up in one group.
+Whether a line starts a record depends on everything before it in its file. One look at
+the input gives each block's effect on that state (a sum of brackets, or where either
+state of the quotes leads), a scan over the few block rows of a file gives the state at
+each block's begin, and a second look puts the records together as the lines stream by.
+Only a record that crosses the edge of a block is shuffled, in as many pieces as blocks.
+No group of lines is collected, so a file that is one block, as every ``.gz`` is, takes no
+more memory than its longest record.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import csvtext
 from ..functions.strings import trim_space
-from ..session import kept, scratch_dir
+from ..session import kept
 
-# A record that would grow past this is not put together: its lines go on one
-# by one. Only an unclosed quote or bracket makes records of this size.
+# A record that grows past this is not put together any further: its lines go on one by
+# one. Only an unclosed quote or bracket makes records of this size.
 MAX_RECORD_BYTES = 256 * 1024 * 1024
 
-# Up to this many file names are broadcast; beyond, the join shuffles.
-MAX_BROADCAST_FILES = 50_000
+# Up to this many blocks (of a file split each, so of some 100 TB) have their states sent
+# to all tasks, as some 100 MB; beyond, lines and states are brought together by block.
+MAX_BROADCAST_BLOCKS = 1_000_000
 
+_BATCH_BYTES = 8 << 20
 _BLOCK = ["source_file", "block"]
-
-
-def files_with(lines: DataFrame, broken: Column) -> DataFrame | None:
-    """Files having a line for which ``broken`` holds; None if there are none.
-
-    The list is kept, as two joins use it and the look at all lines is not to be
-    repeated for each.
-    """
-    files = kept(lines.where(broken).select("source_file").distinct())
-    found = files.limit(MAX_BROADCAST_FILES + 1).count()
-    if found == 0:
-        return None
-    return F.broadcast(files) if found <= MAX_BROADCAST_FILES else files
+_FLAGS = ["source_file", "block", "seq", "a", "b", "full"]
+_SURVEY = ("source_file string, block bigint, first_seq bigint, broken boolean, total bigint, if_out boolean, if_in boolean,"
+           " record_seq bigint, record binary")
+_SURVEY_ROWS = pa.schema([
+    ("source_file", pa.string()), ("block", pa.int64()), ("first_seq", pa.int64()), ("broken", pa.bool_()), ("total", pa.int64()),
+    ("if_out", pa.bool_()), ("if_in", pa.bool_()), ("record_seq", pa.int64()), ("record", pa.binary())])
+_PIECE = "source_file string, block bigint, seq bigint, kind int, value binary"
+_PIECE_ROWS = pa.schema([("source_file", pa.string()), ("block", pa.int64()), ("seq", pa.int64()), ("kind", pa.int32()), ("value", pa.binary())])
+_WHOLE, _TAIL, _HEAD = 0, 1, 2
 
 
 def json_depth_change(value: Column) -> Column:
@@ -48,125 +52,244 @@ def json_depth_change(value: Column) -> Column:
     return opened - closed
 
 
-def json_starts(lines: DataFrame) -> DataFrame:
-    """Add ``starts``: the line begins a top-level value (brackets balance before it)."""
-    lines = lines.withColumn("change", json_depth_change(F.col("value")))
-    blocks = lines.groupBy(*_BLOCK).agg(F.sum("change").alias("block_change"))
-    earlier = Window.partitionBy("source_file").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    blocks = blocks.select(
-        *_BLOCK, F.coalesce(F.sum("block_change").over(earlier), F.lit(0)).alias("base")
-    )
-    inside = Window.partitionBy(*_BLOCK).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    depth = F.col("base") + F.coalesce(F.sum("change").over(inside), F.lit(0))
-    return (
-        lines.join(blocks, _BLOCK)
-        .withColumn("starts", (depth <= 0) & (trim_space(F.col("value")) != ""))
-        .drop("change", "base")
-    )
-
-
-def _state_before(order: list[str], within: list[str], fixed: str, flips: str, base: Column) -> Column:
-    """State (BOOLEAN) before each row, where a row either fixes the state
-    (``fixed`` not NULL) or flips it (``flips`` = 1) or leaves it alone."""
-    before = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    last_fixed = F.last(F.col(fixed), ignorenulls=True).over(before)
-    at_fixed = F.last(F.when(F.col(fixed).isNotNull(), F.col("flips_so_far")), ignorenulls=True)
-    flipped = F.coalesce(F.lag("flips_so_far").over(Window.partitionBy(*within).orderBy(*order)), F.lit(0))
-    since = flipped - F.coalesce(at_fixed.over(before), F.lit(0))
-    return F.coalesce(last_fixed, base) != (since % 2 == 1)
-
-
-def _with_flips(df: DataFrame, within: list[str], order: list[str]) -> DataFrame:
-    upto = Window.partitionBy(*within).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    return df.withColumn("flips_so_far", F.sum("flips").over(upto))
-
-
-def csv_starts(lines: DataFrame, delimiter: str) -> DataFrame:
-    """Add ``starts``: the line begins a record, i.e. is not inside a quoted field."""
-    value = F.col("value")
-    outside = csvtext.ends_open(value, delimiter)
-    inside = csvtext.ends_open(F.concat(F.lit('"'), value), delimiter)
-    lines = lines.withColumn("opens", outside).withColumn("stays", inside)
-    lines = lines.withColumn(
-        "fixed", F.when(F.col("opens") == F.col("stays"), F.col("opens"))
-    ).withColumn("flips", (F.col("opens") & ~F.col("stays")).cast("int"))
-    lines = _with_flips(lines, _BLOCK, ["seq"])
-
-    last = F.max_by(F.struct("fixed", "flips_so_far"), F.when(F.col("fixed").isNotNull(), F.col("seq")))
-    blocks = lines.groupBy(*_BLOCK).agg(last.alias("last"), F.sum("flips").alias("all_flips"))
-    blocks = blocks.select(
-        *_BLOCK,
-        # The block as a whole fixes the state, or flips it, or leaves it.
-        (F.col("last.fixed") != ((F.col("all_flips") - F.col("last.flips_so_far")) % 2 == 1))
-        .alias("fixed"),
-        F.when(F.col("last").isNull(), F.col("all_flips") % 2).otherwise(0).alias("flips"),
-    )
-    blocks = _with_flips(blocks, ["source_file"], ["block"])
-    blocks = blocks.select(
-        *_BLOCK,
-        _state_before(["block"], ["source_file"], "fixed", "flips", F.lit(False)).alias("base"),
-    )
-    state = _state_before(["seq"], _BLOCK, "fixed", "flips", F.col("base"))
-    return (
-        lines.join(blocks, _BLOCK)
-        .withColumn("starts", ~state & (value != ""))
-        .drop("opens", "stays", "fixed", "flips", "flips_so_far", "base")
-    )
-
-
-def _stored(df: DataFrame) -> DataFrame:
-    """``df`` written out and read back, so that what follows does not repeat it."""
-    path = scratch_dir(df.sparkSession, "records")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def join_records(lines: DataFrame) -> DataFrame:
-    """Group the lines from each start to the next.
-
-    Gives ``source_file, block, seq, parts`` with the place of the first line
-    and all lines in order. Records past ``MAX_RECORD_BYTES`` come back as one
-    row per line. Blank lines before the first start belong to no record.
+def with_json_flags(lines: DataFrame) -> DataFrame:
+    """Add ``a``, the brackets a line leaves open, and ``full``, whether it can start a value."""
+    return lines.withColumns({"a": json_depth_change(F.col("value")).cast("int"), "b": F.lit(0), "full": trim_space(F.col("value")) != ""})
+
+
+def with_csv_flags(lines: DataFrame, delimiter: str, spanning: bool = True) -> DataFrame:
+    """Add ``a`` and ``b``, whether a line ends in a quoted field if it starts outside of or in one, and ``full``.
+
+    Without ``spanning`` no line is taken to do so.
     """
-    here = Window.partitionBy(*_BLOCK).orderBy("seq").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    place = F.when(F.col("starts"), F.struct("block", "seq"))
-    # The part of each record inside one block. The rows lie by block already,
-    # so this groups without a shuffle; a part is never larger than its block.
-    parts = _stored(
-        lines.withColumn("own_start", F.last(place, ignorenulls=True).over(here))
-        .groupBy(*_BLOCK, "own_start")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("seq", "value"))).alias("rows"),
-            F.sum(F.octet_length("value") + 1).alias("size"),
-        )
-    )
-    earlier = Window.partitionBy("source_file").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    # Lines before the first start of a block go on with the last record before.
-    blocks = parts.groupBy(*_BLOCK).agg(F.max("own_start").alias("block_start")).select(
-        *_BLOCK, F.last("block_start", ignorenulls=True).over(earlier).alias("carried")
-    )
-    parts = (
-        parts.join(blocks, _BLOCK)
-        .withColumn("start", F.coalesce("own_start", "carried"))
-        .where(F.col("start").isNotNull())
-    )
-    record = ["source_file", "start"]
-    total = F.sum("size").over(Window.partitionBy(*record))
-    parts = parts.withColumn("loose", total > MAX_RECORD_BYTES)
-    # An oversized record stays apart by block and is never collected.
-    records = parts.groupBy(*record, "loose", F.when(F.col("loose"), F.col("block")).alias("apart")).agg(
-        F.sort_array(F.collect_list(F.struct("block", F.col("rows.value").alias("values")))).alias("pieces")
-    ).select("source_file", "start", "loose", F.flatten("pieces.values").alias("parts"))
-    single = F.transform("parts", lambda value: F.array(value))
-    return records.select(
-        "source_file", "start.block", "start.seq",
-        F.explode(F.when(F.col("loose"), single).otherwise(F.array("parts"))).alias("parts"),
-    )
+    value = F.col("value")
+    opens = csvtext.ends_open(value, delimiter) if spanning else F.lit(False)
+    stays = csvtext.ends_open(F.concat(F.lit('"'), value), delimiter) if spanning else F.lit(False)
+    return lines.withColumns({"a": opens.cast("int"), "b": stays.cast("int"), "full": value != ""})
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, int, int]]:
+    """(file, block, begin, end) of neighbouring rows of one block."""
+    if not batch.num_rows:
+        return
+    block = batch.column("block").to_numpy(zero_copy_only=False)
+    file = batch.column("source_file").dictionary_encode()
+    code = file.indices.to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero((block[1:] != block[:-1]) | (code[1:] != code[:-1])) + 1
+    names = file.dictionary.to_pylist()
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+        yield names[code[lo]], int(block[lo]), lo, hi
+
+
+def _quote_states(a: np.ndarray, b: np.ndarray, before: bool) -> tuple[np.ndarray, bool]:
+    """Whether each line starts in a quoted field, and whether the last one ends in one."""
+    fixes, flips = a == b, (a == 1) & (b == 0)
+    at = np.maximum.accumulate(np.where(fixes, np.arange(len(a)), -1))
+    last = np.concatenate([[-1], at])   # the last line before each that fixes the state
+    turns = np.concatenate([[0], np.cumsum(flips)])
+    known = last >= 0
+    base = np.where(known, a[np.maximum(last, 0)] == 1, before)
+    state = base ^ ((turns - np.where(known, turns[np.maximum(last, 0) + 1], 0)) % 2 == 1)
+    return state[:-1], bool(state[-1])
+
+
+class _Summary:
+    """A block's effect on the state, and its first record as if it began outside of all."""
+
+    def __init__(self, file: str, block: int, seq: int) -> None:
+        self.place = (file, block, seq)
+        self.broken, self.total, self.ends = False, 0, [False, True]
+        self.record_seq: int | None = None
+        self.record: list[bytes] = []
+        self.done = False
+
+    def add(self, seq: np.ndarray, a: np.ndarray, b: np.ndarray, full: np.ndarray, quoted: bool, values: pa.Array | None) -> None:
+        self.broken |= bool(a.any())
+        if values is not None and not self.done:
+            self._first(seq, a, b, full, values)
+        if quoted:
+            self.ends = [_quote_states(a, b, s)[1] for s in self.ends]
+        else:
+            self.total += int(a.sum())
+
+    def _first(self, seq: np.ndarray, a: np.ndarray, b: np.ndarray, full: np.ndarray, values: pa.Array) -> None:
+        begin = 0
+        if self.record_seq is None:
+            found = np.flatnonzero(full)
+            if not len(found):
+                return
+            begin = int(found[0])
+            self.record_seq, self._open = int(seq[begin]), False
+        for i in range(begin, len(a)):
+            self.record.append(values[i].as_py() or b"")
+            self._open = bool(b[i] if self._open else a[i])
+            if not self._open or len(self.record) > 10_000:
+                self.done = True
+                return
+
+    def row(self) -> tuple:
+        record = None if self.record_seq is None else b"\n".join(self.record if self.done else self.record[:1])
+        return (*self.place, self.broken, self.total, *self.ends, self.record_seq, record)
+
+
+def _summarise(quoted: bool, first: bool):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: _Summary | None = None
+        rows: list[tuple] = []
+        for batch in batches:
+            seq, a, b, full = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("seq", "a", "b", "full"))
+            values = batch.column("value") if first else None
+            for file, block, lo, hi in _runs(batch):
+                if own is None or own.place[:2] != (file, block):
+                    if own is not None:
+                        rows.append(own.row())
+                    own = _Summary(file, block, int(seq[lo]))
+                own.add(seq[lo:hi], a[lo:hi], b[lo:hi], full[lo:hi], quoted, None if values is None else values.slice(lo, hi - lo))
+            if len(rows) > 1000:
+                yield _batch(rows, _SURVEY_ROWS)
+                rows = []
+        if own is not None:
+            rows.append(own.row())
+        if rows:
+            yield _batch(rows, _SURVEY_ROWS)
+
+    return work
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+
+def survey(flagged: DataFrame, quoted: bool, first: bool = False) -> DataFrame:
+    """A row for each block: ``broken`` if a record in it may span lines, what it does to the state, and with
+    ``first`` its first record (``record``, from ``record_seq`` on). Kept until ``released``."""
+    columns = [*_FLAGS, F.col("value").cast("binary").alias("value")] if first else _FLAGS
+    return kept(flagged.select(*columns).mapInArrow(_summarise(quoted, first), _SURVEY))
+
+
+def _states(blocks: DataFrame, quoted: bool) -> DataFrame:
+    """``source_file, block, base, open_end``: the state at each block's begin, and whether it ends inside a record."""
+    order = Window.partitionBy("source_file").orderBy("block", "first_seq")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    if quoted:
+        # A block fixes the state, or swaps the two, or leaves it.
+        fixed = F.when(F.col("if_out") == F.col("if_in"), F.col("if_out"))
+        turns = F.sum((F.col("if_out") & ~F.col("if_in")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        rows = blocks.withColumn("fixed", fixed).withColumn("turns", turns)
+        at = F.last(F.when(F.col("fixed").isNotNull(), F.struct("fixed", "turns")), ignorenulls=True).over(before)
+        turned = F.coalesce(F.lag("turns").over(order), F.lit(0)) - F.coalesce(at["turns"], F.lit(0))
+        rows = rows.withColumn("base", (F.coalesce(at["fixed"], F.lit(False)) != (turned % 2 == 1)).cast("bigint"))
+        end = F.when(F.col("base") == 1, F.col("if_in")).otherwise(F.col("if_out"))
+    else:
+        rows = blocks.withColumn("base", F.coalesce(F.sum("total").over(before), F.lit(0)))
+        end = F.col("base") + F.col("total") > 0
+    return rows.select(*_BLOCK, "first_seq", "base", end.alias("open_end")).groupBy(*_BLOCK).agg(
+        F.min_by("base", "first_seq").alias("base"), F.max_by("open_end", "first_seq").alias("open_end"))
+
+
+class _Assembler:
+    """Pieces of one block after the other."""
+
+    def __init__(self, quoted: bool, most: int) -> None:
+        self._quoted, self._most = quoted, most
+        self._block: tuple | None = None
+        self.out: list[tuple] = []
+        self.bytes = 0
+
+    def _emit(self, seq: int, kind: int, value: bytes) -> None:
+        self.out.append((*self._block, seq, kind, value))
+        self.bytes += len(value) + 64
+
+    def _flush(self, is_open: bool) -> None:
+        if self._lines:
+            here = self._started
+            kind = (_TAIL if here else _HEAD) if is_open else (_WHOLE if here else _HEAD)
+            self._emit(self._lines[0][0], kind, b"\n".join([x for _, x in self._lines]))
+        self._lines, self._size, self._loose = [], 0, False
+
+    def begin(self, file: str, block: int, base: int) -> None:
+        self.end()
+        self._block, self._state = (file, block), (base == 1 if self._quoted else base)
+        self._started, self._lines, self._size, self._loose = False, [], 0, False
+
+    def end(self) -> None:
+        if self._block is not None:
+            self._flush(self._state if self._quoted else self._state > 0)
+
+    def _go_on(self, seq: int, value: bytes) -> None:
+        if self._loose:
+            self._emit(seq, _WHOLE, value)
+            return
+        self._lines.append((seq, value))
+        self._size += len(value) + 1
+        if self._size > self._most:
+            for own in self._lines:
+                self._emit(own[0], _WHOLE, own[1])
+            self._lines, self._size, self._loose = [], 0, True
+
+    def add(self, seq: list[int], a: np.ndarray, b: np.ndarray, full: np.ndarray, values: list[bytes]) -> None:
+        if self._quoted:
+            inside, self._state = _quote_states(a, b, self._state)
+        else:
+            depth = self._state + np.concatenate([[0], np.cumsum(a)])
+            inside, self._state = depth[:-1] > 0, int(depth[-1])
+        starts = np.flatnonzero(~inside & full).tolist()
+        # Blank lines outside of records belong to none.
+        keep = (inside | full).tolist()
+        ends = [*starts[1:], len(values)] if starts else []
+        for i in range(starts[0] if starts else len(values)):
+            if keep[i]:
+                self._go_on(seq[i], values[i] or b"")
+        for begin, end in zip(starts, ends, strict=True):
+            self._flush(False)
+            self._started = True
+            for i in range(begin, end):
+                if keep[i]:
+                    self._go_on(seq[i], values[i] or b"")
+
+
+def _assemble(quoted: bool, most: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _Assembler(quoted, most)
+        for batch in batches:
+            a, b, full, base = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b", "full", "base"))
+            seq, values = batch.column("seq").to_pylist(), batch.column("value").to_pylist()
+            for file, block, lo, hi in _runs(batch):
+                if own._block != (file, block):
+                    own.begin(file, block, int(base[lo]))
+                own.add(seq[lo:hi], a[lo:hi], b[lo:hi], full[lo:hi], values[lo:hi])
+                if own.bytes > _BATCH_BYTES:
+                    yield _batch(own.out, _PIECE_ROWS)
+                    own.out, own.bytes = [], 0
+        own.end()
+        if own.out:
+            yield _batch(own.out, _PIECE_ROWS)
+
+    return work
+
+
+def records(flagged: DataFrame, surveyed: DataFrame, quoted: bool) -> DataFrame:
+    """``source_file, block, seq, raw``: records with the place of their first line, lines joined by line ends."""
+    states = kept(_states(surveyed, quoted))
+    few = states.count() <= MAX_BROADCAST_BLOCKS
+    placed = flagged.join(F.broadcast(states) if few else states, _BLOCK)
+    if not few:
+        placed = placed.sortWithinPartitions(*_BLOCK, "seq")
+    columns = [*_FLAGS, "base", F.col("value").cast("binary").alias("value")]
+    put = lambda rows: rows.select(*columns).mapInArrow(_assemble(quoted, MAX_RECORD_BYTES), _PIECE)
+    done = put(placed).where(F.col("kind") == _WHOLE).select(*_BLOCK, "seq", F.col("value").cast("string").alias("raw"))
+    if states.where("open_end OR base > 0").isEmpty():
+        return done
+    # Records over the edges of blocks: a tail, blocks without a start, and the head of the block that ends it.
+    edges = put(placed.where("open_end OR base > 0")).where(F.col("kind") != _WHOLE)
+    before = Window.partitionBy("source_file").orderBy("block", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.last(F.when(F.col("kind") == _TAIL, F.struct("block", "seq")), ignorenulls=True).over(before)
+    edges = edges.withColumn("start", F.coalesce(start, F.struct("block", "seq")))
+    total = F.sum(F.octet_length("value") + 1).over(Window.partitionBy("source_file", "start"))
+    edges = edges.withColumn("loose", total > MAX_RECORD_BYTES)
+    whole = edges.where("NOT loose").groupBy("source_file", "start").agg(
+        F.sort_array(F.collect_list(F.struct("block", "seq", F.col("value").cast("string").alias("value")))).alias("pieces")
+    ).select("source_file", "start.block", "start.seq", F.array_join("pieces.value", "\n").alias("raw"))
+    lines = edges.where("loose").select(*_BLOCK, "seq", F.posexplode(F.split(F.col("value").cast("string"), "\n")).alias("at", "raw")).select(
+        *_BLOCK, (F.col("seq") + F.col("at")).alias("seq"), "raw")
+    return done.unionByName(whole).unionByName(lines)
