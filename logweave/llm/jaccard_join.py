@@ -1,24 +1,28 @@
 """Near copies: documents whose five-word shingle sets have a Jaccard similarity of 0.8 or more.
 
 Two sets that similar share a token among the first n - ceil(0.8 n) + 1 of each under any
-global order of tokens. Several orders are used, all rarest first by a sketch of how often
-tokens occur in the whole corpus (2**18 counters, so what is broadcast is 256 KB at any
-size), each with ties broken by another hash. Tokens that two sets share in the prefix of
-the first order make candidates if lengths and parity sketches allow it; candidates must also share a prefix token under the second
-and the third order, as many as their lengths ask for, and fit in length; only pairs in the
-intersection are verified, on the sets of the whole texts.
+global order of tokens. Several orders are used. All begin with the tokens that only one set
+of the corpus has, found exactly by their hashes (see `packed`): these can be in no
+intersection, so a set that fills its prefix with them is similar to none and is done with.
+What the others still have in their prefixes comes rarest first, by a sketch of how often
+tokens occur in the sets that are left (2**18 counters, so what is broadcast is 256 KB at any
+size), ties broken by another hash in each order. Tokens that two sets share in the prefix of
+the first order make candidates if lengths and parity sketches allow it; candidates must also
+share prefix tokens under the second and the third order, as many as their lengths ask for;
+only pairs in the intersection are verified, on all tokens that the sets share with any other.
 
 Equal sets are one class from the start, so copies are never paired. Candidates of a token
 are not all paired at once either: some members, the pivots, are compared with all others
-and what links becomes one component; pairs inside a component need no further look. After a
-round of that (`ROUNDS`) all remaining pairs between different components are looked at, in
-the join itself by their sketches, so no link between components is lost and no partner is
-capped.
+and what links becomes one component; pairs inside a component need no further look. This is
+repeated as long as it halves what is left, unless that is few pairs for each set; then all
+pairs between different components are looked at, in the join itself by their sketches, so no
+link between components is lost and no partner is capped.
 
 Defined cases: NULL or wordless text has an empty set and is linked with nothing; a text of
-fewer than five words is one shingle; a NULL doc_id takes part, but is no smallest id unless
-all are NULL; rows that agree in id and text are one document twice; an empty table gives an
-empty result.
+fewer than five words is one shingle; the length of a text changes nothing else; a NULL doc_id
+takes part, but is no smallest id unless all are NULL; ties of ids are rows that agree in id and
+text, one document twice; columns of any other name are not read (`one_of_each` carries them);
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -46,9 +50,8 @@ _SLOT = 4096
 #: Seeds that break ties in the orders: the first makes candidates, all others filter them.
 ORDERS = (0x1F83D9AB, 0x5BE0CD19, 0x3C6EF372)
 PIVOTS = 2
-ROUNDS = 1
 #: What is left is paired at once when that makes at most so many pairs for each set of the corpus.
-REST = 64
+REST = 1
 
 
 def shingles(words: Words, i: int) -> np.ndarray:
@@ -64,35 +67,30 @@ def _sets(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
             yield lo + i, shingles(words, i)
 
 
-def _name(tokens: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _name(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each document; at the end of the task, its part of the sketch."""
-    sketch = np.zeros(SKETCH, np.uint32)
-    kind = None
+    """Size and name of each document's set."""
     for batch in batches:
-        kind = batch["doc_id"].type
-        n, node, slots = [], [], []
+        n, names = [], []
         for _, tokens in _sets(batch):
             n.append(len(tokens))
-            node.append(_name(tokens) if len(tokens) else None)
-            slots.append((tokens & np.uint64(SKETCH - 1)).astype(np.int64))
-            if len(slots) == 1024:
-                sketch += np.bincount(np.concatenate(slots), minlength=SKETCH).astype(np.uint32)
-                slots = []
-        if slots:
-            sketch += np.bincount(np.concatenate(slots), minlength=SKETCH).astype(np.uint32)
-        none = pa.nulls(len(n), pa.int32())
-        yield pa.RecordBatch.from_pydict({
-            "doc_id": batch["doc_id"], "uid": batch["uid"], "n": pa.array(n, pa.int64()), "node": pa.array(node, pa.int64()),
-            "slot": none, "counts": pa.nulls(len(n), pa.binary())})
-    if kind is not None:
-        parts = [sketch[at : at + _SLOT].tobytes() for at in range(0, SKETCH, _SLOT)]
-        yield pa.RecordBatch.from_pydict({
-            "doc_id": pa.nulls(len(parts), kind), "uid": pa.nulls(len(parts), pa.int64()), "n": pa.nulls(len(parts), pa.int64()),
-            "node": pa.nulls(len(parts), pa.int64()), "slot": pa.array(range(len(parts)), pa.int32()), "counts": pa.array(parts, pa.binary())})
+            names.append(_name(tokens) if len(tokens) else None)
+        yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "uid": batch["uid"], "n": pa.array(n, pa.int64()), "class": pa.array(names, pa.binary())})
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """At the end of the task, its part of the sketch."""
+    sketch = np.zeros(SKETCH, np.uint32)
+    for batch in batches:
+        for body in batch["shared"]:
+            tokens = np.frombuffer(body.as_py(), np.uint64)
+            sketch += np.bincount((tokens & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
+    used = [at for at in range(0, SKETCH, _SLOT) if sketch[at : at + _SLOT].any()]
+    yield pa.RecordBatch.from_pydict({
+        "slot": pa.array([at // _SLOT for at in used], pa.int32()), "counts": pa.array([sketch[at : at + _SLOT].tobytes() for at in used], pa.binary())})
 
 
 def _add(table: pa.Table) -> pa.Table:
@@ -102,10 +100,10 @@ def _add(table: pa.Table) -> pa.Table:
     return pa.table({"slot": table["slot"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
 
-def _levels(signed: DataFrame) -> np.ndarray:
+def _levels(left: DataFrame) -> np.ndarray:
     """Of each counter of the sketch, the binary order of magnitude."""
     levels = np.zeros(SKETCH, np.uint8)
-    sums = signed.where("slot IS NOT NULL").select("slot", "counts").groupBy("slot").applyInArrow(_add, "slot int, counts binary")
+    sums = left.select("shared").mapInArrow(_sketch, "slot int, counts binary").groupBy("slot").applyInArrow(_add, "slot int, counts binary")
     for row in sums.collect():
         counts = np.frombuffer(row["counts"], np.uint64)
         levels[row["slot"] * _SLOT : (row["slot"] + 1) * _SLOT] = np.log2(np.maximum(counts, 1)).astype(np.uint8)
@@ -116,11 +114,10 @@ def prefix_size(n: int) -> int:
     return n - -(-PERCENT * n // 100) + 1
 
 
-def prefix(tokens: np.ndarray, levels: np.ndarray, seed: int) -> np.ndarray:
-    """The first tokens under one of the orders; sets that are similar enough share one of them."""
+def prefix(tokens: np.ndarray, levels: np.ndarray, seed: int, size: int) -> np.ndarray:
+    """The first tokens under one of the orders, of those that other sets have too."""
     rank = mix(tokens ^ np.uint64(seed)) >> np.uint64(8)
     rank |= levels[(tokens & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56)
-    size = prefix_size(len(tokens))
     return tokens[np.argpartition(rank, size - 1)[:size]] if size < len(tokens) else tokens
 
 
@@ -135,11 +132,10 @@ def _from_top(body: bytes, size: int) -> np.ndarray:
     return out.view(">u8").ravel().astype(np.uint64)
 
 
-#: Bytes of a token that travel: to find candidates, and to filter them. Chance agreement only adds candidates.
-_FIND, _FILTER = 6, 2
+#: Bytes of a token that travel to filter candidates. Chance agreement only adds candidates.
+_FILTER = 2
 #: Longs of a set's parity sketch.
 _LONGS = 24
-OUTLINE = "uid bigint, n bigint, first binary, filters array<binary>, sketch array<bigint>"
 
 
 def parity(tokens: np.ndarray) -> np.ndarray:
@@ -152,25 +148,7 @@ def parity(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
-def _outline(levels: np.ndarray):
-    """The prefixes of each set under all orders."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, first, filters, sketch = [], [], [], []
-            for _, tokens in _sets(batch):
-                n.append(len(tokens))
-                first.append(_top(prefix(tokens, levels, ORDERS[0]), _FIND) if len(tokens) else b"")
-                filters.append([_top(prefix(tokens, levels, seed), _FILTER) for seed in ORDERS[1:]] if len(tokens) else [])
-                sketch.append(parity(tokens))
-            yield pa.RecordBatch.from_pydict({
-                "uid": batch["uid"], "n": pa.array(n, pa.int64()), "first": pa.array(first, pa.binary()),
-                "filters": pa.array(filters, pa.list_(pa.binary())), "sketch": pa.array(sketch, pa.list_(pa.int64()))})
-
-    return work
-
-
-def _heads(table: pa.Table, side: pa.Table) -> list[int]:
+def _heads(table: pa.Table, side: pa.Table) -> pa.Table:
     """Of the batch's rows those that stand for their class, each once."""
     left = set(side["uid"].to_pylist())
     out = []
@@ -178,35 +156,58 @@ def _heads(table: pa.Table, side: pa.Table) -> list[int]:
         if uid in left:
             left.remove(uid)
             out.append(i)
-    return out
+    return table.take(pa.array(out, pa.int64()))
 
 
 def _send(bits: int):
     def work(table: pa.Table, side: pa.Table) -> pa.Table:
-        body = table["first"]
-        own = [_from_top(body[i].as_py(), _FIND) for i in _heads(table, side)]
+        own = [tokens for _, tokens in _sets(_heads(table, side))]
         return packed.send(table["batch"][0].as_py() if table.num_rows else 0, np.concatenate([np.empty(0, np.uint64), *own]), bits, False)
 
     return work
 
 
-NODES = "node bigint, n bigint, tokens array<bigint>, filters array<binary>, sketch array<bigint>"
+LEFT = "node bigint, n bigint, alone bigint, shared binary"
 
 
-def _nodes(bits: int):
-    """Outlines with a token that others have in their prefix too, and those tokens."""
+def _left(bits: int):
+    """Sets that may be similar to another: n tokens, of which `alone` are in no other set, and the rest of them."""
 
     def work(table: pa.Table, side: pa.Table) -> pa.Table:
         shared = packed.found_keys(side.filter(pa.compute.is_valid(side["found"])))
-        pick, tokens = [], []
-        for i in _heads(table, side) if len(shared) else ():
-            first = _from_top(table["first"][i].as_py(), _FIND)
-            first = first[member(packed.key(first, bits, False), shared)]
-            if len(first):
+        own = _heads(table, side)
+        pick, n, alone, rest = [], [], [], []
+        for i, tokens in _sets(own) if len(shared) else ():
+            both = tokens[member(packed.key(tokens, bits, False), shared)]
+            if len(tokens) - len(both) < prefix_size(len(tokens)):
                 pick.append(i)
-                tokens.append(first.view(np.int64))
-        own = table.take(pa.array(pick, pa.int64()))
-        return pa.table({"node": own["uid"], "n": own["n"], "tokens": pa.array(tokens, pa.list_(pa.int64())), "filters": own["filters"], "sketch": own["sketch"]})
+                n.append(len(tokens))
+                alone.append(len(tokens) - len(both))
+                rest.append(both.tobytes())
+        return pa.table({
+            "node": own["uid"].take(pa.array(pick, pa.int64())), "n": pa.array(n, pa.int64()), "alone": pa.array(alone, pa.int64()), "shared": pa.array(rest, pa.binary())})
+
+    return work
+
+
+NODES = "node bigint, n bigint, alone bigint, tokens array<bigint>, filters array<binary>, sketch array<bigint>"
+
+
+def _outline(levels: np.ndarray):
+    """The prefixes of each set under all orders, without the tokens that are in no other set."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, filters, sketch = [], [], []
+            for n, alone, body in zip(*(batch[c].to_pylist() for c in ("n", "alone", "shared")), strict=True):
+                tokens = np.frombuffer(body, np.uint64)
+                heads = [prefix(tokens, levels, seed, prefix_size(n) - alone) for seed in ORDERS]
+                first.append(heads[0].view(np.int64))
+                filters.append([_top(x, _FILTER) for x in heads[1:]])
+                sketch.append(parity(tokens))
+            yield pa.RecordBatch.from_pydict({
+                "node": batch["node"], "n": batch["n"], "alone": batch["alone"], "tokens": pa.array(first, pa.list_(pa.int64())),
+                "filters": pa.array(filters, pa.list_(pa.binary())), "sketch": pa.array(sketch, pa.list_(pa.int64()))})
 
     return work
 
@@ -241,15 +242,15 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = []
-        for side in ("x", "y"):
-            sets.append([tokens for _, tokens in _sets(pa.table({"body": batch[side]}))])
-        keep = [similar(x, y) for x, y in zip(*sets, strict=True)]
+        keep = []
+        for n, m, x, y in zip(*(batch[c].to_pylist() for c in ("n", "m", "x", "y")), strict=True):
+            both = _common(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
+            keep.append(100 * both >= PERCENT * (n + m - both))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _thinned(nodes: DataFrame) -> DataFrame:
-    """(token, node, n, sketch, weight): of tokens that exactly the same nodes have, one, with their number.
+    """(token, node, n, alone, sketch, weight): of tokens that exactly the same nodes have, one, with their number.
 
     A passage that documents share gives as many such tokens as it has words; one of
     them makes the same candidates.
@@ -259,14 +260,15 @@ def _thinned(nodes: DataFrame) -> DataFrame:
     lists = rows.groupBy("token").agg(F.count("*").alias("size"), *same).where("size > 1")
     chosen = lists.groupBy("size", "x0", "x1", "x2").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
     thin = rows.join(chosen.select("token", "weight"), "token")
-    return thin.join(nodes.select("node", "n", "sketch"), "node").select("token", "node", "n", "sketch", "weight")
+    return thin.join(nodes.select("node", "n", "alone", "sketch"), "node").select("token", "node", "n", "alone", "sketch", "weight")
 
 
 def _pairs(left: DataFrame, right: DataFrame, more: str = "true") -> DataFrame:
     """Of each token, pairs of unlike components that fit in length and by their sketches: a, b, n, m and the token's weight."""
     fits = f"component <> other_component AND 100 * n >= {PERCENT} * other_n AND 100 * other_n >= {PERCENT} * n AND {more}"
     apart = " + ".join(f"bit_count(sketch[{i}] ^ other_sketch[{i}])" for i in range(_LONGS))
-    fits += f" AND {apart} <= n + other_n - 2 * (({PERCENT} * (n + other_n) + {99 + PERCENT}) div {100 + PERCENT})"
+    # Sketches are of shared tokens; those that a set has alone are known to differ.
+    fits += f" AND {apart} <= n - alone + other_n - other_alone - 2 * (({PERCENT} * (n + other_n) + {99 + PERCENT}) div {100 + PERCENT})"
     first = F.col("node") < F.col("other")
     return left.join(right, "token").where(fits).select(
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"),
@@ -274,7 +276,7 @@ def _pairs(left: DataFrame, right: DataFrame, more: str = "true") -> DataFrame:
 
 
 def _as_other(rows: DataFrame) -> DataFrame:
-    return rows.select("token", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("sketch").alias("other_sketch"), F.col("component").alias("other_component"))
+    return rows.select("token", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("alone").alias("other_alone"), F.col("sketch").alias("other_sketch"), F.col("component").alias("other_component"))
 
 
 def _with_pivots(rows: DataFrame, turn: int) -> DataFrame:
@@ -298,58 +300,31 @@ def _all_pairs(rows: DataFrame) -> DataFrame:
     return counts.where(f"common >= ({PERCENT} * (n + m) + {99 + PERCENT}) div {100 + PERCENT} - greatest({rest('n')}, {rest('m')})").select("a", "b", "n", "m")
 
 
-def _marks(uids: DataFrame) -> np.ndarray:
-    """A bit for the hash of every uid: at most 8 MB, however many there are."""
-    wanted = 1 << min(26, max(16, (16 * uids.count()).bit_length()))
-    place = f"pmod(xxhash64(uid), {wanted})"
-    words = uids.select(F.expr(f"cast({place} div 64 AS int)").alias("word"), F.expr(f"shiftleft(1L, cast({place} % 64 AS int))").alias("bit"))
-    out = np.zeros(wanted // 64, np.int64)
-    held = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out[held["word"].to_numpy()] = held["bits"].to_numpy()
-    return out.view(np.uint64)
+def _verified(near: DataFrame, left: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are similar enough, by all tokens of either that are not in it alone."""
+    x = left.select(F.col("node").alias("a"), "n", F.col("shared").alias("x"))
+    y = left.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("shared").alias("y"))
+    return near.select("a", "b").join(x, "a").join(y, "b").mapInArrow(_verify, "a bigint, b bigint")
 
 
-def _marked(bits: np.ndarray):
-    """Rows that may be wanted; `place` is the hash of their uid."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            place = batch["place"].to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(64 * len(bits) - 1)
-            keep = (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
-            if keep.any():
-                yield batch.select(["uid", "body"]).filter(pa.array(keep.astype(bool)))
-
-    return work
-
-
-def _verified(near: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar enough, by the sets of their whole texts."""
-    uids = near.select(F.col("a").alias("uid")).union(near.select("b")).distinct()
-    texts_of = docs.select("uid", F.xxhash64("uid").alias("place"), "body").mapInArrow(_marked(_marks(uids)), "uid bigint, body binary")
-    both = (
-        near.join(texts_of.select(F.col("uid").alias("a"), F.col("body").alias("x")), "a")
-        .join(texts_of.select(F.col("uid").alias("b"), F.col("body").alias("y")), "b")
-    )
-    return both.select("a", "b", "x", "y").mapInArrow(_verify, "a bigint, b bigint")
-
-
-def _linked(nodes: DataFrame, docs: DataFrame, heads: int) -> DataFrame:
-    """(node, component) of the nodes that have links; docs: uid and body; heads: how many sets there are."""
+def _linked(nodes: DataFrame, left: DataFrame, heads: int) -> DataFrame:
+    """(node, component) of the nodes that have links; heads: how many sets the corpus has."""
     outlines = nodes.select("node", "filters")
     postings = tables.checkpointed(_thinned(nodes))
-    labels = tested = None
-    for turn in range(ROUNDS + 1):
+    labels = tested = before = None
+    turn, rest = 0, False
+    while not rest:
         rows = postings.withColumn("component", F.col("node"))
         if labels is not None:
             rows = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        rest = False
-        if turn:
-            inside = rows.groupBy("token", "component").agg(F.count("*").alias("size"))
-            groups = inside.groupBy("token").agg((F.sum("size") * F.sum("size") - F.sum(F.col("size") * F.col("size"))).alias("across"))
-            total = groups.agg(F.sum("across")).first()[0]
-            if not total:
-                break
-            rest = turn == ROUNDS or total <= 2 * REST * heads
+        inside = rows.groupBy("token", "component").agg(F.count("*").alias("size"))
+        across = inside.groupBy("token").agg((F.sum("size") * F.sum("size") - F.sum(F.col("size") * F.col("size"))).alias("across"))
+        total = across.agg(F.sum("across")).first()[0]
+        if not total:
+            break
+        # Pivots are worth a turn as long as they unite much of what is there.
+        rest = before is not None and (total <= 2 * REST * heads or 2 * total > before)
+        before = total
         pairs = _all_pairs(rows) if rest else _with_pivots(rows, turn)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -362,13 +337,12 @@ def _linked(nodes: DataFrame, docs: DataFrame, heads: int) -> DataFrame:
             .select("a", "b", "n", "m", "x", "y").mapInArrow(_filter, "a bigint, b bigint")
         )
         near = tables.checkpointed(near)
-        links = tables.checkpointed(_verified(near, docs))
+        links = tables.checkpointed(_verified(near, left))
         edges = links if labels is None else links.unionAll(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
         if not links.isEmpty():
             labels = components(edges)
-        if rest:
-            break
         tables.release(nodes)
+        turn += 1
     return labels if labels is not None else nodes.select("node", F.col("node").alias("component")).limit(0)
 
 
@@ -378,21 +352,20 @@ def classes(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     kind = dict(docs.dtypes)["doc_id"]
     bodies = docs.select("doc_id", F.xxhash64("doc_id", text).alias("uid"), text.cast("binary").alias("body"))
-    signed = tables.checkpointed(bodies.mapInArrow(_sign, f"doc_id {kind}, uid bigint, n bigint, node bigint, slot int, counts binary"))
-    levels = _levels(signed)
-    rows = signed.where("slot IS NULL").select("doc_id", "uid", "n", F.col("node").alias("class"))
+    rows = tables.checkpointed(bodies.mapInArrow(_sign, f"doc_id {kind}, uid bigint, n bigint, class binary"))
     heads = tables.checkpointed(rows.where("class IS NOT NULL").groupBy("class").agg(F.min("uid").alias("uid"), F.min("doc_id").alias("head")))
 
-    bits = packed.bucket_bits(size // 25)
-    batch = packed.batch_of(size // 2).alias("batch")
-    outlines = bodies.select("uid", "body").mapInArrow(_outline(levels), OUTLINE).select("*", batch).repartition(tables.partitions(docs.sparkSession, size // 2), "batch")
-    side = heads.select(batch, "uid")
-    shared = packed.repeated(packed.with_answer(outlines, side, _send(bits), packed.SENT), bits, False)
+    # Tokens are as many as words, of six bytes or so.
+    bits = packed.bucket_bits(size // 6)
+    batches = packed.batched(docs, size)
+    side = heads.select(packed.batch_of(size).alias("batch"), "uid")
+    shared = packed.repeated(packed.with_answer(batches, side, _send(bits), packed.SENT), bits, False)
     answer = side.withColumn("found", F.lit(None).cast("binary")).unionByName(shared, allowMissingColumns=True)
-    nodes = tables.checkpointed(packed.with_answer(outlines, answer, _nodes(bits), NODES))
-    tables.release(nodes)
+    left = tables.checkpointed(packed.with_answer(batches, answer, _left(bits), LEFT))
+    tables.release(left)
+    nodes = tables.checkpointed(left.mapInArrow(_outline(_levels(left)), NODES))
 
-    labels = _linked(nodes, bodies.select("uid", "body"), heads.count())
+    labels = _linked(nodes, left, heads.count())
     named = heads.join(labels.withColumnRenamed("node", "uid"), "uid", "left").select("class", "head", F.coalesce("component", "uid").alias("component"))
     least = named.groupBy("component").agg(F.min("head").alias("component_id"))
     named = named.join(least, "component").select("class", "component", "component_id")
@@ -404,14 +377,15 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, with one document of each component; those with an empty set all stay."""
     marked = tables.checkpointed(classes(docs).select("doc_id", "uid", "component"))
     first = marked.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "uid")).alias("keep"))
-    kept = first.select(F.col("keep.uid").alias("__uid")).unionAll(marked.where("component IS NULL").select("uid").distinct())
-    out = docs.withColumn("__row_uid", F.xxhash64("doc_id", F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    out = out.join(kept, F.col("__row_uid") == F.col("__uid"), "left_semi")
-    twice = marked.where("component IS NOT NULL").groupBy("uid").count().where("count > 1").select(F.col("uid").alias("__uid"))
+    own, uid = tables.free(docs.columns, "own uid"), tables.free(docs.columns, "uid")
+    kept = first.select(F.col("keep.uid").alias(uid)).unionAll(marked.where("component IS NULL").select(F.col("uid").alias(uid)).distinct())
+    out = docs.withColumn(own, F.xxhash64("doc_id", F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    again = F.col(own) == F.col(uid)
+    out = out.join(kept, again, "left_semi")
+    twice = marked.where("component IS NOT NULL").groupBy("uid").count().where("count > 1").select(F.col("uid").alias(uid))
     if not twice.isEmpty():
-        again = F.col("__row_uid") == F.col("__uid")
-        out = out.join(twice, again, "left_anti").unionByName(out.join(twice, again, "left_semi").dropDuplicates(["__row_uid"]))
-    return out.drop("__row_uid")
+        out = out.join(twice, again, "left_anti").unionByName(out.join(twice, again, "left_semi").dropDuplicates([own]))
+    return out.drop(own)
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

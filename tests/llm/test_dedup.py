@@ -104,11 +104,10 @@ def linked_by_force(rows):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("seed,pivots,rest", [(5, 2, 64), (6, 1, 0)])
+@pytest.mark.parametrize("seed,pivots,rest", [(5, jaccard_join.PIVOTS, jaccard_join.REST), (6, 1, 0)])
 def test_near_copies_as_by_force(spark, monkeypatch, seed, pivots, rest):
     monkeypatch.setattr(jaccard_join, "PIVOTS", pivots)
     monkeypatch.setattr(jaccard_join, "REST", rest)
-    monkeypatch.setattr(jaccard_join, "ROUNDS", 3)
     rows = corpus(seed, 90)
     r = random.Random(seed)
     base = [f"c{k}" for k in range(120)]
@@ -147,10 +146,17 @@ def test_prefixes_of_similar_sets_have_enough_in_common(n):
         x = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
         change = r.integers(0, n // 8)
         y = np.unique(np.concatenate([x[change:], r.integers(0, 1 << 63, r.integers(0, n // 8)).astype(np.uint64)]))
+        # Of what one set has and the other has not, some is in no third set either.
+        left = []
+        for own, other in ((x, y), (y, x)):
+            differ = np.setdiff1d(own, other)
+            left.append(np.setdiff1d(own, differ[: r.integers(0, len(differ) + 1)]))
+        sizes = [jaccard_join.prefix_size(len(own)) - (len(own) - len(rest)) for own, rest in zip((x, y), left)]
         if jaccard_join.similar(x, y):
+            assert min(sizes) > 0
             for seed in jaccard_join.ORDERS:
-                common = len(set(jaccard_join.prefix(x, levels, seed).tolist()) & set(jaccard_join.prefix(y, levels, seed).tolist()))
-                assert common >= jaccard_join.least_common(len(x), len(y))
+                heads = [set(jaccard_join.prefix(rest, levels, seed, size).tolist()) for rest, size in zip(left, sizes)]
+                assert len(heads[0] & heads[1]) >= jaccard_join.least_common(len(x), len(y))
 
 
 def test_components_of_chains_stars_and_rings(spark):
