@@ -159,12 +159,15 @@ def _plain(path: Column) -> Column:
 
 
 def is_own(path: Column) -> Column:
-    """Whether an object, or a folder above it, is named as writers of tables name what they need for themselves."""
+    """Whether an object, or a folder above it, is named as writers of tables name what they need for themselves.
+
+    That includes ``.<name>.crc``, the checksums that Spark's writers leave in local folders.
+    """
     inside = F.concat(F.lit("/"), path, F.lit("/"))
     found = F.lit(False)
     for name in OWN_NAMES:
         found = found | F.contains(inside, F.lit(f"/{name}/"))
-    return found
+    return found | path.rlike(r"(?:\A|/)\.[^/]*\.crc\z")
 
 
 def is_hidden(path: Column, roots: str | Sequence[str]) -> Column:

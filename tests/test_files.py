@@ -17,7 +17,7 @@ import logweave as lw
 from logweave import schemas
 from logweave.operators import routing
 from logweave.plans import commits, sinks
-from logweave.sources import ranges
+from logweave.sources import chunks, ranges
 from logweave.sources.archives import archive_entries, archive_lines, archive_lines_of
 from logweave.sources.store import list_objects
 from logweave.sources.lines import as_line_frame
@@ -212,6 +212,29 @@ def test_chunks(spark):
     assert "damaged" in got[1].error and "too short" in got[2].error
 
 
+@pytest.mark.parametrize("span", [4096, 5, 1])
+def test_chunks_that_are_missing_repeated_or_cut(spark, monkeypatch, span):
+    monkeypatch.setattr(chunks, "SPAN", span)
+    r = random.Random(span)
+    have = {f"p{n}": [x for x in range(r.randrange(1, 40)) if r.random() < 0.7 for _ in range(r.choice((1, 1, 1, 3)))] for n in range(30)}
+    rows = [(p, x) for p, own in have.items() for x in own] + [(None, 1), ("odd", None), ("odd", -4), ("far", 100)]
+    expected = {p: r.randrange(1, 45) for p in list(have)[:20]} | {"gone": 7}
+    frame = spark.createDataFrame(rows, "path string, chunk_no bigint").repartition(3)
+    got = {x.path: x for x in chunks.completeness(frame, spark.createDataFrame(list(expected.items()), "path string, n_expected bigint")).collect()}
+    have["far"] = [100]
+    flat = lambda ranges: [n for x in ranges for n in range(x["first"], x["last"] + 1)]
+    for path in {p for p, own in have.items() if own} | set(expected):
+        own = have.get(path, [])
+        last = max(own, default=-1)
+        row = got.pop(path)
+        assert row.n_chunks == len(set(own))
+        assert flat(row.missing) == [n for n in range(last) if n not in own]
+        assert flat(row.repeated) == sorted({n for n in own if own.count(n) > 1})
+        assert row.cut == (last + 1 if last + 1 < expected.get(path, 0) else None)
+    assert not got
+    assert all(x.cut is None for x in chunks.completeness(frame).collect())
+
+
 def test_stream_network(spark, tmp_path):
     logs = tmp_path / "in" / "log" / "demo"
     logs.mkdir(parents=True)
@@ -265,7 +288,7 @@ def test_objects_of_hidden_names_are_read(spark, tmp_path):
     (tmp_path / "sub" / "_temporary").mkdir()
     for name, body in (("a.log", line(1)), ("_b.log", line(2)), (".c.log", line(3)), ("_SUCCESS", b""), ("_READY", b"{}"), ("sub/d.log", line(4)),
                        ("sub/_e.log", line(5)), ("sub/_deep/f.log", line(6)), ("sub/_deep/.down/g.log", line(7)), ("sub/_temporary/x", line(99)),
-                       ("_h.zip", zipped(x__log=line(8))), ("_i.log.gz", gzip.compress(line(9))), ("_empty", b"")):
+                       ("_h.zip", zipped(x__log=line(8))), ("_i.log.gz", gzip.compress(line(9))), ("_empty", b""), (".a.log.crc", b"crc\0"), ("sub/.d.log.crc", b"crc\0")):
         (tmp_path / name).write_bytes(body)
     parsed = lw.ingest_network(spark, str(tmp_path), lw.parse_mapping(MAPPING))
     assert sorted(r.rule_id for r in parsed.events.collect()) == [str(n) for n in range(1, 10)]

@@ -8,25 +8,30 @@ and the SQL states the expected columns straight from the table.
 from __future__ import annotations
 
 import io
+import json
 import os
 import sys
 import tarfile
+import uuid
+import warnings
 import zipfile
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 import logweave as lw
 from logweave.operators import routing
 from logweave.plans import correlate, rebuild, sinks
-from logweave.plans.timeline import parse_timeline
+from logweave.plans.timeline import ingest_timeline, parse_timeline
 from logweave.session import scratch_dir
 from logweave.sources.archives import archive_lines_of
-from logweave.sources.listing import list_with_markers
+from logweave.sources.listing import list_with_markers, put_object
+from logweave.sources.chunks import completeness
 from logweave.sources.chunks import decrypt_chunks as decrypt
 from logweave.sources.lines import as_line_frame
 from logweave.sources.store import open_store
@@ -1158,3 +1163,221 @@ def logon_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     write(rows.where(~early), "two")
     rebuild.rebuild_logons(spark, net, tl, table, since=since)
     return rebuild.scan_logons(spark, table).select(micros(), "src_ip", "src_name", "dst_ip", "dst_name", "user_name")
+
+
+# --- mappings, counters, views and the rest ----------------------------------
+
+
+@query("""
+SELECT CAST(event_id AS VARCHAR) AS rule_id, upper(event_type) AS action, CASE WHEN event_type = 'error' THEN 'ERR' ELSE event_type END AS threat_name, 'none' AS user_name
+FROM events""")
+def mapping_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mapping read from its config document in the case's folder."""
+    base = scratch_dir(spark, "config")
+    document = kv_mapping(
+        {"target": "rule_id", "source": "id"}, {"target": "action", "source": ["none", "act"], "transform": "upper"},
+        {"target": "threat_name", "source": "act", "value_map": {"error": "ERR"}}, {"target": "user_name", "source": "who", "default": "none"})
+    put_object(spark, f"{base}/config/demo.json", json.dumps(document).encode())
+    rows = events(spark, sf_dir)
+    line = text("t=", c("epoch"), ",id=", c("id"), ",act=", c("event_type"))
+    return lw.parse_network(as_line_frame(rows, line), lw.load_mapping(spark, base, "demo")).events.select("rule_id", "action", "threat_name", "user_name")
+
+
+@query("""
+SELECT epoch_us(ts) AS ts_us, 'prj' || user_id AS device_name, 'log/' || event_type AS log_type,
+  CASE event_type WHEN 'error' THEN '' ELSE 'DENIED' END AS action, '10.0.0.' || user_id AS src_ip, event_id AS src_port,
+  CASE event_type WHEN 'click' THEN 'TCP' WHEN 'signup' THEN 'ICMP' ELSE '47' END AS protocol
+FROM events""")
+def google_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = c("event_type")
+    name = text("projects/prj", c("user"), "/logs/log%2F", kind)
+    line = text(
+        '{"logName": "', name, '", "receiveTimestamp": "', F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"),
+        '", "jsonPayload": {"connection": {"src_ip": "10.0.0.', c("user"), '", "src_port": ', c("id"), ', "protocol": ',
+        F.when(kind == "click", "6").when(kind == "signup", "1").otherwise("47"), "}",
+        F.when(kind == "error", "").otherwise(', "rule_details": {"action": "DENIED"}'), "}}")
+    return parse(events(spark, sf_dir), line, "google", one_per_line=True).select(
+        micros(), "device_name", "log_type", "action", "src_ip", "src_port", "protocol")
+
+
+@query("""
+SELECT epoch_us(date_trunc('second', ts)) AS ts_us, 'pa' || user_id AS device_name, event_type AS action, '10.0.0.' || user_id AS src_ip, event_id AS src_port,
+  CASE event_type WHEN 'click' THEN 'TCP' ELSE 'UDP' END AS protocol, 'say "' || event_type || '", twice' AS rule_name
+FROM events""")
+def paloalto_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV with a header of spaced names; every partition is a file of its own header."""
+    folder = scratch_dir(spark, "pa") + "/logs"
+    events(spark, sf_dir).select(
+        F.date_format("at", "yyyy/MM/dd HH:mm:ss").alias("Generate Time"), text("pa", c("user")).alias("Device Name"), c("event_type").alias("ACTION"),
+        text('say "', c("event_type"), '", twice').alias("Rule"), text("10.0.0.", c("user")).alias("Source address"), c("id").alias("Source Port"),
+        F.when(c("event_type") == "click", "tcp").otherwise("udp").alias("IP Protocol"),
+    ).write.option("header", True).option("escape", '"').csv(folder)
+    rows = lw.ingest_network(spark, folder, lw.vendor_mapping("paloalto"), options=lw.Options(multiline=False)).events
+    return rows.select(micros(), "device_name", "action", "src_ip", "src_port", "protocol", "rule_name")
+
+
+@query("""
+SELECT count(*) AS events_loaded, 0 AS rows_skipped FROM events WHERE event_type <> 'error'
+UNION ALL SELECT 0, count(*) FROM events WHERE event_type = 'error'""")
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of two runs: one whose lines are all good, one whose lines are all bad."""
+    base = scratch_dir(spark, "counters")
+    mapping = lw.parse_mapping(kv_mapping({"target": "rule_id", "source": "id"}))
+    line = text("t=", F.when(c("event_type") == "error", "soon").otherwise("0"), ",id=", c("id"))
+    rows = events(spark, sf_dir)
+    counted = [sinks.write_parsed(lw.parse_network(as_line_frame(rows.where(some), line), mapping), f"{base}/table")
+               for some in ("event_type <> 'error'", "event_type = 'error'")]
+    return spark.createDataFrame([(x["events_loaded"], x["rows_skipped"]) for x in counted], "events_loaded bigint, rows_skipped bigint")
+
+
+@query("""
+SELECT log_source, count(*) AS n FROM (
+  SELECT 'network' AS log_source FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND event_type = 'click'
+  UNION ALL SELECT 'endpoint' FROM events WHERE ts >= TIMESTAMP '2024-01-10') GROUP BY 1""")
+def nexus_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view over both tables, asked by its name in SQL."""
+    sinks.create_nexus_view(demo_network(spark, sf_dir), demo_timeline(spark, sf_dir), "all_events")
+    return spark.sql("""
+        SELECT log_source, count(*) AS n FROM all_events
+        WHERE utc_timestamp >= date_trunc('SECOND', TIMESTAMP '2024-01-10') AND (log_source = 'endpoint' OR action = 'click') GROUP BY log_source""")
+
+
+@query("""
+SELECT event_id, user_id % 3 AS bucket FROM events WHERE event_type = 'click' AND user_id % 3 = 1""")
+def accept_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices of one kind and one bucket out of all events."""
+    notices = events(spark, sf_dir).withColumn("bucket", text("b", F.pmod("user_id", F.lit(3)).cast("string")))
+    found = routing.accept_events(notices, "click", "b1")
+    return found.select("event_id", F.substr("bucket", F.lit(2)).cast("bigint").alias("bucket"))
+
+
+@query("""
+SELECT DISTINCT event_type AS name, true AS refused_value, true AS refused_time, false AS refused_known FROM events""")
+def refused_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every kind of event as the name of a transform: none is known, neither for values nor for times."""
+    def refused(*fields: dict) -> bool:
+        try:
+            lw.parse_mapping({"log_type": "demo", "format": "kv", "fields": list(fields)})
+        except lw.MappingError:
+            return True
+        return False
+
+    at = {"target": "event_timestamp", "source": "t", "transform": "unix"}
+    names = [r.event_type for r in events(spark, sf_dir).select("event_type").distinct().collect()]   # a handful
+    return spark.createDataFrame([
+        (n, refused(at, {"target": "action", "source": "a", "transform": n}), refused({**at, "transform": n}), refused(at, {"target": "action", "source": "a", "transform": "upper"}))
+        for n in names], "name string, refused_value boolean, refused_time boolean, refused_known boolean")
+
+
+@query("""
+SELECT event_type AS log_type, count(*) AS n, 1 AS warnings FROM events GROUP BY event_type""")
+def template_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mapping marked as an unchecked template says so once for its log type, however often it parses."""
+    rows = events(spark, sf_dir)
+    kinds = [r.event_type for r in rows.select("event_type").distinct().collect()]   # a handful
+    out = []
+    for kind in kinds:
+        document = kv_mapping({"target": "rule_id", "source": "id"}) | {"log_type": f"{kind} {uuid.uuid4().hex}", "template_warning": "try it first"}
+        with warnings.catch_warnings(record=True) as caught:
+            warnings.simplefilter("always")
+            for _ in range(2):
+                own = rows.where(c("event_type") == kind)
+                n = lw.parse_network(as_line_frame(own, text("t=0,id=", c("id"))), lw.parse_mapping(document)).events.count()
+        out.append((kind, n, sum("try it first" in str(w.message) for w in caught)))
+    return spark.createDataFrame(out, "log_type string, n bigint, warnings int")
+
+
+@query("""
+SELECT sha256('{"message": "m ' || event_id || '", "username": "ü' || user_id || '"}') AS event_uuid, 'm ' || event_id AS message FROM events""")
+def timeline_event_uuid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The id of a timeline event is the hash of its line's bytes."""
+    line = text('{"message": "m ', c("id"), '", "username": "ü', c("user"), '"}')
+    return parse_timeline(as_line_frame(events(spark, sf_dir), line), ROOT).events.select("event_uuid", "message")
+
+
+@query("""
+SELECT 'm ' || event_id AS message, epoch_us(ts) AS ts_us FROM events WHERE ts >= TIMESTAMP '2024-01-15'""")
+def timeline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted timeline rows appended to a plain table, read back from a time on."""
+    folder = scratch_dir(spark, "timeline") + "/table"
+    sinks.write_timeline(demo_timeline(spark, sf_dir), folder)
+    return sinks.scan_timeline(spark, folder, since="2024-01-15").select("message", micros())
+
+
+@query("SELECT strftime(max(ts), '%Y%m%dT%H%M%SZ') AS stamp, count(*) AS n FROM events")
+def run_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stamp of a run that ended with the last event names its output."""
+    folder = scratch_dir(spark, "stamped")
+    rows = events(spark, sf_dir)
+    (last,) = rows.agg(F.unix_micros(F.max("at"))).first()
+    stamp = sinks.run_stamp(datetime.fromtimestamp(last // 1_000_000, timezone.utc))
+    out, _ = sinks.write_timeline_jsonl(parse_timeline(as_line_frame(rows, timeline_line()), ROOT), folder, "case", stamp)
+    name = F.regexp_extract(F.col("_metadata.file_path"), "case-timeline-([^/]*)[.]jsonl/", 1)
+    return spark.read.text(out).select(name.alias("stamp")).groupBy("stamp").agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT CAST(event_id AS VARCHAR) AS rule_id, 'from ' || event_type AS action FROM events""")
+def custom_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader of one's own for a format that no mapping describes."""
+    def fixed_width(frame: DataFrame, mapping: lw.Mapping, options: lw.Options):
+        rows = frame.withColumn("raw", c("value")).withColumn("error", F.lit(None).cast("string"))
+        return rows, lambda path: F.lit("0") if path == "t" else F.btrim(F.substring("value", 1 + 20 * int(path), 20))
+
+    lw.register_format("fixed width", fixed_width)
+    mapping = kv_mapping({"target": "rule_id", "source": "0"}, {"target": "action", "join": ["2", "1"], "separator": " "}) | {"log_type": "fixed width"}
+    line = text(F.rpad("id", 20, " "), F.rpad("event_type", 20, " "), "from")
+    return parse(events(spark, sf_dir), line, mapping).select("rule_id", "action")
+
+
+@query("""
+SELECT line_number, 'event_timestamp: not a unix time: soon' AS error, event_id AS id
+FROM (SELECT event_id, event_type, row_number() OVER (ORDER BY event_id) * 2 AS line_number FROM events) WHERE event_type = 'error'""")
+def quarantine_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file with a blank line before each event: bad rows know the number of their line."""
+    folder = scratch_dir(spark, "numbered") + "/logs"
+    line = text("\nt=", F.when(c("event_type") == "error", "soon").otherwise("0"), ",id=", c("id"))
+    events(spark, sf_dir).repartition(1).sortWithinPartitions("event_id").select(line.alias("value")).write.text(folder)
+    bad = lw.ingest_network(spark, folder, lw.parse_mapping(kv_mapping())).quarantine(line_numbers=True)
+    return bad.select("line_number", "error", F.regexp_extract("raw_line", "id=([0-9]+)", 1).cast("bigint").alias("id"))
+
+
+@query("""
+SELECT line_number, 'line exceeds 40 byte limit' AS reason
+FROM (SELECT event_type, row_number() OVER (ORDER BY event_id) AS line_number FROM events) WHERE event_type = 'error'""")
+def timeline_error_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines past the limit end in the error file, by number and reason."""
+    base = scratch_dir(spark, "errors")
+    line = text('{"message": "', c("id"), '"', F.when(c("event_type") == "error", F.lit(', "username": "a very long name"')).otherwise(""), "}")
+    events(spark, sf_dir).repartition(1).sortWithinPartitions("event_id").select(line.alias("value")).write.text(f"{base}/in")
+    _, errors = sinks.write_timeline_jsonl(ingest_timeline(spark, f"{base}/in", ROOT, max_line_bytes=40), base, "case", "s")
+    return spark.read.schema("line_number bigint, reason string").json(errors)
+
+
+@query("""
+SELECT epoch_us(l_shipdate) AS ts_us, 'dev' || l_suppkey AS device_name, CAST(l_orderkey AS VARCHAR) AS rule_id, l_returnflag || chr(9) || 'x' AS rule_name FROM lineitem""")
+def csv_tab_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tabs between fields, and one inside quotes."""
+    mapping = {"log_type": "tabbed", "format": "csv", "delimiter": "tab", "fields": [{"target": "event_timestamp", "source": "col:1", "transform": "auto"}] + [
+        {"target": t, "source": f"col:{n}"} for n, t in enumerate(("device_name", "rule_id", "rule_name"), start=2)]}
+    line = text(c("shipped"), "\tdev", c("l_suppkey"), "\t", c("l_orderkey"), '\t"', c("l_returnflag"), '\tx"')
+    return parse(lineitem(spark, sf_dir), line, mapping).select(micros(), "device_name", "rule_id", "rule_name")
+
+
+@query("""
+SELECT path, n_chunks, array_to_string(list_filter(range(0, last), lambda x: NOT list_contains(ks, x)), ',') AS missing, repeated, top > last AS cut
+FROM (
+  SELECT 'up/' || (doc_id // 50) AS path, count(*) FILTER (WHERE doc_id % 7 <> 3) AS n_chunks, max(doc_id % 50) AS top,
+    coalesce(list(doc_id % 50) FILTER (WHERE doc_id % 7 <> 3), []) AS ks, coalesce(max(doc_id % 50) FILTER (WHERE doc_id % 7 <> 3), -1) AS last,
+    coalesce(string_agg(CAST(doc_id % 50 AS VARCHAR), ',' ORDER BY doc_id % 50) FILTER (WHERE doc_id % 11 = 5 AND doc_id % 7 <> 3), '') AS repeated
+  FROM documents GROUP BY 1)""")
+def chunk_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as chunks of artifacts: some lost, some sent twice, some tails cut off."""
+    path = text("up/", F.floor(c("doc_id") / 50).cast("string")).alias("path")
+    rows = table(spark, sf_dir, "documents").select("doc_id", path, (c("doc_id") % 50).alias("chunk_no"))
+    whole = rows.groupBy("path").agg((F.max("chunk_no") + 1).alias("n_expected"))
+    twice = F.when(c("doc_id") % 11 == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    kept = rows.where("doc_id % 7 <> 3").select("path", "chunk_no", F.explode(twice))
+    found = completeness(kept, whole)
+    spans = lambda name: F.array_join(F.flatten(F.transform(name, lambda x: F.sequence(x["first"], x["last"]))).cast("array<string>"), ",")
+    return found.select("path", "n_chunks", spans("missing").alias("missing"), spans("repeated").alias("repeated"), c("cut").isNotNull().alias("cut"))
