@@ -175,7 +175,7 @@ def test_components_of_chains_stars_and_rings(spark):
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
-def lines_by_force(rows, run=3):
+def lines_by_force(rows, run=3, least_words=line_dedup.LEAST_WORDS):
     seen, out = set(), {}
     for i, t in sorted(rows, key=lambda x: x[0]):
         lines = (t or "").split("\n")
@@ -186,6 +186,12 @@ def lines_by_force(rows, run=3):
             if key in seen:
                 gone |= set(own[k : k + run])
             seen.add(key)
+        for k in own:
+            body = lines[k].strip(" ")
+            if len(re.findall(WORD, body)) >= least_words:
+                if body in seen:
+                    gone.add(k)
+                seen.add(body)
         out[i] = (sorted(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone))
     return out
 
@@ -194,6 +200,10 @@ def test_lines_go_as_by_force(spark):
     r = random.Random(8)
     rows = [(i, "\n".join(r.choice((f"line {r.randint(0, 12)}", f" line {r.randint(0, 12)} ", "", "  ")) for _ in range(r.randint(0, 25)))) for i in range(60)]
     rows += [(100, None), (101, ""), (102, "same\n" * 30), (103, "x\n" * 2000)]
+    # Passages on one line or two: copies of a whole text, lines among others, one word short of a run, one in the same text again.
+    passage = [" ".join(f"w{n}\u00e4{k}" for n in range(20)) for k in range(4)]
+    rows += [(110 + k, passage[0]) for k in range(5)] + [(120, f"{passage[1]}\nown line"), (121, f"other\n  {passage[1]} \nend"), (122, passage[1].replace(" ", "\t"))]
+    rows += [(130 + k, passage[2].rsplit(" ", 1)[0]) for k in range(3)] + [(140, f"{passage[3]}\nbetween\n{passage[3]}"), (141, "\n".join([*passage, "new"]))]
     got = {x.doc_id: x for x in line_dedup.drop_repeated_lines(frame(spark, rows)).collect()}
     want = lines_by_force(rows)
     for i, t in rows:
