@@ -7,7 +7,8 @@ order and stops at its first rejection: a rule's measure is computed for those t
 that all earlier rules passed. The verdict is the same in any order; only the cost differs.
 
 Base figures (words, symbols, repeated lines and windows) are wanted for every text and are
-computed first; a text that fails the base test enters no rule.
+computed first; a text that fails the base test enters no rule. Letters and ends of sentences
+are those of all scripts; the length of words counts only where a script parts them.
 
 Defined cases: NULL or wordless text has no words, all figures 0, and fails the base test;
 an empty sample leaves the rules in the order of their names; rows are judged one by one, so
@@ -17,7 +18,9 @@ repeated rows get equal answers; columns of any other name are not read.
 from __future__ import annotations
 
 import time
+import unicodedata
 from collections.abc import Callable, Iterator, Sequence
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -36,13 +39,45 @@ REPEAT = 8
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
-_UPPER, _LETTER, _DIGIT = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+_UPPER, _DIGIT = np.zeros(256, bool), np.zeros(256, bool)
 _UPPER[65:91] = True
-_LETTER[65:91] = _LETTER[97:123] = True
-_LETTER[0xC3:0xF5] = True  # lead bytes of letters beyond ASCII, mostly
 _DIGIT[48:58] = True
-_STOP = np.zeros(256, bool)
-_STOP[list(b".!?:;")] = True
+
+# What ends a sentence or clause, in the scripts of the world; and code points, from to,
+# of scripts that put no spaces between words: Thai and Lao, Tibetan, Burmese, Khmer, kana, Han.
+STOPS = ".!?:;\u0589\u061b\u061f\u06d4\u0964\u0965\u104a\u104b\u1362\u1367\u17d4\u17d5\u2026\u3002\uff01\uff0e\uff1a\uff1b\uff1f\uff61"
+UNSPACED = ((0x0E00, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+#: From this share of a text's characters on, its words are no measure of anything.
+UNSPACED_SHARE = 0.3
+_IS_LETTER, _IS_UNSPACED, _IS_STOP = 1, 2, 4
+_TOP = 0x20000  # from here on all that is in use are Han letters
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """What each code point below `_TOP` is."""
+    out = np.array([_IS_LETTER * (unicodedata.category(chr(i))[0] in "LM") for i in range(_TOP)], np.uint8)
+    for low, high in UNSPACED:
+        out[low : min(high + 1, _TOP)] |= _IS_UNSPACED
+    out[[ord(x) for x in STOPS]] |= _IS_STOP
+    return out
+
+
+def kinds(data: np.ndarray) -> np.ndarray:
+    """Of each byte that begins a character what it is; 0 for the others."""
+    table = _kinds()
+    if not len(data) or data.max() < 0x80:
+        return table[data]
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    first = data[at]
+    size = 1 + (first >= 0xC0).astype(np.int8) + (first >= 0xE0) + (first >= 0xF0)
+    point = (first & np.array([0, 0x7F, 0x1F, 0x0F, 0x07], np.uint8)[size]).astype(np.int64)
+    for k in (1, 2, 3):
+        more = np.flatnonzero(size > k)
+        point[more] = (point[more] << 6) | (data[np.minimum(at[more] + k, len(data) - 1)] & 0x3F)
+    out = np.zeros(len(data), np.uint8)
+    out[at] = np.where(point < _TOP, table[np.minimum(point, _TOP - 1)], _IS_LETTER | _IS_UNSPACED)
+    return out
 
 
 class Text(NamedTuple):
@@ -80,20 +115,38 @@ def _adjacent(t: Text) -> np.ndarray:
     return _share(t.per_word(same), t.base["n_words"])
 
 
+def _letters(t: Text) -> np.ndarray:
+    return t.per_text(kinds(t.data) & _IS_LETTER > 0)
+
+
+def _unspaced(t: Text, own: np.ndarray) -> np.ndarray:
+    return _share(t.per_text(own & _IS_UNSPACED > 0), t.base["word_chars"]) >= UNSPACED_SHARE
+
+
 def _ends(t: Text) -> np.ndarray:
-    """Share of words that end as a sentence or clause does."""
-    return _share(t.per_word(_STOP[t.data[t.words.ends - 1]] if len(t.words.ends) else np.zeros(0, bool)), t.base["n_words"])
+    """Share of words that end as a sentence or clause does; without spaces, of characters that end one."""
+    own = kinds(t.data)
+    stop = own & _IS_STOP > 0
+    last = np.maximum.accumulate(np.where((t.data & 0xC0) != 0x80, np.arange(len(t.data)), 0)) if len(t.data) else t.data
+    spaced = _share(t.per_word(stop[last[t.words.ends - 1]] if len(t.words.ends) else np.zeros(0, bool)), t.base["n_words"])
+    return np.where(_unspaced(t, own), _share(t.per_text(stop), t.base["word_chars"]), spaced)
+
+
+def _mean_word(t: Text) -> np.ndarray:
+    """Characters for each word; where there are no spaces between words, a length that no rule minds."""
+    return np.where(_unspaced(t, kinds(t.data)), MEAN_WORD[0], _share(t.base["word_chars"], t.base["n_words"]))
 
 
+MEAN_WORD = (2.5, 14.0)
 RULES = (
     Rule("adjacent_words", _adjacent, 0.0, 0.3),
     Rule("digits", lambda t: _share(t.per_text(_DIGIT[t.data]), t.base["word_chars"]), 0.0, 0.4),
     Rule("duplicate_lines", lambda t: _share(t.base["n_dup_lines"], t.base["n_lines"]), 0.0, 0.5),
-    Rule("letters", lambda t: _share(t.per_text(_LETTER[t.data]), t.base["word_chars"]), 0.6, 2.0),
-    Rule("mean_word", lambda t: _share(t.base["word_chars"], t.base["n_words"]), 2.5, 14.0),
+    Rule("letters", lambda t: _share(_letters(t), t.base["word_chars"]), 0.6, 2.0),
+    Rule("mean_word", _mean_word, *MEAN_WORD),
     Rule("sentence_ends", _ends, 0.005, 1.0),
     Rule("symbols", lambda t: _share(t.base["n_symbols"], t.base["n_words"]), 0.0, 0.25),
-    Rule("upper_case", lambda t: _share(t.per_text(_UPPER[t.data]), t.per_text(_LETTER[t.data])), 0.0, 0.5),
+    Rule("upper_case", lambda t: _share(t.per_text(_UPPER[t.data]), _letters(t)), 0.0, 0.5),
 )
 
 
@@ -244,6 +297,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _NO_WORD = r"[\x20\x09-\x0D]+"
 _LIMIT = {rule.name: rule for rule in RULES}
+_STOPS_SQL = "[" + STOPS.replace(".", "\\.") + "]"
+_UNSPACED_SQL = "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in UNSPACED) + "]"
 RULES_SQL = rf"""
 WITH doc AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 line AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS body FROM doc),
@@ -253,21 +308,24 @@ twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_
 repeated AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS k FROM twice) GROUP BY doc_id),
 word AS (SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS i FROM doc),
 words AS (
-  SELECT doc_id, sum(length(x)) AS chars, count(*) FILTER (x = before) AS same, count(*) FILTER (regexp_matches(x, '[.!?:;]$')) AS ends
+  SELECT doc_id, sum(length(x)) AS chars, count(*) FILTER (x = before) AS same, count(*) FILTER (regexp_matches(x, '{_STOPS_SQL}$')) AS word_ends
   FROM (SELECT *, lag(x) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM word) GROUP BY doc_id),
 figures AS (
   SELECT doc.doc_id, t, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(chars, 0) AS BIGINT) AS word_chars,
     CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-    CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, same, ends,
+    CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, same, word_ends,
+    length(t) - length(regexp_replace(t, '{_STOPS_SQL}', '', 'g')) AS stops,
+    length(t) - length(regexp_replace(t, '{_UNSPACED_SQL}', '', 'g')) >= {UNSPACED_SHARE} * greatest(chars, 1) AS unspaced,
     length(t) - length(regexp_replace(t, '[0-9]', '', 'g')) AS digits,
     length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS upper,
-    length(t) - length(regexp_replace(t, '[A-Za-z\x{{C0}}-\x{{10FFFF}}]', '', 'g')) AS letters
+    length(t) - length(regexp_replace(t, '[\p{{L}}\p{{M}}]', '', 'g')) AS letters
   FROM doc LEFT JOIN lines ON lines.doc_id = doc.doc_id LEFT JOIN repeated ON repeated.doc_id = doc.doc_id LEFT JOIN words ON words.doc_id = doc.doc_id),
 tested AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM figures)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND same / n_words <= {_LIMIT['adjacent_words'].most} AND digits / word_chars <= {_LIMIT['digits'].most}
   AND n_dup_lines / greatest(n_lines, 1) <= {_LIMIT['duplicate_lines'].most} AND letters / word_chars >= {_LIMIT['letters'].least}
-  AND word_chars / n_words BETWEEN {_LIMIT['mean_word'].least} AND {_LIMIT['mean_word'].most} AND ends / n_words >= {_LIMIT['sentence_ends'].least}
+  AND (unspaced OR word_chars / n_words BETWEEN {_LIMIT['mean_word'].least} AND {_LIMIT['mean_word'].most})
+  AND CASE WHEN unspaced THEN stops / word_chars ELSE word_ends / n_words END >= {_LIMIT['sentence_ends'].least}
   AND n_symbols / n_words <= {_LIMIT['symbols'].most} AND upper / greatest(letters, 1) <= {_LIMIT['upper_case'].most} AS kept
 FROM tested
 """

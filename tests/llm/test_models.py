@@ -214,6 +214,42 @@ def test_reader_goes_on_after_skipped_elements():
     assert len(words("<svg><p>x" * 3000)) == 3000
 
 
+#: Words, what stands between them, what ends a sentence.
+PROSE = {
+    "zh": ("\u6211\u4eec \u4eca\u5929 \u4e00\u8d77 \u53bb \u516c\u56ed \u770b\u82b1 \u5929\u6c14 \u5f88 \u597d \u5b66\u6821 \u8001\u5e08", "", "\u3002"),
+    "th": ("\u0e27\u0e31\u0e19 \u0e19\u0e35\u0e49 \u0e2d\u0e32\u0e01\u0e32\u0e28 \u0e14\u0e35 \u0e21\u0e32\u0e01 \u0e40\u0e23\u0e32 \u0e44\u0e1b \u0e40\u0e17\u0e35\u0e48\u0e22\u0e27", "", "\u2026"),
+    "ar": ("\u0630\u0647\u0628 \u0627\u0644\u0648\u0644\u062f \u0625\u0644\u0649 \u0627\u0644\u0645\u062f\u0631\u0633\u0629 \u0641\u064a \u0627\u0644\u0635\u0628\u0627\u062d \u0643\u0630\u0644\u0643", " ", "\u061f"),
+    "hi": ("\u0932\u0921\u093c\u0915\u093e \u0938\u0941\u092c\u0939 \u0935\u093f\u0926\u094d\u092f\u093e\u0932\u092f \u091c\u093e\u0924\u093e \u0939\u0948 \u0914\u0930 \u092a\u0922\u093c\u0924\u093e", " ", "\u0964"),
+    "ru": ("\u043c\u0430\u043b\u044c\u0447\u0438\u043a \u0443\u0442\u0440\u043e\u043c \u0448\u043a\u043e\u043b\u0443 \u0438\u0434\u0451\u0442 \u0447\u0438\u0442\u0430\u0442\u044c \u0438 \u043f\u0438\u0441\u0430\u0442\u044c", " ", "."),
+    "en": ("the boy went to school in morning and learned read write", " ", "."),
+}
+
+
+def test_prose_of_every_script_is_kept(spark):
+    r = random.Random(6)
+    rows = []
+    for i, (words, between, stop) in enumerate(PROSE.values()):
+        words = words.split()
+        rows.append((i, " ".join(between.join(r.choice(words) for _ in range(r.randint(6, 12))) + stop for _ in range(60))))
+    rows += [(90, " ".join("\U0001F600" * (1 + k % 3) + str(k) for k in range(30))), (91, " ".join(f"\u2014\u2014{k}" for k in range(30)))]
+    got = {x.doc_id: x for x in quality_rules.judge(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", rules=quality_rules.RULES).collect()}
+    assert [got[i].rejected_by for i in range(len(PROSE))] == [None] * len(PROSE)
+    assert {got[90].rejected_by, got[91].rejected_by} <= {"letters", "digits"}
+
+
+def test_kinds_of_characters():
+    import unicodedata
+
+    r = random.Random(3)
+    text = "".join(chr(x) for x in [r.choice((r.randrange(32, 128), r.randrange(0xA0, 0xD800), r.randrange(0xE000, 0x32000))) for _ in range(4000)]) + quality_rules.STOPS
+    data = np.frombuffer(text.encode(), np.uint8)
+    own = quality_rules.kinds(data)[(data & 0xC0) != 0x80]
+    for x, kind in zip(text, own.tolist(), strict=True):
+        if ord(x) < 0x20000:
+            assert (kind & 1 > 0) == (unicodedata.category(x)[0] in "LM"), hex(ord(x))
+        assert (kind & 2 > 0) == any(a <= ord(x) <= b for a, b in quality_rules.UNSPACED) and (kind & 4 > 0) == (x in quality_rules.STOPS)
+
+
 def test_cascade_order_and_verdicts(spark):
     good = " ".join(f"word{i} text." for i in range(30))
     rows = [(1, good), (2, "WORD AND SHOUT, " * 3 + " ".join(f"UPPER{chr(65 + i)}." for i in range(26))), (3, None), (4, ""), (5, " ".join(f"w{i}***." for i in range(40))), (6, good), (None, good), (7, "a b " * 50)]
@@ -359,7 +395,7 @@ def test_word_counts_are_those_of_the_pattern(spark):
     assert [x.n for x in got] == [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in bodies]
 
 
-def test_pipeline_stages_against_their_operators(spark, tmp_path):
+def test_stages_of_the_corpus_run_against_their_operators(spark, tmp_path):
     import corpus_pipeline
 
     r = random.Random(12)
