@@ -19,7 +19,7 @@ from ..functions.jsontext import resumed, split_records
 from ..functions.strings import strip_quotes, trim_space
 from ..functions.variants import parse_one, with_leaves
 from ..mapping import Mapping
-from ..session import kept
+from ..session import counted
 from ..sources import multiline
 from .projection import Lookup
 
@@ -236,7 +236,7 @@ def _csv_records(
         return records
     first = F.struct("block", F.col("record_seq").alias("seq"), F.col("record").cast("string").alias("raw"))
     firsts = surveyed.where("record_seq IS NOT NULL").groupBy("source_file").agg(F.min(first).alias("first"))
-    bound = records.join(kept(_headers(firsts, delimiter, names)), "source_file")
+    bound = records.join(counted(_headers(firsts, delimiter, names)), "source_file")
     is_header = (F.col("block") == F.col("header_block")) & (F.col("seq") == F.col("header_seq"))
     return bound.where(~is_header | ~F.col("header_ok")).drop("header_block", "header_seq")
 
@@ -258,7 +258,7 @@ def read_csv(lines: DataFrame, mapping: Mapping, options: Options) -> tuple[Data
         # Only the first record of a file is a header; an equal row further on is data.
         firsts = lines.where(~F.col("value").isin("", "\r")).groupBy("source_file").agg(F.min(F.struct("block", "seq")).alias("first"))
         is_first = F.struct("block", "seq") == F.col("first")
-        records = records.join(kept(firsts), "source_file").where(~(is_first & F.coalesce(heading, F.lit(False)))).drop("first")
+        records = records.join(counted(firsts), "source_file").where(~(is_first & F.coalesce(heading, F.lit(False)))).drop("first")
     elif mapping.has_header:
         problem = F.when(~F.col("header_ok"), F.lit("csv: unreadable header row")).otherwise(problem)
         index = {n: F.get(F.col("at"), F.lit(i)) for i, n in enumerate(names)}

@@ -63,6 +63,13 @@ def kept(df: DataFrame) -> DataFrame:
     return _kept[-1]
 
 
+def counted(df: DataFrame) -> DataFrame:
+    """``df`` kept and computed now, so that a join with it is planned by the size that it has."""
+    held = kept(df)
+    held.count()
+    return held
+
+
 @contextmanager
 def released() -> Iterator[None]:
     """Gives back what is cached inside, so that a long run does not pile it up."""

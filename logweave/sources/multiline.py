@@ -63,8 +63,10 @@ def with_csv_flags(lines: DataFrame, delimiter: str, spanning: bool = True) -> D
     Without ``spanning`` no line is taken to do so.
     """
     value = F.col("value")
-    opens = csvtext.ends_open(value, delimiter) if spanning else F.lit(False)
-    stays = csvtext.ends_open(F.concat(F.lit('"'), value), delimiter) if spanning else F.lit(False)
+    # What is left open has an odd number of quotes, the one it began with included: most lines need no closer look.
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    opens = (quotes % 2 == 1) & csvtext.ends_open(value, delimiter) if spanning else F.lit(False)
+    stays = (quotes == 0) | ((quotes % 2 == 0) & csvtext.ends_open(F.concat(F.lit('"'), value), delimiter)) if spanning else F.lit(False)
     return lines.withColumns({"a": opens.cast("int"), "b": stays.cast("int"), "full": value != ""})
 
 
