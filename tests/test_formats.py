@@ -261,12 +261,13 @@ def test_multiline_across_splits(spark, tmp_path, kind):
 
 
 @pytest.mark.parametrize("kind", ["json", "csv"])
-@pytest.mark.parametrize("most", [1 << 28, 40])
-def test_records_of_many_blocks_as_by_one_pass(spark, monkeypatch, kind, most):
+@pytest.mark.parametrize("most, few_blocks", [(1 << 28, 1 << 20), (1 << 28, 0), (40, 1 << 20)])
+def test_records_of_many_blocks_as_by_one_pass(spark, monkeypatch, kind, most, few_blocks):
     """Random lines in random blocks, of several files, against a state carried from line to line."""
     from logweave.sources import multiline
 
     monkeypatch.setattr(multiline, "MAX_RECORD_BYTES", most)
+    monkeypatch.setattr(multiline, "MAX_BROADCAST_BLOCKS", few_blocks)
     r = random.Random(kind)
     pieces = ['{"a": 1}', '{"a": [', "]}", "[", "]", "{}", "", " ", '"x{"'] if kind == "json" else ["a,b", "", '"q', 'z"', '"w"', ' ', '"', 'c,"d""', '"",e"']
     rows, at = [], 0
