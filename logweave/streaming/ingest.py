@@ -57,22 +57,61 @@ def _run_name(batch: DataFrame, number: int, part: str = "") -> str:
     return f"{query}-{number}{part}"
 
 
-def _load(run: Run, found: list[_Found], parse: Callable[[list[_Found]], Parsed]) -> list[tuple[_Found, str]]:
-    """Add the objects to the run; those that fail, found by halving, are left out and returned with the reason."""
+def _reason(problem: Exception) -> str:
+    return str(problem).strip()[:500]
+
+
+def _unreadable(found: list[_Found], scan: Callable[[list[_Found]], DataFrame]) -> list[tuple[_Found, str]]:
+    """Objects that cannot be read to their ends, with the reason: found by halving, and nothing is parsed for it."""
+    if not found:
+        return []
     try:
-        with released():
-            run.add(parse(found))
+        scan(found).write.format("noop").mode("overwrite").save()
         return []
     except Exception as problem:   # whatever ends the job of one object must not end the stream
         if len(found) == 1:
-            return [(found[0], str(problem).strip()[:500])]
+            return [(found[0], _reason(problem))]
+    middle = len(found) // 2
+    return _unreadable(found[:middle], scan) + _unreadable(found[middle:], scan)
+
+
+def _load(
+    run: Run, found: list[_Found], scan: Callable[[list[_Found]], DataFrame], parse: Callable[[DataFrame], Parsed], checked: bool = False,
+) -> list[tuple[_Found, str]]:
+    """Add the objects to the run; those that fail are left out and returned with the reason.
+
+    Most failures are those of reading, which costs a small part of parsing and writing. Objects that
+    failed before, and packed ones, which are long in one task, are read through first; all are, once
+    they fail together. What can be read and fails all the same is found by halving.
+    """
+    suspects = [] if checked else [x for x in found if x[3] > 1 or x[0].lower().endswith(".gz")]
+    failed = _unreadable(suspects, scan)
+    found = _without(found, failed)
+    if not found:
+        return failed
+    try:
+        with released():
+            run.add(parse(scan(found)))
+        return failed
+    except Exception as problem:   # as above
+        if len(found) == 1:
+            return [*failed, (found[0], _reason(problem))]
+    unreadable = [] if checked else _unreadable(found, scan)
+    if unreadable:
+        failed, found = failed + unreadable, _without(found, unreadable)
+        return failed + (_load(run, found, scan, parse, checked=True) if found else [])
     middle = len(found) // 2
-    return _load(run, found[:middle], parse) + _load(run, found[middle:], parse)
+    return failed + _load(run, found[:middle], scan, parse, checked=True) + _load(run, found[middle:], scan, parse, checked=True)
+
+
+def _without(found: list[_Found], failed: list[tuple[_Found, str]]) -> list[_Found]:
+    gone = {x for x, _ in failed}
+    return [x for x in found if x not in gone]
 
 
 def _handler(
     spark: SparkSession, table: str, checkpoint: str, route: Callable[[DataFrame], DataFrame], kind: str | None,
-    parser: Callable[[str | None], Callable[[list[_Found]], Parsed]], max_attempts: int, backoff: tuple[float, float],
+    scan: Callable[[list[_Found]], DataFrame], parser: Callable[[str | None], Callable[[DataFrame], Parsed]], max_attempts: int, backoff: tuple[float, float],
 ) -> Callable[[DataFrame, int], None]:
     """What becomes of a micro-batch of routed objects; ``kind`` is a column that tells runs apart."""
 
@@ -92,7 +131,7 @@ def _handler(
                 found = [tuple(r) for r in own.select("path", "length", "modificationTime", "attempt").orderBy("path").toLocalIterator()]
                 run = Run(spark, table, _run_name(batch, number, f"-{turn}" + (f"-{name}" if name else "")))
                 # A mapping that is wrong is no fault of an object: it ends the stream here.
-                failed = _load(run, found, parser(name))
+                failed = _load(run, found, scan, parser(name))
                 run.commit()
                 # Only now: a batch that ends before its commit has failed nothing.
                 for one, reason in failed:
@@ -124,12 +163,15 @@ def stream_network(
     allowed = tuple(allowed)
     mapping_for = mapping_for or (lambda log_type: load_mapping(spark, root, log_type))
 
-    def parser(log_type: str) -> Callable[[list[_Found]], Parsed]:
+    def scan(found: list[_Found]) -> DataFrame:
+        return scan_objects(spark, [x[:2] for x in found])
+
+    def parser(log_type: str) -> Callable[[DataFrame], Parsed]:
         mapping = mapping_for(log_type)
         check_patterns(spark, mapping)
-        return lambda found: parse_network(scan_objects(spark, [x[:2] for x in found]), mapping, options)
+        return lambda lines: parse_network(lines, mapping, options)
 
-    handle = _handler(spark, table, checkpoint, lambda batch: route_logs(batch, allowed), "log_type", parser, max_attempts, backoff)
+    handle = _handler(spark, table, checkpoint, lambda batch: route_logs(batch, allowed), "log_type", scan, parser, max_attempts, backoff)
     return _each_batch(new_objects(spark, root, checkpoint, max_files, gate), checkpoint, handle)
 
 
@@ -145,8 +187,11 @@ def stream_timeline(
     """
     configure(spark)
 
-    def parser(_: None) -> Callable[[list[_Found]], Parsed]:
-        return lambda found: parse_timeline(scan_objects(spark, [x[:2] for x in found], archives=False), root, default_device, max_line_bytes)
+    def scan(found: list[_Found]) -> DataFrame:
+        return scan_objects(spark, [x[:2] for x in found], archives=False)
+
+    def parser(_: None) -> Callable[[DataFrame], Parsed]:
+        return lambda lines: parse_timeline(lines, root, default_device, max_line_bytes)
 
-    handle = _handler(spark, table, checkpoint, route_timelines, None, parser, max_attempts, backoff)
+    handle = _handler(spark, table, checkpoint, route_timelines, None, scan, parser, max_attempts, backoff)
     return _each_batch(new_objects(spark, folder, checkpoint, max_files, gate), checkpoint, handle)

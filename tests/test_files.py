@@ -451,6 +451,19 @@ def test_failed_objects_come_again_until_they_work_or_are_given_up(spark, tmp_pa
     assert dead.path.endswith("never.log.gz") and dead.attempt == 3 and dead.reason
 
 
+def test_objects_that_cannot_be_read_are_found_without_parsing(spark, tmp_path, monkeypatch):
+    logs = tmp_path / "in" / "log" / "demo"
+    logs.mkdir(parents=True)
+    whole = gzip.compress(b"".join(line(n) for n in range(100, 3100)))
+    for n in range(4):
+        (logs / f"good{n}.log").write_bytes(line(n))
+        (logs / f"bad{n}.log.gz").write_bytes(whole[:4000])
+    tries, add = [], sinks.Run.add
+    monkeypatch.setattr(sinks.Run, "add", lambda run, parsed: tries.append(1) or add(run, parsed))
+    assert stream(spark, tmp_path) == ["0", "1", "2", "3"]
+    assert len(tries) == 1 and failures(spark, str(tmp_path / "cp")).count() == 4
+
+
 @pytest.mark.parametrize("fault", ["before the commit", "after the commit", "after a failure is noted"])
 def test_a_replayed_batch_adds_no_row(spark, tmp_path, monkeypatch, fault):
     """The query dies in a batch that went object by object; the restart meets the damaged file mended."""
