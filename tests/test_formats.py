@@ -354,3 +354,29 @@ def test_custom_reader(parse, lines):
     lw.register_format("special", reader)
     mapping = {**kv("", {"target": "action", "source": "any"}), "log_type": "special"}
     assert [r["action"] for r in parse(mapping, "abc")] == ["ABC"]
+
+
+def test_flags_of_a_batch_are_those_of_its_lines(spark):
+    """Flags from all bytes of a batch, against Spark's expressions over each line; in each block as in the whole."""
+    from pyspark.sql import functions as F
+
+    from logweave.functions import csvtext
+    from logweave.functions.strings import trim_space
+    from logweave.sources import multiline
+
+    r = random.Random(7)
+    pieces = ["{", "}", "[", "]", '"', '""', "\\", '\\"', "\\\\", "a", ",", " ", "é", " ", " ", "\r", '"a{"', '"]\\"["']
+    texts = ["", " ", " ", "\x01", '"\\\r{"', '{"a": "b\\\\", "c": [', *("".join(r.choices(pieces, k=r.randrange(1, 12))) for _ in range(4000))]
+    frame = spark.createDataFrame([("f", 0, i, t) for i, t in enumerate(texts)], "source_file string, block bigint, seq bigint, value string").coalesce(1)
+    value = F.col("value")
+    bare = F.regexp_replace(value, r'"(?:[^"\\]++|\\.)*+"', "")
+    count = lambda c, some: F.length(c) - F.length(F.translate(c, some, ""))
+    want = frame.select("seq", (count(bare, "[{") - count(bare, "]}")).alias("a"), (trim_space(value) != "").alias("full")).collect()
+    got = multiline.with_json_flags(frame).collect()
+    assert [(x.seq, x.a, x.b, x.full) for x in got] == [(x.seq, x.a, 0, x.full) for x in want]
+    for d in (",", "|", " ", "\t"):
+        open_ = lambda c: F.contains(c, F.lit('"')) & c.rlike(csvtext.open_end(d) + r"\z")  # noqa: B023, E731
+        want = frame.select("seq", open_(value).cast("int").alias("a"), (F.when(~F.contains(value, F.lit('"')), True).otherwise(
+            open_(F.concat(F.lit('"'), value)))).cast("int").alias("b"), (value != "").alias("full")).collect()
+        got = multiline.with_csv_flags(frame, d).collect()
+        assert [(x.seq, x.a, x.b, x.full) for x in got] == [(x.seq, x.a, x.b, x.full) for x in want]
