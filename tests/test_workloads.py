@@ -15,3 +15,10 @@ def test_tasks_follow_the_rows_of_a_table(spark, tmp_path):
 def test_a_small_table_is_dealt_to_all_cores(spark, tmp_path):
     spark.range(100).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
     assert workloads.table(spark, str(tmp_path), "events").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_one_file_is_sorted_by_many_tasks(spark, tmp_path):
+    rows = spark.range(5000, 0, -1).select("id", F.concat(F.lit("\nn"), F.col("id").cast("string")).alias("value")).repartition(4)
+    workloads._one_file(spark, rows, "id", str(tmp_path / "logs"))
+    (file,) = (tmp_path / "logs").iterdir()
+    assert file.read_text() == "".join(f"\nn{n}\n" for n in range(1, 5001))
