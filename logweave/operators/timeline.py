@@ -47,7 +47,7 @@ def normalise(lines: DataFrame, root: str, default_device: str, max_line_bytes:
     too_long = F.octet_length("value") >= max_line_bytes
     rows = (
         lines.select(
-            *PLACE, text.alias("raw_line"),
+            *PLACE, pinned(text).alias("raw_line"),
             F.when(too_long, F.lit(f"line exceeds {max_line_bytes} byte limit")).alias("error"),
         )
         .where(trim_space(F.col("raw_line")) != "")

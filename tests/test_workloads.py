@@ -1,5 +1,6 @@
 """How the queries deal out the driver tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
 import workloads
@@ -17,6 +18,23 @@ def test_a_small_table_is_dealt_to_all_cores(spark, tmp_path):
     assert workloads.table(spark, str(tmp_path), "events").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
 
 
+@pytest.mark.parametrize("name", ["kv_comma_events", "json_ndjson_events", "timeline_normalise"])
+def test_tasks_that_read_a_table_do_not_parse_it(spark, tmp_path, name):
+    """A filter on lines below the dealing would have the few tasks that read render and trim all of them."""
+    rows = spark.range(100).selectExpr(
+        "id AS event_id", "timestamp_ntz '2024-01-01' AS ts", "id AS user_id", "'view' AS event_type", "'{\"k\": 1}' AS props")
+    rows.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    plan = workloads.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange"):]
+    assert "FileScan parquet" in below and "Filter " not in below
+
+
+def test_blanks_around_separators_and_fields_without_a_value(parse):
+    fields = [{"target": "device_name", "source": "n a"}, {"target": "action", "source": "act"}, {"target": "user_name", "source": "\u00fc"}]
+    (row,) = parse(workloads.kv_mapping(*fields), 't=0,lost,\u3000n a\u00a0=\t a = b\u2003, act , \u00fc = "x"  ,act= 1 ,=2,')
+    assert (row["device_name"], row["action"], row["user_name"]) == ("a = b", "1", "x")
+
+
 def test_one_file_is_sorted_by_many_tasks(spark, tmp_path):
     rows = spark.range(5000, 0, -1).select("id", F.concat(F.lit("\nn"), F.col("id").cast("string")).alias("value")).repartition(4)
     workloads._one_file(spark, rows, "id", str(tmp_path / "logs"))
