@@ -21,7 +21,6 @@ from collections.abc import Iterable, Iterator, Sequence
 from itertools import islice
 from typing import BinaryIO
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,9 +33,8 @@ from .store import list_objects, open_file, open_store, reachable
 MAX_DEPTH = 5
 
 # Lines of one entry are numbered in blocks of this many, the counterpart of a
-# file split; a batch handed back to Spark never exceeds it either.
+# file split.
 BLOCK_LINES = 100_000
-BATCH_BYTES = 8 * 1024 * 1024
 
 
 class ArchiveError(ValueError):
@@ -114,22 +112,11 @@ def _lines(path: str, stream: BinaryIO, max_depth: int) -> Iterator[tuple]:
 
 
 def _unpack(max_depth: int):
-    columns = ["source_file", "block", "seq", "value", "error"]
-
-    def unpack(batches):
-        rows, size = [], 0
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                for row in _lines(path, io.BytesIO(content), max_depth):
-                    rows.append(row)
-                    size += len(row[3] or b"") + 64
-                    if size >= BATCH_BYTES:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows, size = [], 0
-        if rows:
-            yield pd.DataFrame(rows, columns=columns)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = ((path.as_py(), content.as_py()) for batch in batches for path, content in zip(batch.column("path"), batch.column("content")))
+        yield from line_batches(row for path, content in files for row in _lines(path, io.BytesIO(content), max_depth))
 
-    return unpack
+    return work
 
 
 # --- entries of a zip in several tasks ---
@@ -309,6 +296,6 @@ def archive_lines(spark: SparkSession, paths: str | Sequence[str], max_depth: in
 
 def archive_lines_of(files: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """The same for a DataFrame with ``path STRING, content BINARY``."""
-    return files.select("path", "content").mapInPandas(_unpack(max_depth), FRAME).withColumn(
+    return files.select("path", "content").mapInArrow(_unpack(max_depth), FRAME).withColumn(
         "value", F.col("value").cast("string")
     )

@@ -13,7 +13,8 @@ from .store import open_store
 #: Bytes that one task reads of one object, the counterpart of a file split.
 SPLIT_BYTES = 128 << 20
 _BUFFER = 1 << 20
-_BATCH_BYTES = 8 << 20
+#: Lines held as single objects: at 8 MB a worker that is used again grows from batch to batch, as freed lines leave gaps.
+_BATCH_BYTES = 1 << 20
 
 #: Objects whose lines are found only after the whole of them is unpacked in a way that is not built here.
 UNREAD = r"(?i)\.(?:bz2|zst|lz4|snappy|deflate)$"

@@ -10,6 +10,7 @@ import time
 import zipfile
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ import logweave as lw
 from logweave import schemas
 from logweave.operators import routing
 from logweave.plans import commits, sinks
-from logweave.sources import chunks, ranges
+from logweave.sources import archives, chunks, ranges
 from logweave.sources.archives import archive_entries, archive_lines, archive_lines_of
 from logweave.sources.store import list_objects
 from logweave.sources.lines import as_line_frame
@@ -283,6 +284,16 @@ def test_stream_query_ingests_every_event(spark, tmp_path, monkeypatch):
     assert {r.error for r in bad} == {"timestamp: outside years 1 to 9999"}
 
 
+def test_lines_of_archives_leave_in_small_batches():
+    """A worker that holds many lines at once grows from batch to batch."""
+    body = b"".join(b"line %d\n" % n for n in range(40_000))
+    files = pa.RecordBatch.from_pydict({"path": ["x/a.zip", "x/b.zip"], "content": [zipped(a__log=body), zipped(b__log=body)]})
+    out = list(archives._unpack(5)(iter([files])))
+    assert [x for b in out for x in b.column("value").to_pylist()] == 2 * body.splitlines()
+    assert {x for b in out for x in b.column("source_file").to_pylist()} == {"x/a.zip!a.log", "x/b.zip!b.log"}
+    assert max(b.num_rows for b in out) <= 20_000
+
+
 def test_objects_of_hidden_names_are_read(spark, tmp_path):
     (tmp_path / "sub" / "_deep" / ".down").mkdir(parents=True)
     (tmp_path / "sub" / "_temporary").mkdir()

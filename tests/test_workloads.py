@@ -40,3 +40,27 @@ def test_one_file_is_sorted_by_many_tasks(spark, tmp_path):
     workloads._one_file(spark, rows, "id", str(tmp_path / "logs"))
     (file,) = (tmp_path / "logs").iterdir()
     assert file.read_text() == "".join(f"\nn{n}\n" for n in range(1, 5001))
+
+
+def test_a_row_group_beside_empty_splits_is_dealt_out(spark, tmp_path, monkeypatch):
+    """As many splits as tasks say nothing, where one of them has all rows."""
+    monkeypatch.setattr(workloads, "ROWS_PER_TASK", 1000)
+    spark.range(4000).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))   # one row group
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 2000)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        assert spark.read.parquet(str(tmp_path / "events.parquet")).rdd.getNumPartitions() >= 4
+        dealt = workloads.table(spark, str(tmp_path), "events").groupBy(F.spark_partition_id()).count().agg(F.sum("count"), F.max("count")).first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert dealt[0] == 4000 and dealt[1] <= 1010
+
+
+def test_splits_that_are_even_stay(spark, tmp_path):
+    spark.range(4000).repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    spark.conf.set("spark.sql.files.openCostInBytes", 128 << 20)   # a file a split
+    try:
+        assert "Exchange" not in workloads.table(spark, str(tmp_path), "events")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
