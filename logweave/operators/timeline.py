@@ -16,6 +16,8 @@ MAX_LINE_BYTES = 10 * 1024 * 1024
 
 _TEXTS = ("timestamp_desc", "parser", "message", "data_type", "username")
 _NUMBERS = ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL")
+# Integers that are the same read as a double's text and as they stand.
+_PLAIN_INTEGER = r"\A-?[0-9]{1,18}\z"
 
 
 def _kind(doc: Column, key: str) -> Column:
@@ -54,33 +56,38 @@ def normalise(lines: DataFrame, root: str, default_device: str, max_line_bytes:
         .withColumn("doc", F.when(F.col("error").isNull(), parse_one(F.col("raw_line"))))
     )
     doc = F.col("doc")
-    kinds = {k: _kind(doc, k).alias(f"{k}_kind") for k in ("timestamp", "event_identifier", "display_name", "tag")}
     leaves = (*_TEXTS, "timestamp", "event_timestamp", "display_name", "event_identifier")
     rows = rows.select(
-        "*", *kinds.values(), F.try_variant_get(doc, ROOT, "variant").alias("raw"),
+        "*", F.try_variant_get(doc, ROOT, "variant").alias("raw"),
         F.try_variant_get(doc, path_of("tag"), "array<string>").alias("_tag"),
     )
     rows = with_leaves(rows, "doc", {f"_{k}": k for k in leaves})
 
-    # Epoch microseconds, as a number (cut to an integer) or as a numeric text.
-    stamp = F.col("_timestamp")
-    number = F.when(_is_number(F.col("timestamp_kind")), stamp.try_cast("double").try_cast("bigint"))
-    event_time = F.coalesce(
-        timestamps.micros(F.coalesce(number, to_int64(stamp))),
-        F.col("_event_timestamp").try_cast("timestamp"),
-    )
+    # A value's kind is dear to ask for; most texts tell what they are without it.
+    def number(key: str) -> Column:
+        """A number cut to an integer; also a text of digits, which is the same."""
+        leaf = F.col(f"_{key}")
+        return F.when(leaf.rlike(_PLAIN_INTEGER), leaf.try_cast("bigint")).when(
+            leaf.isNotNull() & _is_number(_kind(doc, key)), leaf.try_cast("double").try_cast("bigint"))
 
-    identifier = F.col("_event_identifier")
-    identifier_number = F.when(
-        _is_number(F.col("event_identifier_kind")), identifier.try_cast("double").try_cast("bigint")
-    ).when(F.col("event_identifier_kind") == "STRING", to_int64(identifier))
-    identifier_wrong = (
-        F.coalesce(F.col("event_identifier_kind") != "VOID", F.lit(False)) & identifier_number.isNull()
+    # Epoch microseconds, as a number (cut to an integer) or as a numeric text.
+    stamp, identifier = F.col("_timestamp"), F.col("_event_identifier")
+    rows = rows.select(
+        "*", F.coalesce(number("timestamp"), to_int64(stamp)).alias("_micros"),
+        F.coalesce(number("event_identifier"), F.when(
+            identifier.isNotNull() & (_kind(doc, "event_identifier") == "STRING"), to_int64(identifier)))
+        .alias("_identifier"),
     )
-
-    is_text = F.col("display_name_kind") == "STRING"
+    whole, identifier_number = F.col("_micros"), F.col("_identifier")
+    event_time = F.coalesce(timestamps.micros(whole), F.col("_event_timestamp").try_cast("timestamp"))
+    # Nothing but a missing value, or null, has neither a text nor a doubt.
+    identifier_wrong = identifier_number.isNull() & (identifier.isNotNull() | F.coalesce("_event_identifier_doubt", F.lit(False)))
+
+    display = F.col("_display_name")
+    if "/" not in root:   # a number is no path, but may hold such a root
+        display = F.when(_kind(doc, "display_name") == "STRING", display)
     if root:
-        device, path = split_device(F.when(is_text, F.col("_display_name")), root)
+        device, path = split_device(display, root)
     else:
         device, path = F.lit(None).cast("string"), F.lit(None).cast("string")
     rows = rows.select("*", device.alias("_device"), path.alias("_path"))
@@ -89,12 +96,13 @@ def normalise(lines: DataFrame, root: str, default_device: str, max_line_bytes:
         F.when(F.col(f"_{k}_doubt") & F.col(f"_{k}").isNull(), F.lit(f"{k}: not a scalar"))
         for k in (*_TEXTS, "display_name")
     ]
-    tag_wrong = ~F.coalesce(F.col("tag_kind"), F.lit("VOID")).rlike(r"^(?:VOID|ARRAY<(?!OBJECT|ARRAY))")
-    whole = F.coalesce(number, to_int64(stamp))
+    tag_wrong = ~F.coalesce(_kind(doc, "tag"), F.lit("VOID")).rlike(r"^(?:VOID|ARRAY<(?!OBJECT|ARRAY))")
+    # One JSON value that starts with a brace is an object; after blanks it may be one.
+    no_object = ~F.col("raw_line").startswith("{") & ~F.schema_of_variant(F.try_variant_get(doc, ROOT, "variant")).startswith("OBJECT")
     error = F.coalesce(
         F.col("error"),
         F.when(doc.isNull(), F.lit("invalid JSON")),
-        F.when(~F.schema_of_variant("raw").startswith("OBJECT"), F.lit("not a JSON object")),
+        F.when(no_object, F.lit("not a JSON object")),
         *nested,
         F.when(identifier_wrong, F.lit("event_identifier: not an integer")),
         F.when(tag_wrong, F.lit("tag: not a list of strings")),

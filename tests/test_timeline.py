@@ -5,8 +5,10 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 import logweave as lw
+from logweave.functions.variants import parse_one, with_leaves
 from logweave.plans import commits, correlate, rebuild, sinks
 from logweave.plans.timeline import ingest_timeline, parse_timeline
 from logweave.schemas import NETWORK_EVENTS, TIMELINE_EVENTS
@@ -56,6 +58,41 @@ def test_identifier(rows):
     assert [r["error"] is not None for r in got] == [False] * 5 + [True] * 3
 
 
+def test_whole_numbers_that_a_double_holds_are_read_once(spark):
+    frame = spark.createDataFrame(
+        [('{"t": 1735787045123456, "u": 0.5}',), ('{"t": -8999999999999999}',), ('{"t": 9007199254740993}',)], "line string"
+    ).coalesce(1).select(parse_one(F.col("line")).alias("doc"))
+    got = with_leaves(frame, "doc", {"t": "t", "u": "u"}).collect()
+    assert [(r["t"], r["t_doubt"]) for r in got] == [
+        ("1735787045123456", False), ("-8999999999999999", False), ("9007199254740992", True)]
+    assert [r["u"] for r in got] == ["0.5", None, None]
+
+
+def test_accepted_rows_do_not_put_the_whole_event_together_again(lines):
+    """``raw`` is for those who ask for it; to tell an object from other values takes its first letter."""
+    plan = parse_timeline(lines('{"message": "m"}'), ROOT).events._jdf.queryExecution().optimizedPlan().toString()
+    assert " AS doc#" in plan and " AS raw#" not in plan
+
+
+def test_integers_as_numbers_and_as_texts(rows):
+    got = rows(*[f'{{"event_identifier": {x}, "timestamp": {x}}}' for x in (
+        '"007"', '"+7"', "-7", "-0.0", "1e3", '"1e3"', "123456789012345678", '"123456789012345678"', "true", '""', '"[7]"', "[7]")])
+    assert [r["event_identifier"] for r in got] == [
+        7, 7, -7, 0, 1000, None, 123456789012345680, 123456789012345678, None, None, None, None]
+    assert [(r["error"] or "").startswith("event_identifier") for r in got] == [
+        False, False, False, False, False, True, False, False, True, True, True, True]
+    day = datetime(1970, 1, 1)
+    micros = [None if r["event_timestamp"] is None else round((r["event_timestamp"] - day).total_seconds() * 1e6) for r in got[:6]]
+    assert micros == [7, 7, -7, 0, 1000, None]
+
+
+def test_a_number_is_no_path_below_a_root_of_digits(lines):
+    parsed = parse_timeline(lines('{"display_name": 5077}', '{"display_name": "5077"}', '  {"display_name": "x"}', ' [1]'), "50")
+    got = parsed.rows.orderBy("seq").collect()
+    assert [r["device_name"] for r in got] == ["unknown", "77", "unknown", "unknown"]
+    assert [r["error"] for r in got] == [None, None, None, "not a JSON object"]
+
+
 def test_tags_and_bad_rows(rows):
     got = rows('{"tag": ["a", "b"]}', '{"tag": {"labels": []}}', '{"tag": null}', '{"message": {"x": 1}}', "[1]", "{",
                '{"message": "m", "message": "last"}', '{"tag": []}', '{"message": 5}', "   ")
